@@ -34,6 +34,7 @@ def build_session(master: str | None = None, app: str = "fleetyard",
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.ui.enabled", "false")
+        conf.setdefault("spark.ui.showConsoleProgress", "false")
         conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
