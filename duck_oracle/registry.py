@@ -13,6 +13,7 @@ SQL = {
     "yard_history": R.yard_history,
     "hourmeter_latest": R.hourmeter_latest,
     "hourmeter_invalid_latest": R.hourmeter_invalid_latest,
+    "reservation_picking": R.reservation_picking,
     "po_approvals": R.po_approvals,
     "po_payment": R.po_payment,
     "receipts_status": R.receipts_status,
@@ -23,6 +24,7 @@ SQL = {
     "po_approvals_workflow": R.po_approvals_workflow,
     "order_items_union": R.order_items_union,
     "priority_dedupe": R.priority_dedupe,
+    "lot_position_rollup": R.lot_position_rollup,
     "day_slices": R.day_slices,
 }
 

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetyard.plans import equipment, parts, purchasing, receipts, work_orders, yard
+from fleetyard.plans import (equipment, parts, purchasing, receipts, reservations, work_orders,
+                             yard)
 from fleetyard.plans.params import AS_OF, FULL_WINDOW, SLICE_DAYS
 from fleetyard.sources.testdata import TestdataTables
 
@@ -33,6 +34,7 @@ REPORTS: dict[str, Report] = {
     "yard_history": lambda s: yard.yard_history(s),
     "hourmeter_latest": lambda s: yard.hourmeter_latest(s),
     "hourmeter_invalid_latest": lambda s: yard.hourmeter_invalid_latest(s),
+    "reservation_picking": lambda s: reservations.reservation_picking(s),
     "po_approvals": lambda s: purchasing.po_approvals(s),
     "po_payment": lambda s: purchasing.po_payment(s, AS_OF, FULL_WINDOW),
     "receipts_status": lambda s: receipts.receipts_status(s),
@@ -45,6 +47,8 @@ REPORTS: dict[str, Report] = {
     "order_items_union": lambda s: _dbl(work_orders.order_items(s), "qtd_req"),
     "priority_dedupe": lambda s: _dbl(work_orders.dedupe_items(work_orders.order_items(s)),
                                       "qtd_req"),
+    "lot_position_rollup": lambda s: _dbl(reservations.lot_positions(reservations.bin_stock(s)),
+                                          "saldo_estoque"),
     "day_slices": lambda s: parts.parts_history(s, AS_OF, FULL_WINDOW, 0, slice_days=SLICE_DAYS),
 }
 
