@@ -29,5 +29,14 @@ SQL = {
 }
 
 
+def _register_operator_sql():
+    from duck_oracle.operators import SQL as OPS
+    for name, fn in OPS.items():
+        SQL.setdefault(name, fn)
+
+
+_register_operator_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: f() for name, f in SQL.items()}

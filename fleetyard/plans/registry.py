@@ -53,6 +53,15 @@ REPORTS: dict[str, Report] = {
 }
 
 
+def _register_operator_queries():
+    from fleetyard.plans.operator_queries import QUERIES
+    for name, fn in QUERIES.items():
+        REPORTS.setdefault(name, fn)
+
+
+_register_operator_queries()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f: Report):
         return lambda spark, sf_dir: f(TestdataTables(spark, sf_dir))
