@@ -170,6 +170,19 @@ WHERE lgort IN {PICK} AND coalesce(xloek, '') <> 'X' AND coalesce(bdter, '') >=
   AND xloek IS DISTINCT FROM 'X' AND (postp = 'L' OR postp IS NULL OR postp = '')""")
 
 
+def delivery_batches() -> str:
+    ctes, sel = _as_subquery(po_payment(), "pay")
+    return f"""WITH {ctes},
+{sel},
+numbered AS (SELECT pedido, row_number() OVER (ORDER BY pedido) AS rn FROM pay),
+tot AS (SELECT count(*) AS total_rows FROM numbered)
+SELECT CAST((rn - 1) // 2000 + 1 AS BIGINT) AS batch,
+       CAST(greatest(1, ceil(any_value(tot.total_rows) / 2000.0)) AS BIGINT) AS total_batches,
+       count(*) AS row_count, any_value(tot.total_rows) AS total_rows,
+       arg_min(pedido, rn) AS first_key, arg_max(pedido, rn) AS last_key
+FROM numbered, tot GROUP BY 1"""
+
+
 def dq_code_profile() -> str:
     return with_tables(["resb"], """
 SELECT postp AS valor, length(postp) AS tamanho, count(*) AS qtd FROM resb GROUP BY 1, 2""")
@@ -283,7 +296,8 @@ SQL = {name: fn for name, fn in [
     ("received_qty", received_qty), ("purchase_status", purchase_status),
     ("account_assignment", account_assignment), ("invoice_flag", invoice_flag),
     ("parts_consumption", parts_consumption), ("window_filter", window_filter),
-    ("null_safe_filters", null_safe_filters), ("dq_code_profile", dq_code_profile),
+    ("null_safe_filters", null_safe_filters), ("delivery_batches", delivery_batches),
+    ("dq_code_profile", dq_code_profile),
     ("dq_duplicate_keys", dq_duplicate_keys), ("dq_language_profile", dq_language_profile),
     ("dq_null_impact", dq_null_impact), ("dq_row_counts", dq_row_counts), ("dq_diff", dq_diff),
     ("dq_branch_distribution", dq_branch_distribution), ("dq_fill_rate", dq_fill_rate)]}

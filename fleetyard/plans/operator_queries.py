@@ -156,6 +156,20 @@ def null_safe_filters(src) -> DataFrame:
 
 
 # ------------------------------------------------------------------ data quality
+def delivery_batches(src) -> DataFrame:
+    """Batch numbering of the payment report in delivery order (2,000 rows each)."""
+    from fleetyard.sources.delivery import batch_summary
+    df = purchasing.po_payment(src, AS_OF, FULL_WINDOW)
+    return batch_summary(df, [F.col("pedido")], "pedido")
+
+
+def json_encoding(src) -> DataFrame:
+    """Yard history rows as the JSON objects the application receives."""
+    from fleetyard.plans.yard import yard_history
+    from fleetyard.sources.delivery import to_json_rows
+    return to_json_rows(yard_history(src))
+
+
 def dq_code_profile(src) -> DataFrame:
     return quality.code_profile(src.table("resb"), "postp")
 
@@ -213,6 +227,8 @@ QUERIES = {
     "parts_consumption": parts_consumption,
     "window_filter": window_filter,
     "null_safe_filters": null_safe_filters,
+    "delivery_batches": delivery_batches,
+    "json_encoding": json_encoding,
     "dq_code_profile": dq_code_profile,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_language_profile": dq_language_profile,
