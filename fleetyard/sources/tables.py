@@ -23,10 +23,15 @@ class ParquetTables:
     def __init__(self, spark: SparkSession, root: str | None = None,
                  paths: Mapping[str, str] | None = None):
         self.spark, self.root, self.paths = spark, (root or "").rstrip("/"), dict(paths or {})
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = self.paths.get(name) or f"{self.root}/{name}"
-        return self.spark.read.parquet(path)
+        """Lazy frame of the table; the handle (not the data) is reused, so the
+        file listing and footer read happen once per table."""
+        if name not in self._frames:
+            path = self.paths.get(name) or f"{self.root}/{name}"
+            self._frames[name] = self.spark.read.parquet(path)
+        return self._frames[name]
 
 
 class JdbcTables:
