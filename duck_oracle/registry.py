@@ -21,6 +21,7 @@ SQL = {
     "po_payment_by_item": R.po_payment_by_item,
     "receipts_by_order": R.receipts_by_order,
     "yard_snapshot_topn": R.yard_snapshot_rows,
+    "yard_snapshot_events": R.yard_snapshot_events,
     "po_approvals_workflow": R.po_approvals_workflow,
     "order_items_union": R.order_items_union,
     "priority_dedupe": R.priority_dedupe,

@@ -12,7 +12,7 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
              "FlatMapGroupsInPandas", "MapInPandas")
 # bounded single-partition steps: the 50k top-N payload and the per-batch
 # totals / per-partition offsets of delivery numbering
-SINGLE_PARTITION_OK = {"yard_snapshot_topn", "delivery_batches"}
+SINGLE_PARTITION_OK = {"yard_snapshot_topn", "yard_snapshot_events", "delivery_batches"}
 
 
 def plan_of(df):
