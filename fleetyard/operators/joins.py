@@ -1,15 +1,16 @@
 """Join helpers and the broadcast policy.
 
 Only catalogue tables (status texts, activity / priority / order-type texts,
-planner groups, storage locations, work centres) are broadcast by hint: their
-size is bounded by the code catalogue, not by data volume. Every other lookup
+planner groups, storage locations, work centres, the system-user master) are
+broadcast by hint: their size is bounded by the code catalogue or the
+organisation, not by data volume. Every other lookup
 is a plain join; Spark broadcasts it only if its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime with the
 real shuffle sizes) and otherwise uses a sort-merge / shuffled hash join.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,3 +27,24 @@ def semi_restrict(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 def anti_restrict(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``keys`` (``NOT EXISTS``; NULL keys kept)."""
     return df.join(keys, on, "left_anti")
+
+
+# Prefix of the stand-in keys; real keys never start with a control character.
+_NO_MATCH = "\u0001"
+
+
+def spread_key(key: Column, salt: Column, blank: bool = False) -> Column:
+    """Join key for the left side of an outer join whose key is often missing.
+
+    A shuffled join hashes every NULL key to the same partition, so rows
+    without a key (reservations without an order, requisitions without a
+    purchase order) would pile up in one task. Missing keys become a
+    per-row stand-in that matches nothing, which spreads those rows over all
+    partitions; the join result is unchanged because NULL never matched.
+    ``blank=True`` also spreads blank keys: use it only where the right side
+    has no blank keys, so blanks could not have matched either.
+    ``salt`` must be deterministic (a row key), so recomputed partitions
+    produce the same stand-ins.
+    """
+    missing = key.isNull() | (F.trim(key) == "") if blank else key.isNull()
+    return F.when(missing, F.concat(F.lit(_NO_MATCH), salt.cast("string"))).otherwise(key)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.functions import blank_to_null, days_back, strip_zeros, window_bounds
 from fleetyard.functions import labels as L
-from fleetyard.operators.joins import code_table, semi_restrict
+from fleetyard.operators.joins import code_table, semi_restrict, spread_key
 from fleetyard.operators.keyed import latest_by, text_lookup
 from fleetyard.plans.common import dbl, sort_report
 from fleetyard.sources.dictionaries import PICKING_LOCATIONS
@@ -55,9 +55,12 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
         "banfn", "bnfpo", "ebeln", "ebelp", F.col("menge").alias("p_menge"), "netpr", "netwr",
         F.col("knttp").alias("p_knttp"), F.col("loekz").alias("p_loekz"))
     ekko = src.table("ekko").select(
-        "ebeln", F.col("ekgrp").alias("k_ekgrp"), F.col("ernam").alias("k_ernam"), "lifnr",
-        "bedat", "frgrl")
-    base = rc.join(ekpo, RC_KEY, "left").join(ekko, "ebeln", "left")
+        F.col("ebeln").alias("__po"), F.col("ekgrp").alias("k_ekgrp"),
+        F.col("ernam").alias("k_ernam"), "lifnr", "bedat", "frgrl")
+    rc_id = F.concat_ws("/", "banfn", "bnfpo")
+    # requisitions without an order are common: spread their missing order key
+    base = rc.join(ekpo, RC_KEY, "left").withColumn("__po", spread_key(F.col("ebeln"), rc_id))
+    base = base.join(ekko, "__po", "left")
 
     po_keys = base.filter(F.col("ebeln").isNotNull()).select(*PO_KEY)
     rc_keys = rc.select(*RC_KEY)
@@ -70,15 +73,20 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
     receb = received_qty(src.table("ekbe"), po_keys, lo)
     sch = (semi_restrict(src.table("eket"), po_keys, PO_KEY).groupBy(*PO_KEY)
            .agg(F.min("eindt").alias("eindt")))
+    by_po = ["__po", "ebelp"]
+    pk, receb, sch = (x.withColumnRenamed("ebeln", "__po") for x in (pk, receb, sch))
     mtext = text_lookup(src.table("makt"), "matnr", "maktx", lang="spras", langs=["p", "pt"],
                         lang_ci=True, order=[F.lower("spras").asc_nulls_last()],
                         restrict=rc.select("matnr"))
-    afih = src.table("afih").select(F.col("aufnr").alias("acc_aufnr"), "equnr")
-    lfa1 = src.table("lfa1").select("lifnr", "name1")
-
-    b = (base.join(acc, RC_KEY, "left").join(pk, PO_KEY, "left")
-         .join(afih, "acc_aufnr", "left").join(lfa1, "lifnr", "left")
-         .join(receb, PO_KEY, "left").join(sch, PO_KEY, "left").join(mtext, "matnr", "left"))
+    afih = src.table("afih").select(F.col("aufnr").alias("__ord"), "equnr")
+    lfa1 = src.table("lfa1").select(F.col("lifnr").alias("__vendor"), "name1")
+
+    b = (base.join(acc, RC_KEY, "left").join(pk, by_po, "left")
+         .withColumn("__ord", spread_key(F.col("acc_aufnr"), rc_id))
+         .join(afih, "__ord", "left")
+         .withColumn("__vendor", spread_key(F.col("lifnr"), rc_id))
+         .join(lfa1, "__vendor", "left")
+         .join(receb, by_po, "left").join(sch, by_po, "left").join(mtext, "matnr", "left"))
 
     kn = F.coalesce("p_knttp", "knttp")
     out = b.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.functions import is_code_in, norm_id, not_blank, strip_zeros
 from fleetyard.functions import labels as L
-from fleetyard.operators.joins import code_table
+from fleetyard.operators.joins import code_table, spread_key
 from fleetyard.operators.keyed import latest_by, priority_dedupe, rank_when, text_lookup
 from fleetyard.operators.status import system_status, user_status
 from fleetyard.plans.common import (ORDERS_SINCE, activity_texts, dbl, priority_texts,
@@ -124,7 +124,10 @@ def order_items(src, since: str = ORDERS_SINCE) -> DataFrame:
                          F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), "knttp")
     ekpo_r = ekpo.select(F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), "ebeln")
     by_order = F.col("postp") == "N"
+    # reservations without a requisition are common: spread their missing key
     reservations = (w.join(resb, "ordem_sap").join(eban_r, ["r_banfn", "r_bnfpo"], "left")
+                    .withColumn("e_banfn", spread_key(F.col("e_banfn"),
+                                                      F.concat_ws("/", "r_banfn", "r_bnfpo")))
                     .join(ekpo_r, ["e_banfn", "e_bnfpo"], "left")
                     .select("ativo", "filial", "ordem", strip_zeros("matnr").alias("cod_sap"),
                             F.lit(None).cast("string").alias("desc_compra_direta"),

@@ -131,3 +131,16 @@ def test_json_encoding_isoformat(spark):
     j = to_json_rows(df).collect()[0]["json"]
     assert j == ('{"a":"2024-01-02T03:04:05+00:00","b":"2024-01-02T03:04:05.000120+00:00",'
                  '"c":"2024-01-02","d":"1.500","e":null}')
+
+
+def test_spread_key_keeps_left_join_result_and_spreads_missing_keys(spark):
+    from fleetyard.operators.joins import spread_key
+    left = spark.createDataFrame([(i, None if i % 3 else "k1", ) for i in range(300)],
+                                 "id int, k string")
+    right = spark.createDataFrame([("k1", "v")], "k string, v string")
+    plain = left.join(right, "k", "left").select("id", "v")
+    spread = (left.withColumn("__k", spread_key(F.col("k"), F.col("id")))
+              .join(right.withColumnRenamed("k", "__k"), "__k", "left").select("id", "v"))
+    assert rows(plain) == rows(spread)
+    keys = left.select(spread_key(F.col("k"), F.col("id")).alias("s")).filter("k is null")
+    assert keys.distinct().count() == keys.count() == 200     # every missing key is distinct
