@@ -11,7 +11,7 @@ from fleetyard.sources.dictionaries import NON_STOCK_TEXT, PICKING_LOCATIONS
 
 def code_profile(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of a code column with their length and row count."""
-    return df.groupBy(F.col(col).alias("valor"), F.length(col).alias("tamanho")) \
+    return df.groupBy(F.col(col).alias("valor"), F.length(col).cast("bigint").alias("tamanho")) \
         .agg(F.count(F.lit(1)).alias("qtd"))
 
 
