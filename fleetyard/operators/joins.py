@@ -14,9 +14,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def code_table(df: DataFrame) -> DataFrame:
-    """Mark a catalogue-sized table for broadcast."""
-    return F.broadcast(df)
+# Upper bound for a broadcast hint; override with the session setting
+# ``fleetyard.broadcast.maxBytes``.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Planner size estimate of ``df`` (from file sizes and statistics; no job runs)."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+def code_table(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast a catalogue-sized table, behind a size check.
+
+    The hint is given only when the planner's size estimate is under the
+    limit; otherwise (or when the size is unknown) the join stays a plain
+    join and Spark/AQE choose broadcast or shuffle from measured sizes.
+    """
+    limit = max_bytes
+    if limit is None:
+        limit = int(df.sparkSession.conf.get("fleetyard.broadcast.maxBytes",
+                                             str(BROADCAST_MAX_BYTES)))
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
 def semi_restrict(df: DataFrame, keys: DataFrame, on) -> DataFrame:

@@ -144,3 +144,16 @@ def test_spread_key_keeps_left_join_result_and_spreads_missing_keys(spark):
     assert rows(plain) == rows(spread)
     keys = left.select(spread_key(F.col("k"), F.col("id")).alias("s")).filter("k is null")
     assert keys.distinct().count() == keys.count() == 200     # every missing key is distinct
+
+
+def test_code_table_broadcast_is_size_checked(spark, tmp_path):
+    from fleetyard.operators.joins import code_table
+    path = str(tmp_path / "codes")
+    spark.createDataFrame([("A", "x")], "k string, v string").write.parquet(path)
+    small = spark.read.parquet(path)
+    fact = spark.range(1000).selectExpr("CAST(id % 2 AS STRING) AS k")
+    hinted = fact.join(code_table(small), "k", "left")
+    assert "broadcast" in hinted._jdf.queryExecution().optimizedPlan().toString().lower() or \
+        "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    capped = fact.join(code_table(small, max_bytes=0), "k", "left")
+    assert "broadcast" not in capped._jdf.queryExecution().analyzed().toString().lower()
