@@ -111,7 +111,8 @@ def to_batches(df: DataFrame, order: Sequence[Column], job: str, started_at: str
     rows = b.groupBy("batch", "total_batches", "row_count", "total_rows").agg(
         F.sort_array(F.collect_list(F.struct("__row", "__r"))).alias("__rs"))
     rows = rows.withColumn("rows", F.transform("__rs", lambda x: x["__r"])).drop("__rs")
-    sent = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    import datetime as _dt
+    sent = F.lit(_dt.datetime.now(_dt.timezone.utc).isoformat())
     if style == "runner":
         env = F.struct(F.lit(job).alias("job"), F.col("batch"), F.col("total_batches"),
                        F.col("row_count"), F.col("total_rows"), F.lit(started_at).alias("started_at"),

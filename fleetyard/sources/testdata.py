@@ -66,8 +66,9 @@ def dec2(x) -> Column:
 
 
 def hour_trunc(ts) -> Column:
+    """Truncate a wall-clock timestamp to the hour (independent of the session zone)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc("hour", c).cast("timestamp_ntz")
+    return F.date_format(c, "yyyy-MM-dd HH:00:00").cast("timestamp_ntz")
 
 
 class TestdataTables:
