@@ -65,34 +65,39 @@ def to_json_rows(df: DataFrame, style: str = "runner") -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
-                col: str = "__row") -> DataFrame:
+                col: str = "__row", total: str | None = None) -> DataFrame:
     """0-based global row number under ``order`` (must be total), computed
-    with range partitioning and per-partition offsets (no global window)."""
+    with range partitioning and per-partition offsets (no global window over
+    rows). ``total`` names an optional column with the overall row count."""
     n = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # one row per partition: the window and the broadcast are bounded by the partition count
-    offsets = counts.select("__pid", (F.sum("__n").over(w) - F.col("__n")).alias("__off"))
+    # one row per partition: these windows and the broadcast are bounded by
+    # the partition count, not by the data
+    upto = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select("__pid", (F.sum("__n").over(upto) - F.col("__n")).alias("__off"),
+                            F.sum("__n").over(every).alias("__tot"))
     out = ranged.join(F.broadcast(offsets), "__pid")
-    return out.withColumn(col, F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW33))) \
-        .drop("__pid", "__mid", "__off")
+    out = out.withColumn(col, F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW33)))
+    if total:
+        out = out.withColumnRenamed("__tot", total)
+    return out.drop("__pid", "__mid", "__off", "__tot")
 
 
 def batch_frame(df: DataFrame, order: Sequence[Column], size: int = BATCH_ROWS) -> DataFrame:
     """Rows with their 1-based batch number and batch metadata (``batch``,
-    ``total_batches``, ``row_count``, ``total_rows``)."""
-    numbered = number_rows(df, order).withColumn("batch", F.floor(F.col("__row") / size) + 1)
-    # one row per batch (rows / size); totals over that small frame
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding,
-                                                  Window.unboundedFollowing)
-    sizes = (numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("row_count"))
-             .withColumn("total_rows", F.sum("row_count").over(everything))
-             .withColumn("total_batches", F.count(F.lit(1)).over(everything)))
-    return numbered.join(sizes, "batch")
+    ``total_batches``, ``row_count``, ``total_rows``), all derived from the row
+    number and the total: no aggregation over the batches."""
+    b = number_rows(df, order, total="total_rows")
+    return (b.withColumn("batch", F.floor(F.col("__row") / size) + 1)
+            .withColumn("total_batches",
+                        F.greatest(F.lit(1), F.ceil(F.col("total_rows") / size)).cast("bigint"))
+            .withColumn("row_count", F.least(F.lit(size).cast("bigint"),
+                                             F.col("total_rows") - (F.col("batch") - 1) * size)))
 
 
 def to_batches(df: DataFrame, order: Sequence[Column], job: str, started_at: str,
