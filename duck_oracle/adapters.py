@@ -241,7 +241,7 @@ SELECT {z('l_orderkey', 10)} AS rsnum, {z('rspos', 4)} AS rspos,
        'REC' || CAST(l_suppkey % 10 AS VARCHAR) AS wempf,
        'Doca ' || CAST(l_linenumber AS VARCHAR) AS ablad,
        'OK' || {z('l_orderkey', 10)} || {z('rspos', 4)} AS objnr,
-       CASE id % 8 WHEN 0 THEN 'X' WHEN 1 THEN NULL ELSE '' END AS xloek,
+       CASE id % 8 WHEN 0 THEN 'X' WHEN 3 THEN NULL ELSE '' END AS xloek,
        CASE WHEN l_linestatus = 'F' THEN 'X' ELSE '' END AS kzear,
        CASE id % 4 WHEN 0 THEN 'L' WHEN 1 THEN 'N' WHEN 2 THEN '' ELSE NULL END AS postp,
        CASE WHEN id % 2 = 0 THEN 'X' ELSE '' END AS xwaok,

@@ -396,7 +396,7 @@ class TestdataTables:
             F.concat(F.lit("REC"), (F.col("l_suppkey") % 10).cast("string")).alias("wempf"),
             F.concat(F.lit("Doca "), F.col("l_linenumber").cast("string")).alias("ablad"),
             F.concat(F.lit("OK"), z("l_orderkey", 10), z("rspos", 4)).alias("objnr"),
-            cases(i % 8, [(0, "X"), (1, F.lit(None).cast("string"))], "").alias("xloek"),
+            cases(i % 8, [(0, "X"), (3, F.lit(None).cast("string"))], "").alias("xloek"),
             F.when(F.col("l_linestatus") == "F", F.lit("X")).otherwise(F.lit("")).alias("kzear"),
             cases(i % 4, [(0, "L"), (1, "N"), (2, "")], F.lit(None).cast("string")).alias("postp"),
             F.when(i % 2 == 0, F.lit("X")).otherwise(F.lit("")).alias("xwaok"),
