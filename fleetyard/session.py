@@ -15,6 +15,10 @@ _BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # AQE may replace a sort-merge join by a shuffled hash join when every
+    # post-shuffle partition of the build side is under this size: no sort of
+    # the (wide) stream side, and the per-task hash map stays bounded.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
