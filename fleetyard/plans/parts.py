@@ -28,8 +28,10 @@ def parts_agg(cons: DataFrame, extra_keys: list = ()) -> DataFrame:
     aggregate), then per (equipment, material). A hot pair is reduced before
     each shuffle instead of being collected in one task."""
     keys = ["equnr", "matnr", *extra_keys]
-    per_order = cons.groupBy(*keys, "aufnr").agg(
-        F.sum("bdmng").alias("q"), F.max("erdat").alias("d"))
+    # the creation date belongs to the order, so it is a grouping key here:
+    # this level then only sums decimals and runs as a hash aggregate
+    per_order = cons.groupBy(*keys, "aufnr", F.col("erdat").alias("d")).agg(
+        F.sum("bdmng").alias("q"))
     return per_order.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("qtd_ocorrencias"), F.sum("q").alias("qtd_total"),
         F.max("d").alias("ultima_data"), F.max(F.struct("d", "aufnr")).alias("__last"))
