@@ -88,3 +88,10 @@ def test_open_approval_wins_its_key(small_src):
                    ["pedido", "aprovador", "data_inicio", "hora_inicio"])
     assert got.count() == open_keys.count() > 0
     assert got.filter(F.col("hora_fim").isNotNull()).count() == 0
+
+
+def test_presentation_order_when_requested(small_src):
+    out = work_orders.work_orders_latest(small_src, ordered=True).collect()
+    key = [(r["filial"] is None, r["filial"] or "", r["ativo"] is None, r["ativo"] or "",
+            r["tipo_manutencao"]) for r in out]
+    assert key == sorted(key)          # branch NULLS LAST, then asset, then type
