@@ -21,7 +21,10 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Planner size estimate of ``df`` (from file sizes and statistics; no job runs)."""
-    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # noqa: BLE001 - no JVM-side plan (e.g. Spark Connect): size unknown
+        return 1 << 62
     return int(v) if isinstance(v, int) else int(v.toString())
 
 

@@ -55,15 +55,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     under a fresh temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="fleetyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
