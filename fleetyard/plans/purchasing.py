@@ -62,7 +62,8 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
     base = rc.join(ekpo, RC_KEY, "left").withColumn("__po", spread_key(F.col("ebeln"), rc_id))
     base = base.join(ekko, "__po", "left")
 
-    po_keys = base.filter(F.col("ebeln").isNotNull()).select(*PO_KEY)
+    # order items in play (requisition items that have an order item)
+    po_keys = rc.select(*RC_KEY).join(ekpo.select(*RC_KEY, *PO_KEY), RC_KEY).select(*PO_KEY)
     rc_keys = rc.select(*RC_KEY)
     # account row of the requisition: greatest order number, then greatest cost centre
     acc = (semi_restrict(src.table("ebkn"), rc_keys, RC_KEY).groupBy(*RC_KEY)
