@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.plans import (equipment, parts, purchasing, receipts, reservations, work_orders,
                              yard)
-from fleetyard.sources.delivery import BATCH_ROWS, to_batches
+from fleetyard.sources.delivery import BATCH_ROWS, run_log, to_batches
 
 
 @dataclass(frozen=True)
@@ -76,9 +76,18 @@ def run(name: str, src, out_dir: str, as_of=None, size: int = BATCH_ROWS, **para
     """Compute the job and write its delivery batches (one JSON document per
     line, one file set per run) under ``out_dir``."""
     job = JOBS[name]
-    df = build(name, src, as_of, **params)
-    order = [F.col(c).asc_nulls_last() for c in job.order if c in df.columns]
     started = _dt.datetime.now(_dt.timezone.utc).isoformat()
-    docs = to_batches(df, order, name, started, size=size)
-    docs.select("json").write.mode("overwrite").text(out_dir)
+    try:
+        df = build(name, src, as_of, **params)
+        order = [F.col(c).asc_nulls_last() for c in job.order if c in df.columns]
+        docs = to_batches(df, order, name, started, size=size)
+        docs.select("json").write.mode("overwrite").text(out_dir)
+    except Exception as exc:
+        # error envelope {started_at, error}, written next to the batches
+        spark = getattr(src, "spark", None)
+        if spark is not None:
+            (run_log(spark, name, started, f"{type(exc).__name__}: {exc}"[:2000])
+             .select(F.to_json(F.struct("started_at", "error")).alias("json"))
+             .coalesce(1).write.mode("overwrite").text(f"{out_dir.rstrip('/')}_error"))
+        raise
 

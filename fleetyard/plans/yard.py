@@ -105,3 +105,32 @@ def hourmeter_invalid_latest(src) -> DataFrame:
         F.col("event_datetime").alias("comunicacao_rastreador_em"),
         dbl("hourmeter").alias("horimetro_rastreador"), F.col("source").alias("fonte_rastreador"),
         F.col("error_code").alias("motivo_rastreador"))
+
+
+def yard_payload(src, started_at: str, n_events: int = SNAPSHOT_EVENTS) -> DataFrame:
+    """Legacy yard document ``{started_at, rows, eventos}`` (one row of JSON).
+
+    Both arrays are bounded: ``eventos`` by the event cap, ``rows`` by the
+    assets among those events, so gathering them in one document is safe.
+    Newest first in both, as the source query delivered them.
+    """
+    from fleetyard.sources.delivery import json_columns
+    rows, events = yard_snapshot(src, n_events)
+    ev = F.struct(*[F.col(c) for c in events.columns])
+    rw = F.struct(*[F.col(c) for c in rows.columns])
+    e = json_columns(events).select(F.lit(0).alias("t"), F.col("ts").alias("k"),
+                                    F.col("n_armac").alias("k2"), ev.alias("e"),
+                                    F.lit(None).cast(json_columns(rows).select(rw).schema[0].dataType)
+                                    .alias("r"))
+    r = json_columns(rows).select(F.lit(1).alias("t"), F.col("data_entrada").alias("k"),
+                                  F.col("n_armac").alias("k2"),
+                                  F.lit(None).cast(json_columns(events).select(ev).schema[0].dataType)
+                                  .alias("e"), rw.alias("r"))
+    both = e.unionByName(r)
+    newest = lambda col: F.transform(F.sort_array(F.collect_list(col), asc=False),
+                                     lambda x: x["v"])
+    doc = both.agg(
+        newest(F.when(F.col("t") == 0, F.struct("k", "k2", F.col("e").alias("v")))).alias("eventos"),
+        newest(F.when(F.col("t") == 1, F.struct("k", "k2", F.col("r").alias("v")))).alias("rows"))
+    return doc.select(F.to_json(F.struct(F.lit(started_at).alias("started_at"), "rows", "eventos"),
+                                {"ignoreNullFields": "false"}).alias("json"))

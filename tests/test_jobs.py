@@ -33,3 +33,22 @@ def test_day_slices_sum_to_unsliced_totals(small_src):
     a = sliced.groupBy("ativo", "cod_sap").agg(F.round(F.sum("qtd_total"), 3).alias("q")).collect()
     b = full.select("ativo", "cod_sap", F.round("qtd_total", 3).alias("q")).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_error_envelope_written_on_failure(spark, small_src):
+    import pytest
+    out = os.path.join(tempfile.mkdtemp(prefix="jobs-"), "out")
+    with pytest.raises(TypeError):
+        jobs.run("pagamento_pedidos", small_src, out, as_of="2030-01-01", bogus=1)
+    doc = json.loads(spark.read.text(out + "_error").collect()[0]["value"])
+    assert set(doc) == {"started_at", "error"} and "bogus" in doc["error"]
+
+
+def test_yard_payload_document(spark, small_src):
+    from fleetyard.plans.yard import yard_payload, yard_snapshot
+    doc = json.loads(yard_payload(small_src, "2030-01-01T00:00:00+00:00").collect()[0]["json"])
+    rows, events = yard_snapshot(small_src)
+    assert len(doc["eventos"]) == events.count() and len(doc["rows"]) == rows.count()
+    ts = [e["ts"] for e in doc["eventos"]]
+    assert ts == sorted(ts, reverse=True)
+    assert set(doc["rows"][0]) == set(rows.columns)
