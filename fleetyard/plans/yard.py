@@ -127,8 +127,9 @@ def yard_payload(src, started_at: str, n_events: int = SNAPSHOT_EVENTS) -> DataF
                                   F.lit(None).cast(json_columns(events).select(ev).schema[0].dataType)
                                   .alias("e"), rw.alias("r"))
     both = e.unionByName(r)
-    newest = lambda col: F.transform(F.sort_array(F.collect_list(col), asc=False),
-                                     lambda x: x["v"])
+    def newest(col):
+        return F.transform(F.sort_array(F.collect_list(col), asc=False), lambda x: x["v"])
+
     doc = both.agg(
         newest(F.when(F.col("t") == 0, F.struct("k", "k2", F.col("e").alias("v")))).alias("eventos"),
         newest(F.when(F.col("t") == 1, F.struct("k", "k2", F.col("r").alias("v")))).alias("rows"))

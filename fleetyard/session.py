@@ -48,6 +48,27 @@ def build_session(master: str | None = None, app: str = "fleetyard",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized for a large cluster run.
+
+    Shuffle partitions follow the input volume (about ``target_partition_bytes``
+    per task, at least two waves of the cluster's cores), AQE then coalesces
+    small partitions and splits skewed ones; scan splits use the same target
+    so every task's input fits comfortably in executor memory and spills
+    rather than fails when a key is hot.
+    """
+    parts = -(-int(input_bytes) // target_partition_bytes)
+    parts = max(2 * total_cores, min(parts, max_partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

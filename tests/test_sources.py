@@ -27,3 +27,12 @@ def test_parquet_source_reuses_handles(spark, tmp_path):
     src = ParquetTables(spark, str(tmp_path))
     assert src.table("t") is src.table("t")
     assert src.table("t").count() == 3
+
+
+def test_cluster_conf_scales_with_input():
+    from fleetyard.session import cluster_conf
+    small = cluster_conf(10 << 30, 64)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # two waves of 64 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped; AQE coalesces
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
