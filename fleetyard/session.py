@@ -19,6 +19,9 @@ _BASE_CONF = {
     # post-shuffle partition of the build side is under this size: no sort of
     # the (wide) stream side, and the per-task hash map stays bounded.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Keep compiled whole-stage classes across stages and reports: the
+    # pipelines share many identical stage shapes (scans, lookups, ranking).
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
