@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from fleetyard.sources.tables import ParquetTables
+from fleetyard.sources.tables import CatalogTables, ParquetTables
 
 # table -> column the reports filter on (sort key inside each file)
 SORT_KEYS = {
@@ -30,3 +30,26 @@ def land(spark: SparkSession, src, names, root: str, files_per_table: int | None
             df = df.repartitionByRange(n, key).sortWithinPartitions(key)
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
     return ParquetTables(spark, root)
+
+
+# Order-keyed tables joined with each other on the order number by the work
+# order, reservation and parts reports: bucketed alike, they join in place.
+BUCKET_KEYS = {"aufk": "aufnr", "afih": "aufnr", "afko": "aufnr", "resb": "aufnr"}
+
+
+def land_bucketed(spark: SparkSession, src, names, database: str, location: str,
+                  buckets: int) -> CatalogTables:
+    """Write the tables into a catalog database; the order-keyed tables are
+    bucketed and sorted by order number with the same bucket count."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    for name in names:
+        df = src.table(name)
+        w = df.write.mode("overwrite").format("parquet")
+        key = BUCKET_KEYS.get(name)
+        if key:
+            w = w.bucketBy(buckets, key).sortBy(key)
+        elif SORT_KEYS.get(name):
+            w = df.repartitionByRange(buckets, SORT_KEYS[name]).sortWithinPartitions(
+                SORT_KEYS[name]).write.mode("overwrite").format("parquet")
+        w.saveAsTable(f"{database}.{name}")
+    return CatalogTables(spark, database)

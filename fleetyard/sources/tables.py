@@ -34,6 +34,20 @@ class ParquetTables:
         return self._frames[name]
 
 
+class CatalogTables:
+    """Tables of a catalog database (``spark.table``). Bucketed tables keep
+    their bucket spec here, so joins on the bucket key need no shuffle."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark, self.database = spark, database
+        self._frames: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self.spark.table(f"{self.database}.{name}")
+        return self._frames[name]
+
+
 class JdbcTables:
     """Direct replica reads. ``slices`` maps a table to a list of WHERE
     predicates; each predicate becomes one partition read in parallel (the

@@ -36,3 +36,18 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # two waves of 64 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped; AQE coalesces
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_bucketed_order_tables_join_without_shuffle(spark, small_src, tmp_path):
+    from fleetyard.sources.landing import land_bucketed
+    src = land_bucketed(spark, small_src, ["aufk", "afih"], "fy_test", str(tmp_path / "wh"), 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = src.table("aufk").join(src.table("afih"), "aufnr")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
+        assert j.count() == small_src.table("aufk").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
