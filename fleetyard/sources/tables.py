@@ -72,6 +72,18 @@ class JdbcTables:
         return self.spark.read.jdbc(self.url, self._name(name), properties=self.props)
 
 
+def jdbc_url(host: str, database: str, port: int | None = None, engine: str | None = None) -> str:
+    """JDBC URL of a replica: PostgreSQL when ``engine`` says so (or, with no
+    engine given, when the port is 5432), MySQL otherwise (telemetry and the
+    application databases run on either)."""
+    e = (engine or "").lower()
+    pg = e in ("pg", "postgres", "postgresql") or (not e and port == 5432)
+    if pg:
+        return f"jdbc:postgresql://{host}:{port or 5432}/{database}"
+    return (f"jdbc:mysql://{host}:{port or 3306}/{database}"
+            "?useUnicode=true&characterEncoding=utf8")
+
+
 def value_slices(column: str, values: Sequence[str]) -> list[str]:
     """One predicate per value (e.g. one per storage location)."""
     return [f"{column} = '{v}'" for v in values]

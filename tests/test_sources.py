@@ -51,3 +51,11 @@ def test_bucketed_order_tables_join_without_shuffle(spark, small_src, tmp_path):
         assert j.count() == small_src.table("aufk").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_jdbc_url_engine_choice():
+    from fleetyard.sources.tables import jdbc_url
+    assert jdbc_url("h", "db", 5432).startswith("jdbc:postgresql://h:5432/db")
+    assert jdbc_url("h", "db", 3306).startswith("jdbc:mysql://h:3306/db")
+    assert jdbc_url("h", "db", 3306, engine="pg").startswith("jdbc:postgresql://h:3306/db")
+    assert jdbc_url("h", "db").startswith("jdbc:mysql://h:3306/db")
