@@ -52,3 +52,14 @@ def test_yard_payload_document(spark, small_src):
     ts = [e["ts"] for e in doc["eventos"]]
     assert ts == sorted(ts, reverse=True)
     assert set(doc["rows"][0]) == set(rows.columns)
+
+
+def test_cli_list_and_run(spark, capsys):
+    from fleetyard.__main__ import main
+    assert main(["--list"]) == 0
+    assert "reservas_separacao" in capsys.readouterr().out
+    out = os.path.join(tempfile.mkdtemp(prefix="cli-"), "out")
+    assert main(["--job", "horimetros", "--source", "testdata:/root/testdata/sf0.001",
+                 "--out", out]) == 0
+    docs = [json.loads(v) for v in spark.read.text(out).toPandas()["value"]]
+    assert docs and docs[0]["job"] == "horimetros"
