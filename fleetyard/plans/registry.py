@@ -43,6 +43,7 @@ REPORTS: dict[str, Report] = {
     "receipts_by_order": lambda s: receipts.receipts_by_order(s),
     "yard_snapshot_topn": lambda s: yard.yard_snapshot_rows(s),
     "yard_snapshot_events": lambda s: yard.yard_snapshot(s)[1],
+    "yard_payload": lambda s: yard.yard_payload(s, "1970-01-01T00:00:00+00:00"),
     "po_approvals_workflow": lambda s: purchasing.po_approvals_workflow(s, AS_OF, FULL_WINDOW),
     # operators exercised on their own
     "order_items_union": lambda s: _dbl(work_orders.order_items(s), "qtd_req"),
