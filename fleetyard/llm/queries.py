@@ -8,6 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetyard.llm.frames import read
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    from fleetyard.llm.secret_scan import secret_spans
+
+    return secret_spans(read(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and the likelihood-ratio verdict of every document."""
+    from fleetyard.llm.quality_rules import quality_rules
+
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back."""
     import public_tokenizers
@@ -19,6 +33,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
+    "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}

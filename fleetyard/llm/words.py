@@ -108,6 +108,27 @@ def split_words(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, bounds, side="left")
 
 
+# Byte classes for split_tokens: 0 space, 1 letter, digit or any non-ASCII byte, 2 other sign.
+_CLASS = np.full(256, 2, dtype=np.uint8)
+_CLASS[_SPACE] = 0
+_CLASS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+
+
+def split_tokens(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As split_words, but runs of letters and digits and runs of signs are tokens of their own."""
+    n = len(buf)
+    if n == 0:
+        return split_words(buf, bounds)
+    kind = _CLASS[buf]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[bounds] = True
+    edge[[0, n]] = True
+    edge[1:n] |= kind[1:] != kind[:-1]
+    starts = np.flatnonzero(edge[:n] & (kind > 0))
+    ends = np.flatnonzero(edge[1:] & (kind > 0)) + 1
+    return starts, ends, np.searchsorted(starts, bounds, side="left")
+
+
 def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                lower: bool = False) -> np.ndarray:
     """64-bit hashes of the words; ``lower`` hashes A-Z as a-z."""
@@ -120,8 +141,8 @@ def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return mix(h + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
 
 
-def chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
-    """The texts of a column in chunks of about CHUNK_BYTES."""
+def chunks(column: pa.Array, lower: bool = False, split=split_words) -> Iterator[Chunk]:
+    """The texts of a column in chunks of about CHUNK_BYTES, words found by ``split``."""
     buf, off = byte_column(column)
     i, n = 0, len(off) - 1
     while i < n:
@@ -129,7 +150,7 @@ def chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
         j = min(j, n)
         part = buf[off[i]:off[j]]
         bounds = off[i:j + 1] - off[i]
-        starts, ends, wb = split_words(part, bounds)
+        starts, ends, wb = split(part, bounds)
         yield Chunk(i, part, bounds, starts, ends, hash_words(part, starts, ends, lower), wb)
         i = j
 
