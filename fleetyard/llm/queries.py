@@ -32,9 +32,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    from fleetyard.llm.pii import pii_spans
+
+    return pii_spans(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op10_pii": op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {}
