@@ -205,7 +205,6 @@ def fit_tagger(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Tagger:
     among the ones holding a digit; training is deterministic."""
     t = docs.select(docs["text"].alias("text")).filter(F.col("text").rlike("[0-9]"))
     rows = (t.select("text", F.xxhash64("text").alias("h"))
-            .select(F.substring("text", 1, 20000).alias("text"), "h")   # training context only
             .orderBy("h").limit(max_docs).collect())
     tagger = Tagger.new(2 * len(KINDS) + 1)
     tagger.fit(*training_windows([r["text"] for r in rows]))

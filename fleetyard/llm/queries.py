@@ -32,6 +32,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from labels that are not held out."""
+    from fleetyard.llm.toxicity import toxicity
+
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     from fleetyard.llm.pii import pii_spans
@@ -43,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {}
