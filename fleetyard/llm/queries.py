@@ -32,6 +32,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, encoded and decoded again."""
+    import public_tokenizers
+
+    from fleetyard.llm.sentence_pieces import piece_digest
+
+    return piece_digest(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from labels that are not held out."""
     from fleetyard.llm.toxicity import toxicity
@@ -50,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op8_sentence_pieces": op8_sentence_pieces,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }

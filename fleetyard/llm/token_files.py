@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetyard.llm.frames import column, map_batches, scratch, texts
-from fleetyard.llm.word_memo import WordMemo, ragged
-from fleetyard.llm.words import chunks
+from fleetyard.llm.word_memo import WordMemo
+from fleetyard.llm.words import chunks, split_pieces, split_words
 
 BLOCK_IDS = 1 << 18
 
@@ -81,21 +81,36 @@ def _memo(path: str) -> WordMemo:
     return _MEMO[path]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, ids binary) of every whole text, the end id appended.
+def _pieces(buf: np.ndarray, bounds: np.ndarray):
+    special = bool(((buf[:-1] == 0x3C) & (buf[1:] == 0x7C)).any())     # "<|"
+    return (split_words if special else split_pieces)(buf, bounds)
+
+
+def id_type(tokenizer: str, end_id: int) -> str:
+    """numpy type that holds every id between the stages: 2 bytes where they do."""
+    from tokenizers import Tokenizer
+
+    top = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    return "<u2" if top < 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int, kind: str = "<u4") -> DataFrame:
+    """(doc_id, ids binary of type ``kind``) of every whole text, the end id appended.
 
     ``tokenizer`` is the path of a tokenizers file on every machine (installed
-    with the vocabulary package, not data). Its pre-tokenizer must drop white
-    space, so that no piece crosses it: words are then encoded one by one.
+    with the vocabulary package, not data). It must lower-case, drop white
+    space and split letters from signs, so that no piece crosses those borders
+    and A-Z encode as a-z: words are then encoded one by one. A chunk in which
+    a special token's string may occur is cut at white space alone.
     """
 
     def encode(batch: pa.RecordBatch):
         memo = _memo(tokenizer)
         out = []
-        for c in chunks(column(batch, "text")):
+        for c in chunks(column(batch, "text"), lower=True, split=_pieces):
             ids, ends = memo.texts(c)
-            ids = ids.astype("<u4")
-            end = np.array([end_id], dtype="<u4").tobytes()
+            ids = ids.astype(kind)
+            end = np.array([end_id], dtype=kind).tobytes()
             out += [ids[a:b].tobytes() + end for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(out, type=pa.binary())],
                                           names=["doc_id", "ids"])
@@ -103,14 +118,14 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return map_batches(texts(docs), encode, "doc_id long, ids binary")
 
 
-def id_ranks(tokens: DataFrame) -> np.ndarray:
+def id_ranks(tokens: DataFrame, kind: str = "<u4") -> np.ndarray:
     """All ids that occur, most frequent first: at most the vocabulary's size."""
 
     def count(batches):
         total: np.ndarray = np.zeros(0, dtype=np.int64)
         for b in batches:
             for raw in column(b, "ids").to_pylist():
-                c = np.bincount(np.frombuffer(raw, dtype="<u4"))
+                c = np.bincount(np.frombuffer(raw, dtype=kind))
                 if len(c) > len(total):
                     total, c = c, total
                 total[:len(c)] += c
@@ -131,10 +146,10 @@ BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, null_ids binary, counts b
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None:
     """Tokenize every document and write the files, in ascending id order."""
     spark = docs.sparkSession
-    raw = scratch(spark, "tokens")
-    tokenize(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(raw)
+    raw, kind = scratch(spark, "tokens"), id_type(tokenizer, end_id)
+    tokenize(docs, tokenizer, end_id, kind).write.option("compression", "zstd").parquet(raw)
     tokens = spark.read.schema("doc_id long, ids binary").parquet(raw)
-    ids = id_ranks(tokens)
+    ids = id_ranks(tokens, kind)
     spark.createDataFrame([(bytearray(ids.astype("<u4").tobytes()),)], "ids binary").write.parquet(f"{folder}/ranks")
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype="<u4")
     rank[ids] = np.arange(len(ids))
@@ -157,7 +172,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         for b in batches:
             for d, v in zip(column(b, "doc_id").to_pylist(), column(b, "ids")):
                 doc.append(d)
-                runs.append(np.frombuffer(v.as_buffer(), dtype="<u4"))
+                runs.append(np.frombuffer(v.as_buffer(), dtype=kind))
                 held += len(runs[-1])
                 if held >= BLOCK_IDS:
                     yield flush()

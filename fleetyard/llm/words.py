@@ -27,7 +27,7 @@ _BASE = int(0x9E3779B97F4A7C15)
 _UNBASE = pow(_BASE, -1, 1 << 64)
 # Work is done on about this many bytes at a time, so that the arrays stay in
 # cache; one longer text makes a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -41,7 +41,9 @@ _POW = {"up": _powers(_BASE, CHUNK_BYTES + 1), "down": _powers(_UNBASE, CHUNK_BY
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POW["up"]) < n:
-        return _powers(_BASE, n), _powers(_UNBASE, n)
+        if n > 1 << 22:                      # one very long text: not kept
+            return _powers(_BASE, n), _powers(_UNBASE, n)
+        _POW["up"], _POW["down"] = _powers(_BASE, n + n // 2), _powers(_UNBASE, n + n // 2)
     return _POW["up"], _POW["down"]
 
 
@@ -129,6 +131,38 @@ def split_tokens(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, bounds, side="left")
 
 
+# Byte classes for split_pieces: 1 letters and digits of ASCII and Latin-1, 2 ASCII
+# signs but the apostrophe, 3 anything else.
+_PIECE = np.full(256, 3, dtype=np.uint8)
+_PIECE[_SPACE] = 0
+_PIECE[33:127] = 2
+_PIECE[39] = 3
+_PIECE[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+
+
+def split_pieces(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As split_words, and also cut between a letter or digit and an ASCII sign.
+
+    For tokenizers that split letters from signs themselves. Only clear cases
+    are cut: never next to an apostrophe or to a character beyond Latin-1.
+    """
+    n = len(buf)
+    if n == 0:
+        return split_words(buf, bounds)
+    kind = _PIECE[buf]
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    lead = lead[(buf[lead + 1] != 0x97) & (buf[lead + 1] != 0xB7)]
+    kind[lead] = 1
+    kind[lead + 1] = 1
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[bounds] = True
+    edge[[0, n]] = True
+    edge[1:n] |= (kind[1:] == 0) | (kind[:-1] == 0) | (kind[1:] + kind[:-1] == 3) & (kind[1:] < 3) & (kind[:-1] < 3)
+    starts = np.flatnonzero(edge[:n] & (kind > 0))
+    ends = np.flatnonzero(edge[1:] & (kind > 0)) + 1
+    return starts, ends, np.searchsorted(starts, bounds, side="left")
+
+
 def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                lower: bool = False) -> np.ndarray:
     """64-bit hashes of the words; ``lower`` hashes A-Z as a-z."""
@@ -171,6 +205,17 @@ def ngrams(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(out ^ U64(k * 0x9E3779B97F4A7C15 + seed & ((1 << 64) - 1)))
 
 
+def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """As ``ngrams`` for long windows: one pass whatever k is (other values than ngrams)."""
+    m = len(hashes) - k + 1
+    if m <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    up, down = _power_tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * up[:len(hashes)], out=total[1:])
+    return mix((total[k:] - total[:m]) * down[:m] + U64(k))
+
+
 def within(word_bounds: np.ndarray, k: int) -> np.ndarray:
     """Mask over positions: the k words from it lie in one text."""
     n = int(word_bounds[-1])
