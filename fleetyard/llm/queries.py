@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetyard.llm.frames import read
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by the Jaccard similarity of their 4-word shingles."""
+    from fleetyard.llm.ngram_join import jaccard_join
+
+    return jaccard_join(read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     from fleetyard.llm.secret_scan import secret_spans
@@ -63,6 +70,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_scan": op3_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
