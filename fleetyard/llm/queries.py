@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetyard.llm.frames import read
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; its source is the host, its language the path."""
+    from fleetyard.llm.quality_classifier import quality
+
+    docs = read(spark, sf_dir, "documents")
+    return quality(docs, read(spark, sf_dir, "labels"), host=docs["source"], path=docs["lang"])
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the Jaccard similarity of their 4-word shingles."""
     from fleetyard.llm.ngram_join import jaccard_join
@@ -77,6 +85,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
