@@ -25,7 +25,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -223,12 +222,12 @@ def leaks_any(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
     spark, cond = docs.sparkSession, F.lit(False)
 
     def condition(shared) -> Column:
-        @F.pandas_udf("boolean")
-        def leaks(text: pd.Series) -> pd.Series:
+        @F.arrow_udf("boolean")
+        def leaks(text: pa.Array) -> pa.Array:
             out = np.zeros(len(text), dtype=bool)
-            for row, _, _, _ in shared.value.scan(pa.array(text, type=pa.string(), from_pandas=True)):
+            for row, _, _, _ in shared.value.scan(text):
                 out[row] = True
-            return pd.Series(out)
+            return pa.array(out)
 
         return leaks(docs[text_col])
 

@@ -57,6 +57,18 @@ def binary_rows(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], type=pa.binary())
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table, below the cluster's shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

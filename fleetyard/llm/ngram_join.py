@@ -30,14 +30,15 @@ members and of the whole set.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetyard.llm.components import components
-from fleetyard.llm.frames import column, texts, written
+from fleetyard.llm.frames import column, free_names, texts, written
 from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.word_memo import ragged
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
@@ -115,16 +116,17 @@ def bitmap_difference(a: bytes, b: bytes) -> int:
 # --- 1. sets, classes, index -----------------------------------------------
 
 def _set_chunks(batches, k: int):
-    """(row ids, sets, bounds, set hashes) of a task's texts."""
+    """(row ids, text checksums, sets, bounds, set hashes) of a task's texts."""
     for b in batches:
         doc = column(b, "doc_id")
         for c in chunks(column(b, "text"), lower=True):
             g, bounds = gram_sets(c, k)
-            yield doc.slice(c.first, c.n_texts), g, bounds, set_hashes(g, bounds)
+            mark = [zlib.crc32(c.buf[x:y]) for x, y in zip(c.bounds[:-1].tolist(), c.bounds[1:].tolist())]
+            yield doc.slice(c.first, c.n_texts), mark, g, bounds, set_hashes(g, bounds)
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """A row per document (doc_id, cls, n, bitmap), and rows of n-grams that a
+    """A row per document (doc_id, checksum of the text, cls, n, bitmap), and rows of n-grams that a
     task's segment of documents has more than once (gram, count)."""
 
     def run(batches):
@@ -136,15 +138,15 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
             often = n > 1
             m = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()),
-                 pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=names)
+                [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()),
+                 pa.nulls(m, pa.binary()), pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=names)
 
-        names = ["doc_id", "cls", "n", "bitmap", "gram", "count"]
-        for doc, g, bounds, cls in _set_chunks(batches, k):
+        names = ["doc_id", "mark", "cls", "n", "bitmap", "gram", "count"]
+        for doc, mark, g, bounds, cls in _set_chunks(batches, k):
             n = np.diff(bounds)
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
-                [doc, pa.array(cls.view(np.int64)), pa.array(n.astype(np.int32)),
+                [doc, pa.array(mark, pa.int64()), pa.array(cls.view(np.int64)), pa.array(n.astype(np.int32)),
                  pa.array(parity_bitmaps(g, bounds), pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())],
                 names=names)
             for i in range(rows):
@@ -158,7 +160,7 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
         if held:
             yield counts()
 
-    return texts(docs).mapInArrow(run, "doc_id long, cls long, n int, bitmap binary, gram long, count long")
+    return texts(docs).mapInArrow(run, "doc_id long, mark long, cls long, n int, bitmap binary, gram long, count long")
 
 
 def frequent_grams(sets: DataFrame) -> np.ndarray:
@@ -175,7 +177,7 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
     def run(batches):
         seen: set[int] = set()
         late = last.value
-        for _, g, bounds, cls in _set_chunks(batches, k):
+        for _, _, g, bounds, cls in _set_chunks(batches, k):
             n = np.diff(bounds)
             fresh = []
             for x in cls.tolist():
@@ -465,16 +467,11 @@ def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
 
 # --- 4. the join -----------------------------------------------------------
 
-def jaccard_join(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
-
-    component_id is the smallest doc_id that links reach, itself included
-    (null only where all of these are null); n_links counts the other rows with
-    the same set and all rows of linked sets. Repeated rows are linked like any
-    copies; null and empty texts have no n-grams and no links.
-    """
+def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, mark (checksum of the text), n, tree, component_id, n_links of every
+    row; ``tree`` is null for empty sets, else equal for all that links connect."""
     sets = written(document_sets(docs, k), "sets")
-    rows = sets.filter("gram is null").select("doc_id", "cls", "n")
+    rows = sets.filter("gram is null").select("doc_id", "mark", "cls", "n")
     classes = written(sets.filter("gram is null and n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("bitmap").alias("bitmap")), "classes")
@@ -491,8 +488,40 @@ def jaccard_join(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFra
     found = found.join(linked.groupBy("cls").agg(F.sum("n_links").alias("n_links")), "cls", "left")
     least = found.groupBy("tree").agg(F.min("doc").alias("component_id"))
     found = found.join(least, "tree").select(
-        "cls", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return (rows.join(found, "cls", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        "cls", "tree", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return rows.join(found, "cls", "left").select(
+        "doc_id", "mark", "n", "tree",
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_join(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
+
+    component_id is the smallest doc_id that links reach, itself included
+    (null only where all of these are null); n_links counts the other rows with
+    the same set and all rows of linked sets. Repeated rows are linked like any
+    copies; null and empty texts have no n-grams and no links.
+    """
+    return linked_rows(docs, k, percent).select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
+
+
+def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near copies: of all rows
+    that links connect the one with the smallest id stays (a null id comes last;
+    among equal ids the smallest checksum of the text; among equal rows any one).
+    Rows with an empty set all stay."""
+    last = (1 << 63) - 1
+    rows = linked_rows(docs, k, percent).select(F.coalesce("doc_id", F.lit(last)).alias("id"), "mark", "n", "tree")
+    rows = written(rows, "linked")
+    keep = rows.filter("tree is not null").groupBy("tree").agg(F.min(F.struct("id", "mark")).alias("first")).select("first.*")
+    keep = keep.withColumn("once", F.lit(True)).union(
+        rows.filter("tree is null").select("id", "mark").distinct().withColumn("once", F.lit(False)))
+    d_id, d_mark, once, k_id, k_mark, nth = free_names(docs, "id", "mark", "once", "keep_id", "keep_mark", "nth")
+    keep = keep.toDF(k_id, k_mark, once)
+    marked = docs.withColumns({d_id: F.coalesce(docs["doc_id"].cast("long"), F.lit(last)),
+                               d_mark: F.coalesce(F.crc32(F.encode(docs["text"], "UTF-8")), F.lit(0))})
+    kept = marked.join(keep, (F.col(d_id) == F.col(k_id)) & (F.col(d_mark) == F.col(k_mark)))
+    same = Window.partitionBy(d_id, d_mark).orderBy(F.lit(0))
+    return kept.withColumn(nth, F.row_number().over(same)).filter(~F.col(once) | (F.col(nth) == 1)).select(*docs.columns)

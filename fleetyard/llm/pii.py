@@ -22,7 +22,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -300,11 +299,11 @@ def masked_text(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Column:
     """The text of ``docs`` without personal data; null stays null."""
     tagger = fit_tagger(docs, max_docs)
 
-    @F.pandas_udf("string")
-    def masked(text: pd.Series) -> pd.Series:
-        given = text.tolist()
+    @F.arrow_udf("string")
+    def masked(text: pa.Array) -> pa.Array:
+        given = text.to_pylist()
         clean = [t or "" for t in given]
-        return pd.Series([None if g is None else mask(t, s) for g, t, s in zip(given, clean, scan_batch(clean, tagger))],
-                         dtype=object)
+        return pa.array([None if g is None else mask(t, s) for g, t, s in zip(given, clean, scan_batch(clean, tagger))],
+                        type=pa.string())
 
     return masked(docs["text"])

@@ -172,14 +172,14 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns as they are."""
     table = docs.sparkSession.sparkContext.broadcast(log_ratio(*count_grams(docs, labels)))
 
-    @F.pandas_udf("boolean")
-    def passes(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def passes(text: pa.Array) -> pa.Array:
         out = []
-        for c in chunks(pa.array(text, type=pa.string(), from_pandas=True)):
+        for c in chunks(text):
             n = base_counts(c)
             out.append((n["n_words"] >= MIN_WORDS)
                        & (100 * n["n_repeat_words"] <= MAX_REPEATED_PERCENT * n["n_words"])
                        & (ratio_scores(c, table.value) >= MIN_SCORE))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
     return docs.filter(passes(docs["text"]))

@@ -81,6 +81,8 @@ class Chunk:
 
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Byte buffer and offsets of a string or binary column; nulls are empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null(b"" if pa.types.is_binary(column.type)
                                   or pa.types.is_large_binary(column.type) else "")
