@@ -346,11 +346,13 @@ def overlaps(sets: list[np.ndarray], other: list[np.ndarray] | None, possible: n
 
 
 def block_links(cls: np.ndarray, copies: np.ndarray, part: np.ndarray, sets: list[np.ndarray], percent: int):
-    """Links within a block (all rows of one part) or between its two parts:
-    for every linked class its tree's root in the block, and its linked documents."""
-    first, second = np.flatnonzero(part == 0), np.flatnonzero(part == 1)
+    """Links within a block (part 2) or between its two parts (0 and 1): for every
+    linked class its tree's root in the block, and its linked documents."""
+    within_one = bool((part == 2).any())
+    first, second = np.flatnonzero(part == (2 if within_one else 0)), np.flatnonzero(part == 1)
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    within_one = not len(second)
+    if not within_one and not (len(first) and len(second)):
+        return None
     right = first if within_one else second
     bound = needed(n[first][:, None], n[right][None, :], percent)
     possible = 100 * np.minimum(n[first][:, None], n[right]) >= percent * np.maximum(n[first][:, None], n[right])
@@ -409,7 +411,7 @@ def block_plan(members: DataFrame, percent: int) -> DataFrame:
     one = lambda k, part: F.struct(k.alias("block"), part.alias("part"))
     places = F.concat(
         F.transform(span(F.col("parts")), lambda q: one(
-            key(b, F.least(p, q), b, F.greatest(p, q)), F.when(p <= q, F.lit(0)).otherwise(F.lit(1)))),
+            key(b, F.least(p, q), b, F.greatest(p, q)), F.when(p == q, F.lit(2)).when(p < q, F.lit(0)).otherwise(F.lit(1)))),
         F.transform(span(F.coalesce("above", F.lit(0))), lambda q: one(key(b, p, b + 1, q), F.lit(0))),
         F.transform(span(F.coalesce("below", F.lit(0))), lambda q: one(key(b - 1, q, b, p), F.lit(1))))
     return m.select("cls", "copies", "doc", F.explode(places).alias("at")).select(
