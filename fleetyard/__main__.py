@@ -1,52 +1,70 @@
-"""Run a scheduled job: ``python -m fleetyard --job NAME --source KIND:LOCATION --out DIR``.
+"""Front end of the scheduled jobs.
 
-Sources: ``parquet:<root>`` (one folder per table), ``catalog:<database>``,
-``testdata:<sf_dir>`` (tables derived from the test data). ``--ini`` / ``--fim``
-override the job's rolling window (days back from ``--as-of``, default today);
-``--list`` prints the jobs and their defaults.
+``python -m fleetyard jobs`` shows them; ``python -m fleetyard run NAME SOURCE
+OUT [name=value ...]`` runs one. A source is ``parquet:<root>``,
+``catalog:<database>``, ``testdata:<sf_dir>`` or a ``jdbc:`` URL (user and
+password from the environment: FLEETYARD_DB_USER, FLEETYARD_DB_PASSWORD).
+Further words set the job's parameters (``ini=30``), ``as_of=YYYY-MM-DD``, or
+for a database ``schema=``; storage locations are read as parallel slices.
 """
 from __future__ import annotations
 
-import argparse
+import os
 import sys
 
+from fleetyard.plans.jobs import JOBS, run
+from fleetyard.sources.dictionaries import PICKING_LOCATIONS
+from fleetyard.sources.tables import CatalogTables, JdbcTables, ParquetTables, value_slices
 
-def _source(spark, spec: str):
-    kind, _, loc = spec.partition(":")
-    if kind == "parquet":
-        from fleetyard.sources.tables import ParquetTables
-        return ParquetTables(spark, loc)
-    if kind == "catalog":
-        from fleetyard.sources.tables import CatalogTables
-        return CatalogTables(spark, loc)
+
+def open_source(spark, where: str, schema: str | None = None):
+    kind, _, place = where.partition(":")
+    if kind == "jdbc":
+        login = {"user": os.environ.get("FLEETYARD_DB_USER", ""),
+                 "password": os.environ.get("FLEETYARD_DB_PASSWORD", "")}
+        return JdbcTables(spark, where, login, schema=schema,
+                          slices={"resb": value_slices("lgort", PICKING_LOCATIONS) + other_locations()})
     if kind == "testdata":
         from fleetyard.sources.testdata import TestdataTables
-        return TestdataTables(spark, loc)
-    raise SystemExit(f"unknown source kind {kind!r} (parquet:, catalog:, testdata:)")
-
-
-def main(argv=None) -> int:
-    from fleetyard.plans.jobs import JOBS
-    ap = argparse.ArgumentParser(prog="fleetyard", description=__doc__.splitlines()[0])
-    ap.add_argument("--job", choices=sorted(JOBS))
-    ap.add_argument("--source", help="parquet:<root> | catalog:<db> | testdata:<sf_dir>")
-    ap.add_argument("--out", help="output folder for the batch documents")
-    ap.add_argument("--as-of", dest="as_of", help="reference date YYYY-MM-DD (default today)")
-    ap.add_argument("--ini", type=int, help="window start, days back")
-    ap.add_argument("--fim", type=int, help="window end, days back")
-    ap.add_argument("--list", action="store_true", help="list the jobs and exit")
-    a = ap.parse_args(argv)
-    if a.list or not a.job:
-        for name, job in sorted(JOBS.items()):
-            print(f"{name:22s} {job.report.__name__:28s} {job.defaults or ''}")
-        return 0
-    if not (a.source and a.out):
-        ap.error("--source and --out are required with --job")
-    from fleetyard.plans.jobs import run
-    from fleetyard.session import build_session
-    spark = build_session()
-    params = {k: v for k, v in (("ini", a.ini), ("fim", a.fim)) if v is not None}
-    run(a.job, _source(spark, a.source), a.out, as_of=a.as_of, **params)
+        return TestdataTables(spark, place)
+    readers = {"parquet": ParquetTables, "catalog": CatalogTables}
+    if kind not in readers:
+        raise SystemExit(f"a source begins with jdbc:, testdata:, {': or '.join(readers)}:, not {kind!r}")
+    return readers[kind](spark, place)
+
+
+def other_locations() -> list[str]:
+    """The rest of the rows, so that slices by location leave none out."""
+    known = " OR ".join(value_slices("lgort", PICKING_LOCATIONS))
+    return [f"NOT ({known})", "lgort IS NULL"]
+
+
+def settings(words: list[str]) -> dict:
+    """``name=value`` words; whole numbers become integers, ``a,b`` lists."""
+    out: dict = {}
+    for word in words:
+        name, eq, value = word.partition("=")
+        if not eq:
+            raise SystemExit(f"expected name=value, got {word!r}")
+        out[name] = int(value) if value.lstrip("-").isdigit() else value.split(",") if "," in value else value
+    return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    words = list(sys.argv[1:] if argv is None else argv)
+    match words:
+        case ["jobs"]:
+            for name in JOBS:
+                given = ", ".join(f"{k}={v}" for k, v in JOBS[name].defaults.items())
+                print(f"{name}: {JOBS[name].report.__doc__.split(chr(10))[0] if JOBS[name].report.__doc__ else ''} [{given}]")
+        case ["run", name, where, out, *more] if name in JOBS:
+            from fleetyard.session import build_session
+            given = settings(more)
+            source = open_source(build_session(), where, given.pop("schema", None))
+            print(run(name, source, out, as_of=given.pop("as_of", None), **given))
+        case _:
+            print(__doc__, file=sys.stderr)
+            return 2
     return 0
 
 

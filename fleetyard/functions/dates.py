@@ -52,19 +52,19 @@ def render_decimal_ts(x) -> Column:
 
 
 def slice_count(ini: int, fim: int, size: int) -> int:
-    """Number of day slices the window ``ini..fim`` (days back) is cut into."""
-    if size <= 0 or ini - fim <= size:
-        return 1
-    return len(range(ini, fim, -size))
-
-
-def slice_cuts(ini: int, fim: int, size: int) -> list[tuple[int, int]]:
-    """Day-back bounds ``(start, end)`` per slice, newest last; no gap, no overlap."""
-    if size <= 0 or ini - fim <= size:
-        return [(ini, fim)]
-    cuts = list(range(ini, fim, -size)) + [fim]
-    return [(cuts[i], cuts[i + 1] + (1 if cuts[i + 1] != fim else 0))
-            for i in range(len(cuts) - 1)]
+    """Number of day slices that the window ``ini..fim`` (days back) is cut into:
+    full slices of ``size`` days, the last one with what is left."""
+    return max(1, -(-(ini - fim) // size)) if size > 0 else 1
+
+
+def slice_bounds(i: int, ini: int, fim: int, size: int) -> tuple[int, int]:
+    """First and last day (days back, both included) of slice ``i``, 0 = oldest.
+
+    Slice i begins ``i * size`` days after the window does and ends the day
+    before the next one begins; the last ends with the window.
+    """
+    last = i == slice_count(ini, fim, size) - 1
+    return ini - i * size, fim if last else ini - (i + 1) * size + 1
 
 
 def day_slice_id(date_text, as_of, ini: int, fim: int, size: int) -> Column:

@@ -28,18 +28,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(v) if isinstance(v, int) else int(v.toString())
 
 
-def code_table(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def code_table(df: DataFrame, max_bytes: int | None = None, inputs=None) -> DataFrame:
     """Broadcast a catalogue-sized table, behind a size check.
 
     The hint is given only when the planner's size estimate is under the
     limit; otherwise (or when the size is unknown) the join stays a plain
     join and Spark/AQE choose broadcast or shuffle from measured sizes.
+    ``inputs``: the tables that ``df`` is joined from. Their sizes are summed
+    instead (the estimate of a join is a product of sizes); only for joins
+    that add columns to rows, so that the result is no larger than that.
     """
     limit = max_bytes
     if limit is None:
         limit = int(df.sparkSession.conf.get("fleetyard.broadcast.maxBytes",
                                              str(BROADCAST_MAX_BYTES)))
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    size = sum(map(estimated_bytes, inputs)) if inputs else estimated_bytes(df)
+    return F.broadcast(df) if size <= limit else df
 
 
 def semi_restrict(df: DataFrame, keys: DataFrame, on) -> DataFrame:
@@ -71,3 +75,22 @@ def spread_key(key: Column, salt: Column, blank: bool = False) -> Column:
     """
     missing = key.isNull() | (F.trim(key) == "") if blank else key.isNull()
     return F.when(missing, F.concat(F.lit(_NO_MATCH), salt.cast("string"))).otherwise(key)
+
+
+_SALTS = 64
+
+
+def salted_join(df: DataFrame, lookup: DataFrame, key: Column, on: str, salt: Column) -> DataFrame:
+    """``df`` left-joined with a lookup (one row per ``on``) whose blank key is hot.
+
+    NULL keys get stand-ins that match nothing, as in :func:`spread_key`. Rows
+    with a blank key are dealt to _SALTS keys, and the lookup's row of the
+    blank key, if it has one, is repeated for each of them. ``on`` is dropped.
+    """
+    blank = F.trim(F.col(on)) == ""
+    salts = F.transform(F.sequence(F.lit(0), F.lit(_SALTS - 1)), lambda i: F.concat(F.lit("\u0002"), i.cast("string")))
+    keys = F.when(blank, salts).otherwise(F.array(F.col(on)))
+    right = lookup.withColumn("__salted", F.explode(keys)).drop(on)
+    nth = F.pmod(F.xxhash64(salt), F.lit(_SALTS)).cast("string")
+    left = F.when(F.trim(key) == "", F.concat(F.lit("\u0002"), nth)).otherwise(spread_key(key, salt))
+    return df.withColumn("__salted", left).join(right, "__salted", "left").drop("__salted")

@@ -13,9 +13,9 @@ ORDERS_SINCE = "2024-01-01"
 
 
 def dbl(x) -> Column:
-    """Quantities and amounts are computed in decimal and delivered as double."""
-    c = F.col(x) if isinstance(x, str) else x
-    return c.cast("double")
+    """Quantities and amounts stay decimal up to the sink, which renders them as
+    text; only the checked queries turn them into doubles (``registry``)."""
+    return F.col(x) if isinstance(x, str) else x
 
 
 def zero_strip(x) -> Column:

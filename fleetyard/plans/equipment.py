@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetyard.functions import blank_to_null, norm_id
-from fleetyard.operators.joins import anti_restrict
+from fleetyard.operators.joins import anti_restrict, spread_key
 from fleetyard.operators.keyed import latest_by, text_lookup
 from fleetyard.plans.common import sort_report
 
@@ -29,9 +29,12 @@ def equipment_register(src, ordered: bool = False) -> DataFrame:
     desc = text_lookup(src.table("eqkt"), "equnr", "eqktx", lang="spras", langs=["p", "pt"],
                        lang_ci=True, order=[F.col("spras").asc_nulls_last()])
     iloa = src.table("iloa").select("iloan", "tplnr", "swerk")
-    loc = latest_by(src.table("equz").join(iloa, "iloan", "left"), "equnr",
+    # the current row of each equipment first, then its place: fewer rows to
+    # join, and rows without a place are spread
+    loc = latest_by(src.table("equz"), "equnr",
                     [F.col("datbi").desc_nulls_first(), F.col("iloan").asc_nulls_last()])
-    loc = loc.select("equnr", "tplnr", "swerk")
+    loc = (loc.withColumn("iloan", spread_key(F.col("iloan"), F.col("equnr")))
+           .join(iloa, "iloan", "left").select("equnr", "tplnr", "swerk"))
     e = active_equipment(src).join(desc, "equnr", "left").join(loc, "equnr", "left")
     out = e.select(
         F.col("swerk").alias("tipo_holo"), norm_id("equnr").alias("ativo"),

@@ -9,6 +9,7 @@ documents by the executors.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.plans import (equipment, parts, purchasing, receipts, reservations, work_orders,
                              yard)
-from fleetyard.sources.delivery import BATCH_ROWS, run_log, to_batches
+from fleetyard.sources.delivery import BATCH_ROWS, deliver, run_log
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,8 @@ class Job:
     order: tuple[str, ...]                        # delivery order (made total by the key columns)
     defaults: dict = field(default_factory=dict)  # rolling-window parameters
     uses_as_of: bool = False
+    style: str = "runner"                         # envelope: runner, legacy (rows in batches) or yard (one document)
+    internal: tuple[str, ...] = ()                # columns that are not delivered
 
 
 def _cols(*names):
@@ -56,7 +59,13 @@ JOBS: dict[str, Job] = {
                              _cols("status_migo", "data_do_recebimento_fisico", "pedido",
                                    "requisicao")),
     "pecas_historico": Job(parts.parts_history, _cols("ativo", "cod_sap", "fatia"),
-                           {"ini": 365, "fim": 0, "slice_days": 45}, uses_as_of=True),
+                           {"ini": 365, "fim": 0, "slice_days": 45}, uses_as_of=True,
+                           internal=("fatia",)),
+    # the three older stand-alone jobs, with their own envelopes
+    "pagamento_por_item": Job(purchasing.po_payment_by_item, _cols("pedido"),
+                              {"groups": None, "creators": None}, style="legacy"),
+    "recebimentos_por_pedido": Job(receipts.receipts_by_order, _cols("pedido"), style="legacy"),
+    "uca_payload": Job(yard.yard_payload, (), {"n_events": yard.SNAPSHOT_EVENTS}, style="yard"),
 }
 
 
@@ -72,22 +81,29 @@ def build(name: str, src, as_of=None, **params) -> DataFrame:
     return job.report(src, **kw)
 
 
-def run(name: str, src, out_dir: str, as_of=None, size: int = BATCH_ROWS, **params) -> None:
-    """Compute the job and write its delivery batches (one JSON document per
-    line, one file set per run) under ``out_dir``."""
+def run(name: str, src, out_dir: str, as_of=None, size: int = BATCH_ROWS, **params) -> str:
+    """Compute the job and write its delivery documents (JSON lines) to a run
+    folder of its own below ``out_dir``; returns that folder.
+
+    Earlier runs stay as they are. A failed run writes one document
+    ``{started_at, error}`` with the whole error text to ``<run>_error``.
+    """
     job = JOBS[name]
     started = _dt.datetime.now(_dt.timezone.utc).isoformat()
+    folder = f"{out_dir.rstrip('/')}/run-{started.replace(':', '').replace('+0000', 'Z')}-{uuid.uuid4().hex[:8]}"
     try:
+        if job.style == "yard":
+            job.report(src, started, **{**job.defaults, **params}).write.text(folder)
+            return folder
         df = build(name, src, as_of, **params)
+        # columns that only order or cut the delivery are dropped from the rows
         order = [F.col(c).asc_nulls_last() for c in job.order if c in df.columns]
-        docs = to_batches(df, order, name, started, size=size)
-        docs.select("json").write.mode("overwrite").text(out_dir)
+        deliver(df, folder, order, name, started, size, "legacy" if job.style == "legacy" else "runner", job.internal)
+        return folder
     except Exception as exc:
-        # error envelope {started_at, error}, written next to the batches
         spark = getattr(src, "spark", None)
         if spark is not None:
-            (run_log(spark, name, started, f"{type(exc).__name__}: {exc}"[:2000])
+            (run_log(spark, name, started, f"{type(exc).__name__}: {exc}")
              .select(F.to_json(F.struct("started_at", "error")).alias("json"))
-             .coalesce(1).write.mode("overwrite").text(f"{out_dir.rstrip('/')}_error"))
+             .coalesce(1).write.text(f"{folder}_error"))
         raise
-

@@ -12,7 +12,7 @@ from fleetyard.operators.keyed import latest_by, latest_then, text_lookup
 from fleetyard.operators.status import user_status
 from fleetyard.plans import equipment, parts, purchasing, quality, reservations, work_orders
 from fleetyard.plans.common import ORDERS_SINCE, activity_texts, dbl, work_centres
-from fleetyard.plans.params import AS_OF, FULL_WINDOW
+from fleetyard.plans.params import AS_OF, CUT_WINDOW, FULL_WINDOW
 from fleetyard.sources.dictionaries import PICKING_LOCATIONS
 
 
@@ -145,7 +145,8 @@ def parts_consumption(src) -> DataFrame:
 
 
 def window_filter(src) -> DataFrame:
-    lo, hi = window_bounds(AS_OF, FULL_WINDOW, 0)
+    """A window that cuts the test data's dates at both ends."""
+    lo, hi = window_bounds(AS_OF, *CUT_WINDOW)
     e = src.table("eban").filter((F.col("badat") >= lo) & (F.col("badat") <= hi))
     return e.select("banfn", "bnfpo", "badat")
 

@@ -17,3 +17,9 @@ JOB_DEFAULTS = {
     "po_payment": {"ini": 90},
     "parts_history": {"ini": 365, "fim": 0, "slice_days": SLICE_DAYS},
 }
+
+# A window that cuts off dates at both ends of the test data (days back from AS_OF).
+CUT_WINDOW = (1500, 700)
+
+# Purchasing groups of the legacy buyer filter, some of those in the test data.
+PAYMENT_GROUPS = ("200", "203")

@@ -50,13 +50,14 @@ def parts_history(src, as_of=None, ini: int = 365, fim: int = 0, slice_days: int
         .withColumn("__mat", strip_zeros("matnr"))
     eq_txt = text_lookup(src.table("eqkt"), strip_zeros("equnr"), "eqktx", lang="spras",
                          langs=["p", "pt"], lang_ci=True, order=[F.col("spras").asc_nulls_last()],
-                         key_name="__eq", restrict=agg.select("__eq"))
+                         key_name="__eq")
     mat_txt = text_lookup(src.table("makt"), strip_zeros("matnr"), "maktx", lang="spras",
                           langs=["p", "pt"], lang_ci=True, order=[F.col("spras").asc_nulls_last()],
-                          key_name="__mat", restrict=agg.select("__mat"))
+                          key_name="__mat")
     mara = src.table("mara").select(strip_zeros("matnr").alias("__mat"), "matkl")
-    j = (agg.join(eq_txt, "__eq", "left").join(mat_txt, "__mat", "left")
-         .join(mara, "__mat", "left"))
+    # material text and group come in one join (a material may have several group rows)
+    materials = mara.join(mat_txt, "__mat", "full_outer")
+    j = agg.join(eq_txt, "__eq", "left").join(materials, "__mat", "left")
     out = j.select(
         F.col("__eq").alias("ativo"), F.col("eqktx").alias("descricao_ativo"),
         F.col("__mat").alias("cod_sap"), F.col("maktx").alias("descricao_componente"),

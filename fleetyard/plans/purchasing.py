@@ -40,12 +40,29 @@ def received_qty(ekbe: DataFrame, keys: DataFrame | None, since: str | None) ->
     return x.groupBy(*PO_KEY).agg(F.sum("menge").alias("qtd_recebida"))
 
 
+def order_item_facts(src, since: str) -> DataFrame:
+    """Per order item: greatest cost centre, quantity received since ``since``
+    (NULL without receipts) and first schedule date, in one aggregation."""
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("decimal(18,3)")
+
+    def row(df, kostl=text, menge=number, eindt=text):
+        return df.select(*PO_KEY, kostl.alias("kostl"), menge.alias("menge"), eindt.alias("eindt"))
+
+    got = src.table("ekbe").filter((F.col("vgabe") == "1") & (F.col("budat") >= since))
+    rows = (row(src.table("ekkn"), kostl=F.col("kostl"))
+            .unionByName(row(got, menge=F.col("menge")))
+            .unionByName(row(src.table("eket"), eindt=F.col("eindt"))))
+    return rows.groupBy(*PO_KEY).agg(F.max("kostl").alias("pk_kostl"), F.sum("menge").alias("qtd_recebida"),
+                                     F.min("eindt").alias("eindt"))
+
+
 def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
                        lgorts=PICKING_LOCATIONS, ordered: bool = False) -> DataFrame:
     """One row per requisition item x order item in the window.
 
-    Lookups are computed once over the keys in play (semi joins) and reduced
-    with aggregates (partial aggregation before the shuffle), never per row.
+    Requisitions and order items are scanned once. What is known of an order
+    item (cost centre, receipts, schedule) comes from one aggregate over the
+    three history tables together and is joined once.
     """
     lo, _ = window_bounds(as_of, ini, fim)
     rc = requisitions_in_window(src, as_of, ini, fim, lgorts).select(
@@ -62,32 +79,23 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
     base = rc.join(ekpo, RC_KEY, "left").withColumn("__po", spread_key(F.col("ebeln"), rc_id))
     base = base.join(ekko, "__po", "left")
 
-    # order items in play (requisition items that have an order item)
-    po_keys = rc.select(*RC_KEY).join(ekpo.select(*RC_KEY, *PO_KEY), RC_KEY).select(*PO_KEY)
-    rc_keys = rc.select(*RC_KEY)
     # account row of the requisition: greatest order number, then greatest cost centre
-    acc = (semi_restrict(src.table("ebkn"), rc_keys, RC_KEY).groupBy(*RC_KEY)
+    acc = (src.table("ebkn").groupBy(*RC_KEY)
            .agg(F.max(F.struct("aufnr", "kostl")).alias("a"))
            .select(*RC_KEY, F.col("a.aufnr").alias("acc_aufnr"), F.col("a.kostl").alias("acc_kostl")))
-    pk = (semi_restrict(src.table("ekkn"), po_keys, PO_KEY).groupBy(*PO_KEY)
-          .agg(F.max("kostl").alias("pk_kostl")))
-    receb = received_qty(src.table("ekbe"), po_keys, lo)
-    sch = (semi_restrict(src.table("eket"), po_keys, PO_KEY).groupBy(*PO_KEY)
-           .agg(F.min("eindt").alias("eindt")))
+    facts = order_item_facts(src, lo).withColumnRenamed("ebeln", "__po")
     by_po = ["__po", "ebelp"]
-    pk, receb, sch = (x.withColumnRenamed("ebeln", "__po") for x in (pk, receb, sch))
     mtext = text_lookup(src.table("makt"), "matnr", "maktx", lang="spras", langs=["p", "pt"],
-                        lang_ci=True, order=[F.lower("spras").asc_nulls_last()],
-                        restrict=rc.select("matnr"))
+                        lang_ci=True, order=[F.lower("spras").asc_nulls_last()])
     afih = src.table("afih").select(F.col("aufnr").alias("__ord"), "equnr")
     lfa1 = src.table("lfa1").select(F.col("lifnr").alias("__vendor"), "name1")
 
-    b = (base.join(acc, RC_KEY, "left").join(pk, by_po, "left")
+    b = (base.join(acc, RC_KEY, "left").join(facts, by_po, "left")
          .withColumn("__ord", spread_key(F.col("acc_aufnr"), rc_id))
          .join(afih, "__ord", "left")
          .withColumn("__vendor", spread_key(F.col("lifnr"), rc_id))
          .join(lfa1, "__vendor", "left")
-         .join(receb, by_po, "left").join(sch, by_po, "left").join(mtext, "matnr", "left"))
+         .join(mtext, "matnr", "left"))
 
     kn = F.coalesce("p_knttp", "knttp")
     out = b.select(
@@ -141,7 +149,7 @@ def po_payment(src, as_of=None, ini: int = 90, require_items: bool = False,
         .select("ebeln", "ekgrp", "ernam")
     if require_items:
         k = semi_restrict(k, src.table("ekpo").select("ebeln"), "ebeln")
-    f = invoiced_orders(src.table("ekbe"), k).withColumn("__inv", F.lit(True))
+    f = invoiced_orders(src.table("ekbe")).withColumn("__inv", F.lit(True))
     out = k.join(f, "ebeln", "left").select(
         strip_zeros("ebeln").alias("pedido"), blank_to_null("ekgrp").alias("grupo_compras"),
         F.col("ernam").alias("criado_por_sap"),
@@ -163,11 +171,15 @@ def po_payment_by_item(src, groups=None, creators=None) -> DataFrame:
         if creators is not None:
             cond = cond | F.col("ernam").isin(list(creators))
         k = k.filter(cond)
-    items = semi_restrict(src.table("ekpo").select(*PO_KEY), k.select("ebeln"), "ebeln")
-    inv = (src.table("ekbe").filter(F.col("vgabe") == "2").select(*PO_KEY).distinct()
-           .withColumn("__inv", F.lit(1)))
-    per_order = items.join(inv, PO_KEY, "left").groupBy("ebeln").agg(F.max("__inv").alias("__inv"))
-    per_key = (per_order.withColumn("pedido", strip_zeros("ebeln"))
+    # an item counts as invoiced by an invoice of the same item: items and
+    # invoices meet in one aggregation per (order, item)
+    items = src.table("ekpo").select(*PO_KEY, F.lit(1).alias("__item"), F.lit(None).cast("int").alias("__inv"))
+    inv = (src.table("ekbe").filter(F.col("vgabe") == "2")
+           .select(*PO_KEY, F.lit(None).cast("int").alias("__item"), F.lit(1).alias("__inv")))
+    per_item = (items.unionByName(inv).groupBy(*PO_KEY)
+                .agg(F.max("__item").alias("__item"), F.max("__inv").alias("__inv")).filter("__item = 1"))
+    per_item = semi_restrict(per_item, k.select("ebeln"), "ebeln")
+    per_key = (per_item.withColumn("pedido", strip_zeros("ebeln"))
                .filter(F.col("pedido") != "")
                .groupBy("pedido").agg(F.max("__inv").alias("__inv")))
     return per_key.select("pedido", L.payment_status(F.col("__inv").isNotNull()).alias("status_pagamento"))
@@ -198,11 +210,16 @@ def po_approvals_workflow(src, as_of=None, ini: int = 3650) -> DataFrame:
                                       & (F.col("wi_cd") >= days_back(as_of, ini)))
     o = src.table("sww_wi2obj").filter((F.col("catid") == "BO") & (F.col("typeid") == "BUS2012")) \
         .select("wi_id", "instid")
-    users = src.table("usr21").select(F.trim("bname").alias("__agent"),
-                                      F.trim("persnumber").alias("__pers"))
-    names = src.table("adrp").select(F.trim("persnumber").alias("__pers"), "name_text")
-    j = (w.join(o, "wi_id").withColumn("__agent", F.trim("wi_aagent"))
-         .join(users, "__agent", "left").join(names, "__pers", "left"))
+    usr21, adrp = src.table("usr21"), src.table("adrp")
+    # the names of the users first: a master table, so few agents holding most
+    # work items do not gather them in few tasks
+    people = code_table(
+        usr21.select(F.trim("bname").alias("__agent"), F.trim("persnumber").alias("__pers"))
+        .join(adrp.select(F.trim("persnumber").alias("__pers"), "name_text"), "__pers", "left").drop("__pers"),
+        inputs=[usr21, adrp])
+    j = (w.join(o, "wi_id")
+         .withColumn("__agent", spread_key(F.trim("wi_aagent"), F.col("wi_id")))
+         .join(people, "__agent", "left"))
     return j.select(
         strip_zeros("instid").alias("pedido"),
         F.coalesce("name_text", "wi_aagent").alias("aprovador"),

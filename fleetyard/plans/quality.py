@@ -52,9 +52,15 @@ def row_counts(new: DataFrame, old: DataFrame) -> DataFrame:
 
 def multiset_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     """Rows of each side missing from the other, duplicates counted (EXCEPT ALL
-    both ways); ``lado`` tells which side the row comes from."""
-    return (new.exceptAll(old).withColumn("lado", F.lit("so_nova"))
-            .unionByName(old.exceptAll(new).withColumn("lado", F.lit("so_antiga"))))
+    both ways); ``lado`` tells which side the row comes from.
+
+    One signed count per row value: each report runs once, and equal rows are
+    combined before the shuffle."""
+    tagged = new.withColumn("__side", F.lit(1)).unionByName(old.withColumn("__side", F.lit(-1)))
+    net = tagged.groupBy(*new.columns).agg(F.sum("__side").alias("__net")).filter(F.col("__net") != 0)
+    side = F.when(F.col("__net") > 0, F.lit("so_nova")).otherwise(F.lit("so_antiga"))
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("__net")))
+    return net.select(*new.columns, side.alias("lado"), each.alias("__nth")).drop("__nth")
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:

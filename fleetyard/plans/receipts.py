@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetyard.functions import labels as L
+from fleetyard.operators.joins import spread_key
 from fleetyard.operators.keyed import latest_by
 from fleetyard.plans.common import sort_report, zero_strip
 
@@ -12,8 +13,10 @@ from fleetyard.plans.common import sort_report, zero_strip
 def _evidence(src) -> DataFrame:
     er = src.table("evidencia_recebimentos")
     rc = src.table("requisicoes_de_compra").select(
-        F.col("id").alias("requisicao_de_compra_id"), "numero_pedido_gerado")
-    return er.join(rc, "requisicao_de_compra_id", "left")
+        F.col("id").cast("string").alias("__rc"), "numero_pedido_gerado")
+    # evidence without a requisition is spread over all tasks
+    key = spread_key(F.col("requisicao_de_compra_id").cast("string"), F.col("id"))
+    return er.withColumn("__rc", key).join(rc, "__rc", "left")
 
 
 def _requisition(e: DataFrame):

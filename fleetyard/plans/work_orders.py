@@ -14,7 +14,7 @@ from fleetyard.functions import is_code_in, norm_id, not_blank, strip_zeros
 from fleetyard.functions import labels as L
 from fleetyard.operators.joins import code_table, spread_key
 from fleetyard.operators.keyed import latest_by, priority_dedupe, rank_when, text_lookup
-from fleetyard.operators.status import system_status, user_status
+from fleetyard.operators.status import system_status, with_user_status
 from fleetyard.plans.common import (ORDERS_SINCE, activity_texts, dbl, priority_texts,
                                     sort_report, work_centres, zero_strip)
 
@@ -54,11 +54,13 @@ def latest_orders_by_code(src, since: str = ORDERS_SINCE) -> DataFrame:
 
 def work_orders_latest(src, since: str = ORDERS_SINCE, ordered: bool = False) -> DataFrame:
     """Latest order per asset x type with phase, priority text and user status."""
-    w = latest_orders(src, since)
-    status = user_status(w.select("aufnr", "objnr"), "aufnr", "objnr", src.table("jsto"),
-                         src.table("jest"), src.table("tj30t"))
-    out = (w.join(priority_texts(src.table("t356_t")), "priok", "left")
-           .join(status, "aufnr", "left"))
+    w = latest_orders(src, since).join(priority_texts(src.table("t356_t")), "priok", "left")
+    # the statuses join the winners themselves and are rolled up next to them:
+    # the ranking, and the scans below it, run once
+    shown = ["ativo", "tipo_manutencao", "filial", "arbpl", "aufnr", "ilatx", "priokx", "priok",
+             "idat1", "idat2", "idat3", "erdat"]
+    out = with_user_status(w.select(*shown, "objnr"), shown, "objnr", src.table("jsto"),
+                           src.table("jest"), src.table("tj30t"))
     out = out.select(
         "ativo", "filial", F.col("arbpl").alias("centro_trabalho"),
         zero_strip("aufnr").alias("ordem"), "tipo_manutencao",
@@ -89,7 +91,9 @@ def work_order_operations(src, since: str = ORDERS_SINCE, ordered: bool = False)
             .join(op_ct, "arbid", "left"))
     status = system_status(base.select("op_objnr"), "op_objnr", src.table("jest"),
                            src.table("tj02t"))
-    out = base.join(status, "op_objnr", "left").select(
+    # operations without an object number are spread, not gathered in one task
+    out = base.withColumn("op_objnr", spread_key(F.col("op_objnr"), F.concat_ws("/", "aufnr", "vornr"))) \
+        .join(status, "op_objnr", "left").select(
         "ativo", "filial", zero_strip("aufnr").alias("ordem"), "tipo_manutencao",
         F.col("ktext").alias("descricao_os"), F.col("arbpl").alias("centro_trabalho_responsavel"),
         F.col("gstrp").alias("data_inicio_programada"), F.col("gltrp").alias("data_fim_programada"),
@@ -109,35 +113,39 @@ def order_items(src, since: str = ORDERS_SINCE) -> DataFrame:
                  zero_strip("aufnr").alias("ordem")))
     ebkn = src.table("ebkn").select("banfn", "bnfpo", F.col("aufnr").alias("ordem_sap"))
     eban = src.table("eban").select("banfn", "bnfpo", "matnr", "txz01", "menge", "knttp")
-    ekpo = src.table("ekpo").select("banfn", "bnfpo", "ebeln")
+    ekpo = src.table("ekpo").select(F.col("banfn").alias("q_banfn"), F.col("bnfpo").alias("q_bnfpo"), "ebeln")
     purchases = (w.join(ebkn, "ordem_sap").join(eban, ["banfn", "bnfpo"])
-                 .join(ekpo, ["banfn", "bnfpo"], "left")
                  .select("ativo", "filial", "ordem", strip_zeros("matnr").alias("cod_sap"),
                          F.col("txz01").alias("desc_compra_direta"), F.col("menge").alias("qtd_req"),
-                         strip_zeros("ebeln").alias("pedido"),
                          F.lit(None).cast("string").alias("num_reserva"),
-                         F.lit("compra").alias("origem"), "knttp"))
+                         F.lit("compra").alias("origem"), "knttp",
+                         F.col("banfn").alias("q_banfn"), F.col("bnfpo").alias("q_bnfpo")))
     resb = (src.table("resb").filter(~F.col("xloek").eqNullSafe("X"))
             .select(F.col("aufnr").alias("ordem_sap"), "rsnum", "matnr", "bdmng", "postp",
-                    F.col("banfn").alias("r_banfn"), F.col("bnfpo").alias("r_bnfpo")))
+                    # many reservations have no requisition: each missing key gets a
+                    # stand-in of its own row before it is joined on
+                    spread_key(F.col("banfn"), F.concat_ws("/", "rsnum", "rspos")).alias("r_banfn"),
+                    F.col("bnfpo").alias("r_bnfpo")))
     eban_r = eban.select(F.col("banfn").alias("r_banfn"), F.col("bnfpo").alias("r_bnfpo"),
                          F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), "knttp")
-    ekpo_r = ekpo.select(F.col("banfn").alias("e_banfn"), F.col("bnfpo").alias("e_bnfpo"), "ebeln")
     by_order = F.col("postp") == "N"
-    # reservations without a requisition are common: spread their missing key
     reservations = (w.join(resb, "ordem_sap").join(eban_r, ["r_banfn", "r_bnfpo"], "left")
-                    .withColumn("e_banfn", spread_key(F.col("e_banfn"),
-                                                      F.concat_ws("/", "r_banfn", "r_bnfpo")))
-                    .join(ekpo_r, ["e_banfn", "e_bnfpo"], "left")
                     .select("ativo", "filial", "ordem", strip_zeros("matnr").alias("cod_sap"),
                             F.lit(None).cast("string").alias("desc_compra_direta"),
-                            F.col("bdmng").alias("qtd_req"), strip_zeros("ebeln").alias("pedido"),
-                            F.when(by_order, F.lit(None).cast("string"))
+                            F.col("bdmng").alias("qtd_req"), F.when(by_order, F.lit(None).cast("string"))
                             .otherwise(strip_zeros("rsnum")).alias("num_reserva"),
                             F.when(by_order, F.lit("compra")).otherwise(F.lit("reserva"))
-                            .alias("origem"), "knttp"))
+                            .alias("origem"), "knttp",
+                            # where the requisition is unknown, the reservation's own (spread) key
+                            # still parts the rows; it matches no order item
+                            F.coalesce("e_banfn", F.concat(F.lit("\u0001"), "r_banfn")).alias("q_banfn"),
+                            F.coalesce("e_bnfpo", F.lit("")).alias("q_bnfpo")))
     items = purchases.unionByName(reservations)
-    return items.filter(F.col("cod_sap").isNotNull() & (F.col("cod_sap") != ""))
+    items = items.filter(F.col("cod_sap").isNotNull() & (F.col("cod_sap") != ""))
+    # one join with the order items for both branches
+    return items.join(ekpo, ["q_banfn", "q_bnfpo"], "left").select(
+        "ativo", "filial", "ordem", "cod_sap", "desc_compra_direta", "qtd_req",
+        strip_zeros("ebeln").alias("pedido"), "num_reserva", "origem", "knttp")
 
 
 def dedupe_items(items: DataFrame) -> DataFrame:
@@ -157,7 +165,7 @@ def order_supplies(src, since: str = ORDERS_SINCE, ordered: bool = False) -> Dat
     items = order_items(src, since)
     texts = text_lookup(src.table("makt"), strip_zeros("matnr"), "maktx", lang="spras",
                         langs=["p", "pt"], lang_ci=True, order=[F.col("spras").asc_nulls_last()],
-                        key_name="cod_sap", restrict=items.select("cod_sap"))
+                        key_name="cod_sap")
     out = dedupe_items(items).join(texts, "cod_sap", "left").select(
         "ativo", "filial", "ordem", "cod_sap",
         F.coalesce("maktx", "desc_compra_direta", F.lit("Sem Descrição")).alias("descricao"),

@@ -6,7 +6,7 @@ so its partitions already merged case variants of the same code.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetyard.functions import not_blank
@@ -57,24 +57,46 @@ def yard_history(src) -> DataFrame:
         F.col("tipo_equipamento").alias("descricao"))
 
 
+def _newest_events(src, n_events: int) -> DataFrame:
+    """The newest ``n_events`` events (the row id decides between equal times).
+
+    Events per day are counted first (a few numbers a year); the day that
+    reaches ``n_events`` bounds the scan, so tasks send on the events of the
+    last days and not ``n_events`` of each partition.
+    """
+    ev = src.table(YARD).filter(F.col("n_armac").isNotNull()
+                                & F.col("created_at_form").isNotNull())
+    days = (ev.groupBy(F.to_date("created_at_form").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("d")).collect())
+    total = 0
+    for r in days:
+        total += r["n"]
+        if total >= n_events:
+            ev = ev.filter(F.col("created_at_form") >= F.lit(r["d"]).cast(ev.schema["created_at_form"].dataType))
+            break
+    return ev.orderBy(F.col("created_at_form").desc(), F.col("id").desc()).limit(n_events)
+
+
+def _is_current():
+    """The asset's newest event, and its type starts with "entrada"."""
+    newest = Window.partitionBy(_asset()).orderBy(F.col("created_at_form").desc(), F.col("id").desc())
+    return ((F.row_number().over(newest) == 1) & (F.trim(_asset()) != "")
+            & F.lower(F.trim(F.coalesce("tipo_relatorio", F.lit("")))).startswith(ENTRY))
+
+
 def yard_snapshot(src, n_events: int = SNAPSHOT_EVENTS) -> tuple[DataFrame, DataFrame]:
     """Legacy yard payload: the newest ``n_events`` events and, among them,
     the current row per asset kept when its type starts with "entrada".
 
-    The event cap is the feature of this payload (a bounded top-N, planned
-    as TakeOrderedAndProject); the order is made total with the row id.
+    The event cap is the feature of this payload.
     """
-    ev = src.table(YARD).filter(F.col("n_armac").isNotNull()
-                                & F.col("created_at_form").isNotNull())
-    order = [F.col("created_at_form").desc(), F.col("id").desc()]
-    top = ev.orderBy(*order).limit(n_events)
-    events = top.select(_asset().alias("n_armac"), "tipo_relatorio",
-                        F.col("created_at_form").alias("ts"), "filial", "cliente",
-                        dbl("horimetro").alias("horimetro"))
-    keyed = top.filter(F.trim(_asset()) != "")
-    rows = latest_then(keyed, _asset(), order,
-                       F.lower(F.trim(F.coalesce("tipo_relatorio", F.lit("")))).startswith(ENTRY))
-    return _yard_row(rows), events
+    top = _newest_events(src, n_events)
+    return _yard_row(top.withColumn("__now", _is_current()).filter("__now")), _event_row(top)
+
+
+def _event_row(df: DataFrame) -> DataFrame:
+    return df.select(_asset().alias("n_armac"), "tipo_relatorio", F.col("created_at_form").alias("ts"),
+                     "filial", "cliente", dbl("horimetro").alias("horimetro"))
 
 
 def yard_snapshot_rows(src) -> DataFrame:
@@ -112,26 +134,31 @@ def yard_payload(src, started_at: str, n_events: int = SNAPSHOT_EVENTS) -> DataF
 
     Both arrays are bounded: ``eventos`` by the event cap, ``rows`` by the
     assets among those events, so gathering them in one document is safe.
-    Newest first in both, as the source query delivered them.
+    One pass over the newest events; newest first in both arrays, the row id
+    deciding between equal times. Values in the legacy yard style (decimals
+    as text, dates as midnight UTC).
     """
-    from fleetyard.sources.delivery import json_columns
-    rows, events = yard_snapshot(src, n_events)
-    ev = F.struct(*[F.col(c) for c in events.columns])
-    rw = F.struct(*[F.col(c) for c in rows.columns])
-    e = json_columns(events).select(F.lit(0).alias("t"), F.col("ts").alias("k"),
-                                    F.col("n_armac").alias("k2"), ev.alias("e"),
-                                    F.lit(None).cast(json_columns(rows).select(rw).schema[0].dataType)
-                                    .alias("r"))
-    r = json_columns(rows).select(F.lit(1).alias("t"), F.col("data_entrada").alias("k"),
-                                  F.col("n_armac").alias("k2"),
-                                  F.lit(None).cast(json_columns(events).select(ev).schema[0].dataType)
-                                  .alias("e"), rw.alias("r"))
-    both = e.unionByName(r)
-    def newest(col):
-        return F.transform(F.sort_array(F.collect_list(col), asc=False), lambda x: x["v"])
-
-    doc = both.agg(
-        newest(F.when(F.col("t") == 0, F.struct("k", "k2", F.col("e").alias("v")))).alias("eventos"),
-        newest(F.when(F.col("t") == 1, F.struct("k", "k2", F.col("r").alias("v")))).alias("rows"))
+    from fleetyard.sources.delivery import encode
+    top = _newest_events(src, n_events).withColumn("__now", _is_current())
+
+    keyed = top.withColumn("__at", F.struct("created_at_form", "id"))
+    parts = keyed.select(
+        "__at", "__now",
+        F.struct(_asset().alias("n_armac"), "tipo_relatorio", F.col("created_at_form").alias("ts"), "filial", "cliente",
+                 F.col("horimetro").alias("horimetro")).alias("e"),
+        F.struct(_asset().alias("n_armac"), F.col("tipo_equipamento").alias("equipamento"), F.upper(F.trim("marca")).alias("marca"),
+                 F.upper(F.trim("modelo")).alias("modelo"), "cliente", "situacao", F.col("created_at_form").alias("data_entrada"),
+                 F.col("horimetro").alias("horimetro"), "filial").alias("r"))
+
+    def rendered(name: str):
+        fields = parts.schema[name].dataType.fields
+        return F.struct(*[encode(F.col(f"{name}.{f.name}"), f.dataType, "legacy_yard").alias(f.name) for f in fields])
+
+    def newest(value, when=None):
+        item = F.struct(F.col("__at"), value.alias("v"))
+        return F.transform(F.sort_array(F.collect_list(F.when(when, item) if when is not None else item), asc=False),
+                           lambda x: x["v"])
+
+    doc = parts.agg(newest(rendered("e")).alias("eventos"), newest(rendered("r"), F.col("__now")).alias("rows"))
     return doc.select(F.to_json(F.struct(F.lit(started_at).alias("started_at"), "rows", "eventos"),
                                 {"ignoreNullFields": "false"}).alias("json"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,8 +52,8 @@ def build_session(master: str | None = None, app: str = "fleetyard",
     return spark
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a large cluster run.
 
     Shuffle partitions follow the input volume (about ``target_partition_bytes``
@@ -62,7 +63,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     rather than fails when a key is hot.
     """
     parts = -(-int(input_bytes) // target_partition_bytes)
-    parts = max(2 * total_cores, min(parts, max_partitions))
+    parts = max(2 * total_cores, parts)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -95,6 +96,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df: DataFrame, name: str = "part") -> tuple[DataFrame, str]:
+    """Write ``df`` below the shared folder and read it back; the caller gives
+    the folder to :func:`discard` when nothing needs it any more."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`materialize` wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: materialises ``df`` in the shared checkpoint folder
     so recomputation after an executor loss re-reads it instead of replaying

@@ -3,20 +3,22 @@ snapshot writes.
 
 Batches are numbered without a single-partition step: the report is range
 partitioned on its (total) delivery order and sorted inside each partition;
-the assignment is cut from lineage by a reliable checkpoint, so a lost
-executor cannot renumber rows; per-partition counts (one row per partition)
-give each partition its offset. A batch then holds at most ``size`` rows, so
-the per-batch ``collect_list`` is bounded.
+the assignment is written to the shared checkpoint folder, so a lost executor
+cannot renumber rows and the report is computed once; per-partition counts
+(one row per partition) give each partition its offset. A batch then holds at
+most ``size`` rows, so the per-batch ``collect_list`` is bounded. ``deliver``
+removes the written rows when the batches are out.
 """
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetyard.session import cut_lineage
+from fleetyard.session import discard, materialize
 
 BATCH_ROWS = 2000
 _LOW33 = (1 << 33) - 1
@@ -65,15 +67,15 @@ def to_json_rows(df: DataFrame, style: str = "runner") -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
-                col: str = "__row", total: str | None = None) -> DataFrame:
-    """0-based global row number under ``order`` (must be total), computed
+                col: str = "__row", total: str | None = None) -> tuple[DataFrame, str]:
+    """The numbered rows and the folder they are kept in. 0-based global row number under ``order`` (must be total), computed
     with range partitioning and per-partition offsets (no global window over
     rows). ``total`` names an optional column with the overall row count."""
     n = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged, kept = materialize(ranged, "delivery")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: these windows and the broadcast are bounded by
     # the partition count, not by the data
@@ -85,24 +87,25 @@ def number_rows(df: DataFrame, order: Sequence[Column], partitions: int | None =
     out = out.withColumn(col, F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW33)))
     if total:
         out = out.withColumnRenamed("__tot", total)
-    return out.drop("__pid", "__mid", "__off", "__tot")
+    return out.drop("__pid", "__mid", "__off", "__tot"), kept
 
 
-def batch_frame(df: DataFrame, order: Sequence[Column], size: int = BATCH_ROWS) -> DataFrame:
-    """Rows with their 1-based batch number and batch metadata (``batch``,
+def batch_frame(df: DataFrame, order: Sequence[Column], size: int = BATCH_ROWS) -> tuple[DataFrame, str]:
+    """Rows and the folder they are kept in. Rows have their 1-based batch number and batch metadata (``batch``,
     ``total_batches``, ``row_count``, ``total_rows``), all derived from the row
     number and the total: no aggregation over the batches."""
-    b = number_rows(df, order, total="total_rows")
+    b, kept = number_rows(df, order, total="total_rows")
     return (b.withColumn("batch", F.floor(F.col("__row") / size) + 1)
             .withColumn("total_batches",
                         F.greatest(F.lit(1), F.ceil(F.col("total_rows") / size)).cast("bigint"))
             .withColumn("row_count", F.least(F.lit(size).cast("bigint"),
-                                             F.col("total_rows") - (F.col("batch") - 1) * size)))
+                                             F.col("total_rows") - (F.col("batch") - 1) * size))), kept
 
 
 def to_batches(df: DataFrame, order: Sequence[Column], job: str, started_at: str,
-               size: int = BATCH_ROWS, style: str = "runner") -> DataFrame:
-    """One JSON envelope per batch, as the application receives them.
+               size: int = BATCH_ROWS, style: str = "runner",
+               internal: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """(batch, json) documents and the folder of the rows behind them. One JSON envelope per batch, as the application receives them.
 
     ``runner``: ``{job, batch (1-based), total_batches, row_count, total_rows,
     started_at, sent_at, rows}``, and one empty batch when there are no rows.
@@ -110,13 +113,14 @@ def to_batches(df: DataFrame, order: Sequence[Column], job: str, started_at: str
     single ``{started_at, rows: [], is_last: true}`` when there are no rows.
     """
     enc_style = "runner" if style == "runner" else "legacy_receipts"
-    payload = [encode(F.col(f.name), f.dataType, enc_style).alias(f.name) for f in df.schema.fields]
-    b = batch_frame(df, order, size).select("__row", "batch", "total_batches", "row_count",
+    payload = [encode(F.col(f.name), f.dataType, enc_style).alias(f.name) for f in df.schema.fields
+               if f.name not in internal]
+    b, kept = batch_frame(df, order, size)
+    b = b.select("__row", "batch", "total_batches", "row_count",
                                             "total_rows", F.struct(*payload).alias("__r"))
     rows = b.groupBy("batch", "total_batches", "row_count", "total_rows").agg(
         F.sort_array(F.collect_list(F.struct("__row", "__r"))).alias("__rs"))
     rows = rows.withColumn("rows", F.transform("__rs", lambda x: x["__r"])).drop("__rs")
-    import datetime as _dt
     sent = F.lit(_dt.datetime.now(_dt.timezone.utc).isoformat())
     if style == "runner":
         env = F.struct(F.lit(job).alias("job"), F.col("batch"), F.col("total_batches"),
@@ -136,16 +140,28 @@ def to_batches(df: DataFrame, order: Sequence[Column], job: str, started_at: str
                          F.array().cast(rows.schema["rows"].dataType).alias("rows"),
                          F.lit(True).alias("is_last"))
     docs = rows.select(F.col("batch"), F.to_json(env, {"ignoreNullFields": "false"}).alias("json"))
-    none = (df.agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == 0)
-            .select(F.lit(1).cast("bigint").alias("batch"),
-                    F.to_json(empty, {"ignoreNullFields": "false"}).alias("json")))
-    return docs.unionByName(none)
+    if b.isEmpty():         # looks at the written rows, not at the report
+        docs = df.sparkSession.range(1).select(
+            F.lit(1).cast("bigint").alias("batch"),
+            F.to_json(empty, {"ignoreNullFields": "false"}).alias("json"))
+    return docs, kept
+
+
+def deliver(df: DataFrame, out_dir: str, order: Sequence[Column], job: str, started_at: str,
+            size: int = BATCH_ROWS, style: str = "runner", internal: Sequence[str] = ()) -> None:
+    """Write the batches as JSON lines (without the ``internal`` columns) and
+    remove the rows kept for numbering."""
+    docs, kept = to_batches(df, order, job, started_at, size, style, internal)
+    try:
+        docs.select("json").write.mode("errorifexists").text(out_dir)
+    finally:
+        discard(df.sparkSession, kept)
 
 
 def batch_summary(df: DataFrame, order: Sequence[Column], key: str,
                   size: int = BATCH_ROWS) -> DataFrame:
     """Per batch: number, totals and first / last key (checks the numbering)."""
-    b = batch_frame(df, order, size)
+    b, _ = batch_frame(df, order, size)
     return b.groupBy("batch", "total_batches", "row_count", "total_rows").agg(
         F.min_by(key, "__row").alias("first_key"), F.max_by(key, "__row").alias("last_key"))
 

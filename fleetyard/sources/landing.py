@@ -20,6 +20,16 @@ SORT_KEYS = {
 }
 
 
+# Keys that part the rows of one filter value: a value that a third of the
+# rows have (a history type, a status, a location) is cut by these.
+ROW_KEYS = {"resb": ("rsnum", "rspos"), "ekbe": ("ebeln", "ebelp"), "jest": ("objnr",), "swwwihead": ("wi_id",)}
+
+
+def _spread(df, n: int, key: str, name: str | None = None):
+    more = [c for c in ROW_KEYS.get(name, ()) if c in df.columns]
+    return df.repartitionByRange(n, key, *more)
+
+
 def land(spark: SparkSession, src, names, root: str, files_per_table: int | None = None) -> ParquetTables:
     """Write ``src.table(name)`` for every name under ``root/name``."""
     n = files_per_table or max(1, spark.sparkContext.defaultParallelism)
@@ -27,7 +37,7 @@ def land(spark: SparkSession, src, names, root: str, files_per_table: int | None
         df = src.table(name)
         key = SORT_KEYS.get(name)
         if key:
-            df = df.repartitionByRange(n, key).sortWithinPartitions(key)
+            df = _spread(df, n, key, name).sortWithinPartitions(key)
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
     return ParquetTables(spark, root)
 
@@ -47,9 +57,11 @@ def land_bucketed(spark: SparkSession, src, names, database: str, location: str,
         w = df.write.mode("overwrite").format("parquet")
         key = BUCKET_KEYS.get(name)
         if key:
+            # one task writes a whole bucket: one file each, sorted
+            w = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
             w = w.bucketBy(buckets, key).sortBy(key)
         elif SORT_KEYS.get(name):
-            w = df.repartitionByRange(buckets, SORT_KEYS[name]).sortWithinPartitions(
+            w = _spread(df, buckets, SORT_KEYS[name], name).sortWithinPartitions(
                 SORT_KEYS[name]).write.mode("overwrite").format("parquet")
         w.saveAsTable(f"{database}.{name}")
     return CatalogTables(spark, database)

@@ -11,18 +11,46 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetyard.functions.dates import days_back, slice_cuts
+from fleetyard.functions.dates import days_back, slice_bounds, slice_count
 
 # The bin-stock table has a non-identifier name in the replica.
 SOURCE_NAMES = {"scwm_aqua": '"/scwm/aqua"'}
 
 
+def checked(df: DataFrame, name: str, declared: Mapping[str, Mapping[str, str]] | None) -> DataFrame:
+    """``df`` if it has the declared columns (name -> Spark type name); else an error.
+
+    Text dates and padded codes are compared as text: a landing table with
+    another type would be read without complaint and filtered wrongly.
+    """
+    for column, kind in (declared or {}).get(name, {}).items():
+        have = dict(df.dtypes).get(column)
+        if have != kind:
+            raise TypeError(f"table {name}: column {column} should be {kind}, is {have or 'missing'}")
+    return df
+
+
+# Columns whose type decides how reports filter, join or rank.
+DECLARED = {
+    "aufk": {"aufnr": "string", "erdat": "string", "objnr": "string"},
+    "afih": {"aufnr": "string", "equnr": "string", "ilart": "string"},
+    "resb": {"rsnum": "string", "rspos": "string", "bdter": "string", "lgort": "string"},
+    "eban": {"banfn": "string", "bnfpo": "string", "badat": "string"},
+    "ekko": {"ebeln": "string", "bedat": "string"},
+    "ekpo": {"ebeln": "string", "ebelp": "string"},
+    "ekbe": {"ebeln": "string", "ebelp": "string", "vgabe": "string", "budat": "string"},
+    "jest": {"objnr": "string", "stat": "string"},
+}
+
+
 class ParquetTables:
     """``root/<name>`` Parquet folders, or an explicit ``paths`` mapping."""
 
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 paths: Mapping[str, str] | None = None):
+                 paths: Mapping[str, str] | None = None,
+                 declared: Mapping[str, Mapping[str, str]] | None = DECLARED):
         self.spark, self.root, self.paths = spark, (root or "").rstrip("/"), dict(paths or {})
+        self.declared = declared
         self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -30,7 +58,7 @@ class ParquetTables:
         file listing and footer read happen once per table."""
         if name not in self._frames:
             path = self.paths.get(name) or f"{self.root}/{name}"
-            self._frames[name] = self.spark.read.parquet(path)
+            self._frames[name] = checked(self.spark.read.parquet(path), name, self.declared)
         return self._frames[name]
 
 
@@ -49,48 +77,64 @@ class CatalogTables:
 
 
 class JdbcTables:
-    """Direct replica reads. ``slices`` maps a table to a list of WHERE
-    predicates; each predicate becomes one partition read in parallel (the
-    replacement for running the statement once per slice, serially)."""
+    """Direct replica reads, each table in several parallel partitions.
+
+    ``slices`` maps a table to WHERE predicates, one partition each.
+    ``ranges`` maps a table to ``(column, lowest, highest, partitions)`` of a
+    numeric or date key, which Spark cuts into equal strides. A table with
+    neither is read over one connection. ``schemas`` gives the database schema
+    of tables that are not in ``schema``.
+    """
 
     def __init__(self, spark: SparkSession, url: str, properties: Mapping[str, str],
                  schema: str | None = None, slices: Mapping[str, Sequence[str]] | None = None,
-                 fetchsize: int = 10000):
+                 ranges: Mapping[str, tuple] | None = None,
+                 schemas: Mapping[str, str] | None = None, fetchsize: int = 10000):
         self.spark, self.url, self.schema = spark, url, schema
         self.props = {"fetchsize": str(fetchsize), **properties}
-        self.slices = dict(slices or {})
+        self.slices, self.ranges, self.schemas = dict(slices or {}), dict(ranges or {}), dict(schemas or {})
 
     def _name(self, name: str) -> str:
         n = SOURCE_NAMES.get(name, name)
-        return f"{self.schema}.{n}" if self.schema else n
+        schema = self.schemas.get(name, self.schema)
+        return f"{schema}.{n}" if schema else n
+
+    def options(self, name: str) -> dict:
+        """Arguments of the read of one table."""
+        out: dict = {"url": self.url, "table": self._name(name), "properties": self.props}
+        if self.slices.get(name):
+            out["predicates"] = list(self.slices[name])
+        elif name in self.ranges:
+            column, low, high, parts = self.ranges[name]
+            out |= {"column": column, "lowerBound": low, "upperBound": high, "numPartitions": int(parts)}
+        return out
 
     def table(self, name: str) -> DataFrame:
-        preds = self.slices.get(name)
-        if preds:
-            return self.spark.read.jdbc(self.url, self._name(name), predicates=list(preds),
-                                        properties=self.props)
-        return self.spark.read.jdbc(self.url, self._name(name), properties=self.props)
+        return self.spark.read.jdbc(**self.options(name))
+
+
+# Default port and URL options of each engine.
+ENGINES = {"postgresql": (5432, ""), "mysql": (3306, "?useUnicode=true&characterEncoding=utf8")}
+
+
+def jdbc_url(engine: str, host: str, database: str, port: int | None = None) -> str:
+    """JDBC URL of a replica; the engine (a key of ENGINES) is always named."""
+    default, options = ENGINES[engine]
+    return f"jdbc:{engine}://{host}:{port or default}/{database}{options}"
 
 
-def jdbc_url(host: str, database: str, port: int | None = None, engine: str | None = None) -> str:
-    """JDBC URL of a replica: PostgreSQL when ``engine`` says so (or, with no
-    engine given, when the port is 5432), MySQL otherwise (telemetry and the
-    application databases run on either)."""
-    e = (engine or "").lower()
-    pg = e in ("pg", "postgres", "postgresql") or (not e and port == 5432)
-    if pg:
-        return f"jdbc:postgresql://{host}:{port or 5432}/{database}"
-    return (f"jdbc:mysql://{host}:{port or 3306}/{database}"
-            "?useUnicode=true&characterEncoding=utf8")
+def quoted(value) -> str:
+    """SQL text literal."""
+    return "'" + str(value).replace("'", "''") + "'"
 
 
 def value_slices(column: str, values: Sequence[str]) -> list[str]:
     """One predicate per value (e.g. one per storage location)."""
-    return [f"{column} = '{v}'" for v in values]
+    return [f"{column} = {quoted(v)}" for v in values]
 
 
 def day_slices(column: str, as_of, ini: int, fim: int, size: int) -> list[str]:
     """One text-date range predicate per day slice of the window; together
     they cover it with no gap and no overlap."""
-    return [f"{column} >= '{days_back(as_of, a)}' AND {column} <= '{days_back(as_of, b)}'"
-            for a, b in slice_cuts(ini, fim, size)]
+    days = (slice_bounds(i, ini, fim, size) for i in range(slice_count(ini, fim, size)))
+    return [f"{column} BETWEEN {quoted(days_back(as_of, a))} AND {quoted(days_back(as_of, b))}" for a, b in days]

@@ -36,7 +36,7 @@ def in_yard(state: DataFrame) -> DataFrame:
     return state.filter(F.lower(F.trim("tipo_relatorio")) == ENTRY).select(
         "n_armac", F.col("tipo_equipamento").alias("equipamento"),
         F.upper(F.trim("marca")).alias("marca"), F.upper(F.trim("modelo")).alias("modelo"),
-        "cliente", "situacao", "data_entrada", F.col("horimetro").cast("double").alias("horimetro"),
+        "cliente", "situacao", "data_entrada", F.col("horimetro").alias("horimetro"),
         "filial")
 
 

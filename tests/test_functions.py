@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from fleetyard.functions import (blank_to_null, branch_of, is_code_in, norm_id, not_blank,
                                  render_decimal_ts, reservation_key, sap_date, strip_zeros)
 from fleetyard.functions import labels as L
-from fleetyard.functions.dates import day_slice_id, days_back, slice_cuts, window_bounds
+from fleetyard.functions.dates import day_slice_id, days_back, slice_bounds, slice_count, window_bounds
+
+
+def _cuts(ini, fim, size):
+    return [slice_bounds(i, ini, fim, size) for i in range(slice_count(ini, fim, size))]
 
 
 def one(spark, rows, schema, *cols):
@@ -88,7 +92,7 @@ def _runner_cuts(ini, fim, size):
 @given(st.integers(0, 400), st.integers(0, 400), st.sampled_from([1, 7, 45]))
 def test_slices_cover_window_once(a, b, size):
     ini, fim = max(a, b), min(a, b)
-    cuts = slice_cuts(ini, fim, size)
+    cuts = _cuts(ini, fim, size)
     assert cuts == _runner_cuts(ini, fim, size)
     days = [d for hi, lo in cuts for d in range(lo, hi + 1)]
     assert sorted(days) == list(range(fim, ini + 1))   # no gap, no overlap
@@ -100,7 +104,7 @@ def test_day_slice_id_matches_cuts(spark, ini, fim, size):
     rows = [(days_back(as_of, d),) for d in range(fim, ini + 1)]
     got = one(spark, rows, "d string", "d", day_slice_id("d", as_of, ini, fim, size))
     want = {}
-    for i, (hi, lo) in enumerate(slice_cuts(ini, fim, size)):
+    for i, (hi, lo) in enumerate(_cuts(ini, fim, size)):
         for d in range(lo, hi + 1):
             want[days_back(as_of, d)] = i
     assert {d: s for d, s in got} == want

@@ -104,22 +104,22 @@ def test_parts_agg_counts_distinct_orders(spark):
 
 def test_number_rows_exactly_once(spark):
     df = spark.range(0, 5003).select((F.col("id") * 7 % 5003).alias("k"))
-    got = number_rows(df, [F.col("k")], partitions=7).select("k", "__row").collect()
+    got = number_rows(df, [F.col("k")], partitions=7)[0].select("k", "__row").collect()
     assert sorted(r["__row"] for r in got) == list(range(5003))
     assert all(r["k"] == r["__row"] for r in got)        # order preserved
 
 
 def test_batches(spark):
     df = spark.range(0, 4500).select(F.col("id").alias("k"))
-    b = batch_frame(df, [F.col("k")], size=2000)
+    b, _ = batch_frame(df, [F.col("k")], size=2000)
     meta = sorted({(r["batch"], r["row_count"], r["total_rows"], r["total_batches"])
                    for r in b.collect()})
     assert meta == [(1, 2000, 4500, 3), (2, 2000, 4500, 3), (3, 500, 4500, 3)]
-    docs = to_batches(df, [F.col("k")], "job", "2030-01-01T00:00:00+00:00", size=2000).collect()
+    docs = to_batches(df, [F.col("k")], "job", "2030-01-01T00:00:00+00:00", size=2000)[0].collect()
     assert len(docs) == 3
-    empty = to_batches(df.filter("k < 0"), [F.col("k")], "job", "s", size=2000).collect()
+    empty = to_batches(df.filter("k < 0"), [F.col("k")], "job", "s", size=2000)[0].collect()
     assert len(empty) == 1 and '"rows":[]' in empty[0]["json"] and '"total_batches":1' in empty[0]["json"]
-    legacy = to_batches(df.filter("k < 0"), [F.col("k")], "job", "s", style="legacy").collect()
+    legacy = to_batches(df.filter("k < 0"), [F.col("k")], "job", "s", style="legacy")[0].collect()
     assert '"is_last":true' in legacy[0]["json"]
 
 
@@ -157,3 +157,13 @@ def test_code_table_broadcast_is_size_checked(spark, tmp_path):
         "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     capped = fact.join(code_table(small, max_bytes=0), "k", "left")
     assert "broadcast" not in capped._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_salted_join_keeps_the_left_join_and_spreads_blank_keys(spark):
+    from fleetyard.operators.joins import salted_join
+    left = spark.createDataFrame([(i, None if i % 5 == 0 else "" if i % 2 else f"k{i % 4}") for i in range(400)],
+                                 "id int, k string")
+    for right in ([("k0", 1), ("k2", 2), ("", 3)], [("k0", 1)]):
+        look = spark.createDataFrame(right, "key string, v int")
+        want = left.join(look, left["k"] == look["key"], "left").select("id", "k", "v")
+        assert rows(salted_join(left, look, F.col("k"), "key", F.col("id"))) == rows(want)

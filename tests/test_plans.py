@@ -12,8 +12,8 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
              "FlatMapGroupsInPandas", "MapInPandas")
 # bounded single-partition steps: the 50k top-N payload and the per-batch
 # totals / per-partition offsets of delivery numbering
-SINGLE_PARTITION_OK = {"yard_snapshot_topn", "yard_snapshot_events", "yard_payload",
-                       "delivery_batches"}
+SINGLE_PARTITION_OK = {"yard_snapshot_topn", "yard_snapshot_events", "yard_payload", "yard_newest_500",
+                       "yard_newest_500_current", "delivery_batches"}
 
 
 def plan_of(df):
@@ -63,3 +63,23 @@ def test_column_pruning(landed):
     p = plan_of(REPORTS["po_payment"](landed))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", p)
     assert scans and all("lifnr" not in s and "frgrl" not in s for s in scans), scans
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("reservation_picking", "resb", 1), ("reservation_picking", "afih", 1), ("purchasing_tracker", "eban", 1),
+    ("purchasing_tracker", "ekpo", 1), ("order_supplies", "eban", 2), ("order_supplies", "ekpo", 1), ("order_supplies", "resb", 1),
+    ("parts_history", "resb", 1), ("work_orders_latest", "aufk", 1), ("work_orders_latest", "afih", 1), ("dq_diff", "ekko", 2)])
+def test_big_tables_are_scanned_once(spark, landed, name, table, most):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(REPORTS[name](landed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scans = [x for x in p.splitlines() if "FileScan parquet" in x and f"/{table}]" in x]
+    assert 1 <= len(scans) <= most, (name, table, len(scans))
+
+
+def test_purchasing_tracker_joins(spark, landed):
+    p = plan_of(REPORTS["purchasing_tracker"](landed))
+    assert len(re.findall(r"\b(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)\b", p)) <= 8

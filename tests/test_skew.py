@@ -46,3 +46,25 @@ def test_spread_key_balances_missing_keys(spark):
     sizes = [r["c"] for r in spread.groupBy(F.spark_partition_id().alias("p"))
              .agg(F.count("*").alias("c")).collect()]
     assert max(sizes) < 30000 / 3          # the 10,000 missing keys do not share one task
+
+
+def test_missing_requisitions_do_not_share_a_stand_in(spark):
+    """The stand-in of a missing key comes from the row's own key."""
+    from fleetyard.operators.joins import spread_key
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("banfn"), F.col("id").cast("string").alias("rsnum"),
+                                  F.lit("1").alias("rspos"))
+    assert df.select(spread_key(F.col("banfn"), F.concat_ws("/", "rsnum", "rspos")).alias("k")).distinct().count() == 1000
+
+
+def test_malformed_numbers_fail_loudly(spark):
+    import pytest
+    from fleetyard.plans.reservations import reservation_picking
+    from fleetyard.sources.testdata import TestdataTables
+
+    class Broken(TestdataTables):
+        def table(self, name):
+            df = super().table(name)
+            return df.withColumn("rspos", F.lit("12A4")) if name == "resb" else df
+
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|12A4"):
+        reservation_picking(Broken(spark, "/root/testdata/sf0.001")).select("numero_item").collect()
