@@ -202,9 +202,12 @@ def training_windows(sample: list[str], limit: int = TRAIN_WINDOWS, seed: int =
 def fit_tagger(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Tagger:
     """Fit on at most ``max_docs`` documents, those with the smallest text hashes
     among the ones holding a digit; training is deterministic."""
-    t = docs.select(docs["text"].alias("text")).filter(F.col("text").rlike("[0-9]"))
-    rows = (t.select("text", F.xxhash64("text").alias("h"))
-            .orderBy("h").limit(max_docs).collect())
+    t = docs.select(docs["text"].alias("text")).filter(F.col("text").rlike("[0-9]")).withColumn("h", F.xxhash64("text"))
+    # first the hashes alone, then the texts of those: copies count once, and
+    # what comes to the driver does not grow with the input's partitions
+    last = t.select("h").distinct().orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
+    rows = [] if last is None else (t.filter(F.col("h") <= last).groupBy("h").agg(F.first("text").alias("text"))
+                                    .orderBy("h").collect())
     tagger = Tagger.new(2 * len(KINDS) + 1)
     tagger.fit(*training_windows([r["text"] for r in rows]))
     return tagger

@@ -50,11 +50,6 @@ def test_pii_patterns():
         assert pii.pattern_spans(t) == brute.pii_spans(t), t[:80]
 
 
-@pytest.fixture(scope="module")
-def tagger():
-    return pii.Tagger.new(9), None
-
-
 def test_tagger_learns_held_out_formats(spark):
     rows = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
             .filter("text rlike '[0-9@]' and length(text) < 3000").orderBy("doc_id").limit(500).collect()]
@@ -196,9 +191,8 @@ def test_quality_rule_counts(docs, rows, labels, empty, no_labels):
 def test_log_ratio_counts_match_brute_force(spark, docs, rows, labels):
     import math
     import re
-    from collections import Counter
 
-    good = {r["doc_id"] for r in labels.filter("quality = 1").collect()}
+    good = {r["doc_id"] for r in labels.filter("quality = 1 and doc_id is not null").collect()}
     trusted, raw = quality_rules.count_grams(docs, labels)
     n_trusted = n_raw = 0
     for d, t in rows:
@@ -209,7 +203,6 @@ def test_log_ratio_counts_match_brute_force(spark, docs, rows, labels):
     assert (trusted.sum(), raw.sum()) == (n_trusted, n_raw)
     w = quality_rules.log_ratio(trusted, raw)
     assert math.isclose(float(((raw + 1) / (raw.sum() + len(raw)) * np.exp(w)).sum()), 1.0, rel_tol=1e-9)
-    del Counter
 
 
 def test_quality_verdicts_on_labelled_documents(spark):
