@@ -97,29 +97,27 @@ def count_grams(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> t
     """
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     t = texts(docs)
-    rows = t.join(good, t["doc_id"] == good["good_id"], "left").select(
-        "text", F.col("good_id").isNotNull().alias("good"))
+    # the raw counts need no join; of the join's texts, Spark's runtime filter
+    # keeps large corpora's untrusted ones from the shuffle
+    trusted = t.join(good.hint("merge"), t["doc_id"] == good["good_id"], "left_semi")
 
     def count(batches):
-        total = np.zeros((2, buckets), dtype=np.int64)
+        total = np.zeros(buckets, dtype=np.int64)
         for b in batches:
-            good_rows = np.asarray(column(b, "good").to_numpy(zero_copy_only=False), dtype=bool)
             for c in chunks(column(b, "text")):
-                h, bounds = _tokens(c)
-                one, two, at = gram_buckets(h, bounds, buckets)
-                total[1] += np.bincount(one, minlength=buckets) + np.bincount(two, minlength=buckets)
-                mine = np.repeat(good_rows[c.first:c.first + c.n_texts], np.diff(bounds))
-                total[0] += np.bincount(one[mine], minlength=buckets)
-                total[0] += np.bincount(two[mine[at]], minlength=buckets)
-        some = np.flatnonzero(total.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])],
-                                         names=["bucket", "good", "raw"])
-
-    out = np.zeros((2, buckets))
-    for r in (rows.mapInArrow(count, "bucket long, good long, raw long").groupBy("bucket")
-              .agg(F.sum("good").alias("good"), F.sum("raw").alias("raw")).collect()):
-        out[0, r["bucket"]], out[1, r["bucket"]] = r["good"], r["raw"]
-    return out[0], out[1]
+                one, two, _ = gram_buckets(*_tokens(c), buckets)
+                total += np.bincount(one, minlength=buckets) + np.bincount(two, minlength=buckets)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    def counts(rows: DataFrame) -> np.ndarray:
+        out = np.zeros(buckets)
+        for r in (rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket")
+                  .agg(F.sum("n").alias("n")).collect()):
+            out[r["bucket"]] = r["n"]
+        return out
+
+    return counts(trusted), counts(t)
 
 
 def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
