@@ -2,7 +2,8 @@
 
 Evidence of a document is the log likelihood ratio of a logistic model over
 hashed unigrams and bigrams of tokens (runs of letters and digits, runs of
-signs; relative frequencies), trained in numpy on at most TRAIN_EACH labelled
+signs; relative frequencies) and over the text's shape (repeated words and
+lines, capitals, signs, length), trained in numpy on at most TRAIN_EACH labelled
 documents of each class, those with the smallest hash of the id.
 
 Every document's probability under the global prior is summed by path (host
@@ -27,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetyard.llm.frames import column, texts, written
-from fleetyard.llm.quality_rules import _sums, _tokens, gram_buckets
-from fleetyard.llm.words import chunks
+from fleetyard.llm.quality_rules import _sums, _tokens, base_counts, gram_buckets
+from fleetyard.llm.words import Chunk, chunks
 
 BUCKETS = 1 << 14
 TRAIN_EACH = 2500
@@ -51,46 +52,72 @@ def training_rows(docs: DataFrame, labels: DataFrame, each: int) -> list[tuple[b
     return sorted(r for r in rows if r[0])
 
 
+SHAPES = 4
+LENGTHS = 24
+SIZE = BUCKETS + SHAPES + LENGTHS
+_CAPITAL = np.zeros(256, dtype=np.int64)
+_CAPITAL[65:91] = 1
+_LETTER = np.zeros(256, dtype=np.int64)
+_LETTER[[*range(65, 91), *range(97, 123)]] = 1
+
+
+def _shape(c: Chunk) -> np.ndarray:
+    """(texts, SHAPES): shares of repeated words, repeated lines, capitals and signs."""
+    n = base_counts(c)
+    words = np.maximum(1, n["n_words"])
+    lines = np.maximum(1, _sums((c.buf == 10).astype(np.int64), c.bounds) + 1)
+    letters = np.maximum(1, _sums(_LETTER[c.buf], c.bounds))
+    return np.stack([n["n_repeat_words"] / words, n["n_dup_lines"] / lines, _sums(_CAPITAL[c.buf], c.bounds) / letters,
+                     np.minimum(1.0, n["n_symbols"] / words)], axis=1)
+
+
 def _features(column_: pa.Array):
-    """For every chunk: (first row, bucket, text, weight) of all n-grams, and texts' token counts."""
+    """For every chunk: the chunk, and the features of its texts as (feature, text, value)."""
     for c in chunks(column_):
         h, bounds = _tokens(c)
         one, two, at = gram_buckets(h, bounds, BUCKETS)
         n = np.diff(bounds)
         of = np.repeat(np.arange(c.n_texts), n)
         share = 1 / np.maximum(1, 2 * n - 1)
-        yield c, one, two, at, of, share, bounds
-
-
-def fit(rows: list[tuple[bytes, int]], epochs: int = 150, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights by bucket and offset of the evidence; zeros without both classes."""
+        some = np.flatnonzero(n)
+        words = np.diff(c.word_bounds)[some]
+        length = np.minimum(LENGTHS - 1, np.log2(np.maximum(1, words)).astype(np.int64))
+        shape = _shape(c)[some]
+        feature = np.concatenate([one, two, BUCKETS + np.tile(np.arange(SHAPES), len(some)), BUCKETS + SHAPES + length])
+        text = np.concatenate([of, of[at], np.repeat(some, SHAPES), some])
+        value = np.concatenate([share[of], share[of[at]], shape.reshape(-1), np.full(len(some), 0.2)])
+        yield c, feature, text, value
+
+
+def fit(rows: list[tuple[bytes, int]], epochs: int = 400, rate: float = 1.5, decay: float = 3e-4) -> tuple[np.ndarray, float]:
+    """Weights by feature and offset of the evidence; zeros without both classes."""
     y = np.array([v for _, v in rows], dtype=float)
     if not len(y) or y.min() == y.max():
-        return np.zeros(BUCKETS), 0.0
+        return np.zeros(SIZE), 0.0
     bucket, owner, value = [], [], []
-    for c, one, two, at, of, share, _ in _features(pa.array([r[0] for r in rows], pa.binary())):
-        bucket += [one, two]
-        owner += [of + c.first, of[at] + c.first]
-        value += [share[of], share[of[at]]]
+    for c, feature, text, x in _features(pa.array([r[0] for r in rows], pa.binary())):
+        bucket.append(feature)
+        owner.append(text + c.first)
+        value.append(x)
     bucket, owner, value = np.concatenate(bucket), np.concatenate(owner), np.concatenate(value)
-    key = owner * BUCKETS + bucket
+    key = owner * SIZE + bucket
     key, inverse = np.unique(key, return_inverse=True)
     value = np.bincount(inverse, weights=value)
-    owner, bucket = key // BUCKETS, key % BUCKETS
+    owner, bucket = key // SIZE, key % SIZE
     # both classes weigh the same: the logit is then a log likelihood ratio
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    w, b = np.zeros(BUCKETS), 0.0
-    mw, vw, mb, vb = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
+    # One step size for all weights: what many documents share moves most, so
+    # shape and frequent n-grams explain a label before rare n-grams do.
+    w, b = np.zeros(SIZE), 0.0
+    speed, speed_b = np.zeros(SIZE), 0.0
     for step in range(1, epochs + 1):
         z = np.bincount(owner, weights=w[bucket] * value, minlength=len(y)) + b
         err = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight
-        g = np.bincount(bucket, weights=err[owner] * value, minlength=BUCKETS) + decay * w / BUCKETS
-        gb = err.sum()
-        mw, vw = 0.9 * mw + 0.1 * g, 0.99 * vw + 0.01 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        up = rate / (1 - 0.9 ** step)
-        w -= up * mw / (np.sqrt(vw / (1 - 0.99 ** step)) + 1e-7)
-        b -= up * mb / (np.sqrt(vb / (1 - 0.99 ** step)) + 1e-7)
+        g = np.bincount(bucket, weights=err[owner] * value, minlength=SIZE) + decay * w
+        speed, speed_b = 0.9 * speed + g, 0.9 * speed_b + err.sum()
+        largest = max(np.abs(speed).max(), abs(speed_b), 1e-12)
+        w -= rate * (1 - step / (epochs + 1)) * speed / largest
+        b -= rate * (1 - step / (epochs + 1)) * speed_b / largest
     return w, float(b)
 
 
@@ -101,10 +128,9 @@ def evidence(docs: DataFrame, weights: np.ndarray, offset: float, host: Column,
     def run(batches):
         w, b = table.value
         for batch in batches:
-            for c, one, two, at, of, share, bounds in _features(column(batch, "text")):
-                value = w[one]
-                value[at] += w[two]
-                z = np.where(np.diff(bounds) > 0, _sums(value, bounds) * share + b, 0.0)
+            for c, feature, text, value in _features(column(batch, "text")):
+                z = np.bincount(text, weights=w[feature] * value, minlength=c.n_texts)
+                z = np.where(np.bincount(text, minlength=c.n_texts) > 0, z + b, 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [column(batch, x).slice(c.first, c.n_texts) for x in ("doc_id", "host", "path")]
                     + [pa.array(np.clip(z, -MOST, MOST))], names=["doc_id", "host", "path", "evidence"])

@@ -173,8 +173,8 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert four.columns == three.columns and four.count() == three.count()
     assert not any(brute.pii_spans(t) for _, t in pairs(four))
     assert four.filter("n_chars != length(text)").count() == 0
-    same = {d: t for d, t in pairs(four)}
-    assert all(same[d] == t for d, t in pairs(three) if d not in (800, None) and not any(c.isdigit() or c == "@" for c in t))
+    plain = [x for x in pairs(three) if not any(c.isdigit() or c == "@" for c in x[1])]
+    assert plain and set(plain) <= set(pairs(four))
 
     five = stages["sentence_pieces"](spark, four, SF)
     assert five.count() == four.count() and five.filter(F.size("ids") != F.col("n_tokens")).count() == 0
