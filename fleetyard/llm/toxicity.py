@@ -33,7 +33,7 @@ from fleetyard.llm.words import U64, Chunk, chunks, mix, split_pieces
 MIN_GRAM, MAX_GRAM = 3, 6
 ROWS, DIM = 1 << 17, 8
 WINDOW, TOP_WINDOWS = 4, 2
-TRAIN_TOXIC, TRAIN_CLEAN = 1500, 3000
+TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2000
 TOXIC_AT = 0.7
 
 _GRAM = [int(x) for x in np.random.default_rng(99).integers(1, 1 << 62, size=MAX_GRAM + 1) * 2 + 1]
@@ -61,7 +61,7 @@ def word_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     whole = np.add.reduceat(mix(points * U64(_GRAM[0]) + weights * U64(_GRAM[1])), starts) if len(words) else np.zeros(0, U64)
     rows.append(mix(whole) & U64(ROWS - 1))
     owner.append(np.arange(len(words)))
-    rows, owner = np.concatenate(rows).astype(np.int64), np.concatenate(owner)
+    rows, owner = np.concatenate(rows).astype(np.int32), np.concatenate(owner).astype(np.int32)
     order = np.argsort(owner, kind="stable")
     return rows[order], np.bincount(owner, minlength=len(words))
 
@@ -122,26 +122,33 @@ def top_windows(z: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return total / np.maximum(1, count), np.concatenate(texts_), np.concatenate(places)
 
 
-def fit(documents: list[list[str]], toxic: np.ndarray, warm: int = 60, steps: int = 60,
-        rate: float = 0.3, seed: int = 3) -> ToxicModel:
+def fit(documents: list[list[str]], toxic: np.ndarray, **settings) -> ToxicModel:
     """Train on documents given as lists of lower-case words."""
+    codes, words = pd.factorize(np.array([w for d in documents for w in d], dtype=object))
+    return fit_coded(list(words), codes, np.array([len(d) for d in documents], dtype=np.int64), toxic, **settings)
+
+
+def fit_coded(words: list[str], codes: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, warm: int = 60,
+              steps: int = 60, rate: float = 0.3, seed: int = 3) -> ToxicModel:
+    """Train on documents given as codes into a list of distinct words, one
+    after the other, and their lengths."""
     model = ToxicModel(seed)
     y = np.asarray(toxic, dtype=float)
     if not len(y) or y.min() == y.max():
         model.emb[:] = 0.0
         model.bias[:] = [0.0, 0.0] if not len(y) or y.max() else [1.0, -1.0]
         return model
-    codes, words = pd.factorize(np.array([w for d in documents for w in d], dtype=object))
-    lengths = np.array([len(d) for d in documents], dtype=np.int64)
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     doc_of = np.repeat(np.arange(len(y)), lengths)
-    rows, grams = word_rows(list(words))
+    parts = [word_rows(words[a:a + 10_000]) for a in range(0, len(words), 10_000)]
+    rows, grams = np.concatenate([r for r, _ in parts]), np.concatenate([n for _, n in parts])
+    del parts
     ends = np.cumsum(grams)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     moment = {k: np.zeros_like(getattr(model, k)) for k in ("emb", "out", "bias")}
     for step in range(1, warm + steps + 1):
         u, c = model.direction()
-        z_word = _segment_sums((model.emb @ u)[rows], ends) / grams
+        z_word = np.add.reduceat((model.emb @ u)[rows], ends - grams) / grams
         if step <= warm:
             logit = _segment_sums(z_word[codes], bounds[1:]) / np.maximum(1, lengths) * 4 + c
             scale, at, of = 4 / np.maximum(1, lengths), np.arange(len(codes)), doc_of
@@ -155,7 +162,7 @@ def fit(documents: list[list[str]], toxic: np.ndarray, warm: int = 60, steps: in
         d_logit = (p - y) * weight
         d_word = np.bincount(codes[at], weights=(d_logit * scale)[of], minlength=len(words)) / grams
         live = np.flatnonzero(d_word)
-        row = rows[ragged(ends[live] - grams[live], grams[live])]
+        row = rows if len(live) == len(words) else rows[ragged(ends[live] - grams[live], grams[live])]
         d_row = np.bincount(row, weights=np.repeat(d_word[live], grams[live]), minlength=ROWS)
         d_u = model.emb.T @ d_row
         grad = {"emb": d_row[:, None] * u + 1e-7 * model.emb, "out": np.stack([-d_u, d_u], 1),
@@ -182,8 +189,9 @@ def _lower(c: Chunk, i: int) -> str:
     return c.word(i).decode("utf-8", "replace").lower()
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> tuple[list[list[str]], np.ndarray]:
-    """Words and labels of the bounded training sample."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int,
+                  max_clean: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The bounded training sample: distinct words, codes, lengths, labels."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max("toxic").alias("toxic"))
              .filter(F.crc32(F.col("label_id").cast("string")) % 3 != 1))
@@ -196,12 +204,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean:
         rows += [(bytes(r["text"] or b""), value) for r in
                  t.join(F.broadcast(ids), t["doc_id"] == ids["label_id"]).select("text").collect()]
     rows.sort()
-    words = []
+    keys, lengths, known_words = [], [], {}
     for c in chunks(pa.array([r[0] for r in rows], type=pa.binary()), lower=True, split=split_pieces):
         keep, bounds = text_words(c)
-        flat = [_lower(c, i) for i in keep.tolist()]
-        words += [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-    return words, np.array([r[1] for r in rows])
+        own = c.hashes[keep]
+        _, first = np.unique(own, return_index=True)
+        for k, i in zip(own[first].tolist(), keep[first].tolist()):
+            if k not in known_words:
+                known_words[k] = _lower(c, i)
+        keys.append(own)
+        lengths.append(np.diff(bounds))
+    codes, distinct = pd.factorize(np.concatenate(keys)) if keys else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    return ([known_words[k] for k in distinct.tolist()], codes,
+            np.concatenate(lengths) if lengths else np.zeros(0, np.int64), np.array([r[1] for r in rows]))
 
 
 class _Logits:
@@ -253,7 +268,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = TRAIN_TOXIC,
              max_clean: int = TRAIN_CLEAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
-    model = fit(*training_rows(docs, labels, max_toxic, max_clean))
+    model = fit_coded(*training_rows(docs, labels, max_toxic, max_clean))
     return score(docs, model).select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
