@@ -3,9 +3,10 @@ from __future__ import annotations
 
 from duck_oracle.adapters import with_tables
 from duck_oracle.blocks import (ACCOUNT_NAMES, PAID, STORES, bare, filled, flag, has, lowest, named, one_of, ranked)
-from duck_oracle.reports import (BRANCH, NOT_STOCKED, OPEN_RESERVATION, PHASE, RESERVATION_KEY, activity, back, centre,
+from duck_oracle.reports import (BRANCH, NOT_STOCKED, OPEN_RESERVATION, PHASE, RESERVATION_KEY, YARD, activity, back, centre,
                                  destination, kind, kind_by_code, po_payment, po_payment_by_item, process_status, received,
-                                 text, user_status, work_orders_latest, yard_snapshot_events, yard_snapshot_rows)
+                                 text, user_status, work_orders_latest, yard_history, yard_snapshot_events,
+                                 yard_snapshot_rows)
 from fleetyard.plans.params import CUT_WINDOW, FULL_WINDOW, PAYMENT_GROUPS
 
 
@@ -198,9 +199,39 @@ def po_payment_with_items() -> str:
     return po_payment(require_items=True)
 
 
+# --- what the application receives ---------------------------------------------
+
+def _iso(ts: str) -> str:
+    """ISO time in UTC, with microseconds where there are any."""
+    return f"replace(strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || '+00:00'"
+
+
+def json_fields() -> str:
+    return f"""SELECT * REPLACE ({_iso("ts")} AS ts, horimetro::DECIMAL(18, 3)::VARCHAR AS horimetro) FROM ({yard_history()}) h"""
+
+
+def yard_payload_fields() -> str:
+    newest = f"""SELECT *, row_number() OVER (ORDER BY created_at_form DESC, id DESC) AS nth FROM {YARD}
+  WHERE n_armac IS NOT NULL AND created_at_form IS NOT NULL QUALIFY nth <= 500"""
+    fields = f"{_iso('created_at_form')} AS at, filial, cliente, horimetro::VARCHAR AS horimetro"
+    return with_tables([YARD], f"""
+newest AS ({newest}),
+last_of AS (SELECT upper(trim(n_armac)) AS asset, min(nth) AS nth FROM newest GROUP BY 1 HAVING trim(asset) != ''),
+current_row AS (SELECT newest.* FROM newest JOIN last_of USING (nth) WHERE trim(tipo_relatorio) ILIKE 'entrada%')
+SELECT 'evento' AS part, nth - 1 AS place, upper(trim(n_armac)) AS n_armac, tipo_relatorio AS what, {fields} FROM newest
+UNION ALL
+SELECT 'row', row_number() OVER (ORDER BY nth) - 1, upper(trim(n_armac)), situacao, {fields} FROM current_row""")
+
+
+def work_orders_ordered() -> str:
+    return f"""SELECT row_number() OVER (ORDER BY filial NULLS LAST, ativo NULLS LAST, tipo_manutencao) - 1 AS place,
+  filial, ativo, tipo_manutencao, ordem FROM ({work_orders_latest()}) j"""
+
+
 SQL = {f.__name__: f for f in (
     latest_by_key, latest_then_filter, text_lookup, work_centre_branch, norm_ids, maintenance_type, order_phase, status_rollup,
     semi_restrict, plant_scope, active_equipment, received_qty, purchase_status, account_assignment, invoice_flag,
     parts_consumption, window_filter, null_safe_filters, delivery_batches, dq_code_profile, dq_duplicate_keys,
     dq_language_profile, dq_null_impact, dq_row_counts, dq_diff, dq_branch_distribution, dq_fill_rate, yard_newest_500,
-    yard_newest_500_current, po_payment_of_groups, po_payment_with_items)}
+    yard_newest_500_current, po_payment_of_groups, po_payment_with_items, json_fields, yard_payload_fields,
+    work_orders_ordered)}

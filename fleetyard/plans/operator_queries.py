@@ -171,6 +171,39 @@ def json_encoding(src) -> DataFrame:
     return to_json_rows(yard_history(src))
 
 
+def json_fields(src) -> DataFrame:
+    """The rendered yard history rows read back: every field as the text (or
+    null) that the application receives."""
+    names = ["n_armac", "tipo_relatorio", "ts", "filial", "cliente", "situacao", "horimetro", "descricao"]
+    shape = ", ".join(f"{n} string" for n in names)
+    return json_encoding(src).select(F.from_json("json", shape).alias("r")).select("r.*")
+
+
+def yard_payload_fields(src) -> DataFrame:
+    """The legacy yard document of the newest 500 events read back: the place of
+    every event and row, and its fields as text."""
+    from fleetyard.plans.yard import yard_payload
+    event = "struct<n_armac:string,tipo_relatorio:string,ts:string,filial:string,cliente:string,horimetro:string>"
+    row = "struct<n_armac:string,situacao:string,data_entrada:string,filial:string,cliente:string,horimetro:string>"
+    doc = yard_payload(src, "t", 500).select(
+        F.from_json("json", f"started_at string, rows array<{row}>, eventos array<{event}>").alias("d"))
+    events = doc.select(F.posexplode("d.eventos").alias("place", "e")).select(
+        F.lit("evento").alias("part"), "place", "e.n_armac", F.col("e.tipo_relatorio").alias("what"),
+        F.col("e.ts").alias("at"), "e.filial", "e.cliente", "e.horimetro")
+    rows = doc.select(F.posexplode("d.rows").alias("place", "e")).select(
+        F.lit("row").alias("part"), "place", "e.n_armac", F.col("e.situacao").alias("what"),
+        F.col("e.data_entrada").alias("at"), "e.filial", "e.cliente", "e.horimetro")
+    return events.unionByName(rows)
+
+
+def work_orders_ordered(src) -> DataFrame:
+    """Place of every order in the delivery order of J01 (NULLs last)."""
+    from fleetyard.sources.delivery import number_rows
+    order = [F.col("filial").asc_nulls_last(), F.col("ativo").asc_nulls_last(), F.col("tipo_manutencao")]
+    numbered, _ = number_rows(work_orders.work_orders_latest(src), order, col="place")
+    return numbered.select("place", "filial", "ativo", "tipo_manutencao", "ordem")
+
+
 def dq_code_profile(src) -> DataFrame:
     return quality.code_profile(src.table("resb"), "postp")
 
@@ -230,6 +263,9 @@ QUERIES = {
     "null_safe_filters": null_safe_filters,
     "delivery_batches": delivery_batches,
     "json_encoding": json_encoding,
+    "json_fields": json_fields,
+    "yard_payload_fields": yard_payload_fields,
+    "work_orders_ordered": work_orders_ordered,
     "dq_code_profile": dq_code_profile,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_language_profile": dq_language_profile,

@@ -13,7 +13,8 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
 # bounded single-partition steps: the 50k top-N payload and the per-batch
 # totals / per-partition offsets of delivery numbering
 SINGLE_PARTITION_OK = {"yard_snapshot_topn", "yard_snapshot_events", "yard_payload", "yard_newest_500",
-                       "yard_newest_500_current", "delivery_batches"}
+                       "yard_newest_500_current", "delivery_batches",
+                       "yard_payload_fields", "work_orders_ordered"}
 
 
 def plan_of(df):
