@@ -3,14 +3,15 @@
 Alternating large-star and small-star steps: every node hands its larger
 neighbours, then itself and its smaller ones, to the smallest node it knows.
 Nothing is collected but two numbers a round; each round's edges are written
-to the shared checkpoint folder, so a lost executor costs a re-read.
+to the shared checkpoint folder, so a lost executor costs a re-read, and
+removed after the next.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import written
+from fleetyard.llm.frames import remove, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -37,10 +38,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``edges``: two long columns, a and b; order, repeats and loops don't matter.
     """
     e = edges.toDF("a", "b").filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = written(e, "edges")
+    spark, old, kept = e.sparkSession, [], []
+    e = written(e, "edges", kept)
     state = _state(e)
     for _ in range(max_rounds):
-        e = written(_small_star(_large_star(e)), "edges")
+        old, kept = kept, []
+        e = written(_small_star(_large_star(e)), "edges", kept)
+        remove(spark, old)
         new = _state(e)
         if new == state:
             break

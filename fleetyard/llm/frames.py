@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetyard.session import checkpoint_dir
+from fleetyard.session import checkpoint_dir, discard
 
 # A batch crossing to Python holds at most about this many bytes of text for
 # texts of usual length; a longer text comes in a batch of few others.
@@ -74,9 +74,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, kept: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut,
-    and lost executors cost a re-read instead of a recomputation."""
+    and lost executors cost a re-read instead of a recomputation. The folder
+    is added to ``kept``, for ``remove``."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if kept is not None:
+        kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, kept: list[str]) -> None:
+    """Delete written tables that nothing reads any more."""
+    while kept:
+        discard(spark, kept.pop())

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetyard.llm.components import components
-from fleetyard.llm.frames import column, free_names, texts, written
+from fleetyard.llm.frames import column, free_names, remove, texts, written
 from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.word_memo import ragged
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
@@ -478,12 +478,14 @@ def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("bitmap").alias("bitmap")), "classes")
     index = index_rows(docs, frequent_grams(sets), k, percent)
-    pairs = written(candidate_pairs(index, percent), "pairs")
+    kept: list[str] = []
+    pairs = written(candidate_pairs(index, percent), "pairs", kept)
     clusters = components(likely_pairs(pairs, classes, percent))
     members = clusters.join(classes, clusters["node"] == classes["cls"]).select(
         "cls", F.col("component").alias("cluster"), "n", "copies", "doc")
-    plan = written(block_plan(members, percent), "blocks")
+    plan = written(block_plan(members, percent), "blocks", kept)
     linked = written(links(docs, plan, k, percent), "links")
+    remove(docs.sparkSession, kept)
     trees = components(linked.select("cls", "root"))
     found = classes.select("cls", "doc", "copies").join(trees, classes["cls"] == trees["node"], "left").select(
         "cls", "doc", "copies", F.coalesce("component", "cls").alias("tree"))

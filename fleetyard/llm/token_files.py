@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, scratch, texts
+from fleetyard.llm.frames import column, map_batches, remove, scratch, texts
 from fleetyard.llm.word_memo import WordMemo
 from fleetyard.llm.words import chunks, split_pieces, split_words
 
@@ -182,12 +182,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
 
     (tokens.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids")
      .mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks"))
-    _delete(spark, raw)
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, [raw])
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
