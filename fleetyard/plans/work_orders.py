@@ -14,7 +14,8 @@ from fleetyard.functions import is_code_in, norm_id, not_blank, strip_zeros
 from fleetyard.functions import labels as L
 from fleetyard.operators.joins import code_table, spread_key
 from fleetyard.operators.keyed import latest_by, priority_dedupe, rank_when, text_lookup
-from fleetyard.operators.status import system_status, with_user_status
+from fleetyard.operators.status import (active_system_statuses, active_user_statuses,
+                                        with_statuses)
 from fleetyard.plans.common import (ORDERS_SINCE, activity_texts, dbl, priority_texts,
                                     sort_report, work_centres, zero_strip)
 
@@ -59,8 +60,8 @@ def work_orders_latest(src, since: str = ORDERS_SINCE, ordered: bool = False) ->
     # the ranking, and the scans below it, run once
     shown = ["ativo", "tipo_manutencao", "filial", "arbpl", "aufnr", "ilatx", "priokx", "priok",
              "idat1", "idat2", "idat3", "erdat"]
-    out = with_user_status(w.select(*shown, "objnr"), shown, "objnr", src.table("jsto"),
-                           src.table("jest"), src.table("tj30t"))
+    active = active_user_statuses(src.table("jsto"), src.table("jest"), src.table("tj30t"))
+    out = with_statuses(w, shown, "objnr", active, "status_usuario")
     out = out.select(
         "ativo", "filial", F.col("arbpl").alias("centro_trabalho"),
         zero_strip("aufnr").alias("ordem"), "tipo_manutencao",
@@ -89,11 +90,11 @@ def work_order_operations(src, since: str = ORDERS_SINCE, ordered: bool = False)
             .join(ops, "aufpl")
             .join(hours, ["aufpl", "aplzl"], "left")
             .join(op_ct, "arbid", "left"))
-    status = system_status(base.select("op_objnr"), "op_objnr", src.table("jest"),
-                           src.table("tj02t"))
-    # operations without an object number are spread, not gathered in one task
-    out = base.withColumn("op_objnr", spread_key(F.col("op_objnr"), F.concat_ws("/", "aufnr", "vornr"))) \
-        .join(status, "op_objnr", "left").select(
+    # an operation is (aufpl, aplzl): its statuses join the operations themselves
+    shown = ["aufnr", "aufpl", "aplzl", "ativo", "filial", "tipo_manutencao", "ktext", "arbpl", "gstrp", "gltrp",
+             "idat1", "ernam", "vornr", "ltxa1", "op_arbpl", "arbei"]
+    active = active_system_statuses(src.table("jest"), src.table("tj02t"))
+    out = with_statuses(base, shown, "op_objnr", active, "status_operacao").select(
         "ativo", "filial", zero_strip("aufnr").alias("ordem"), "tipo_manutencao",
         F.col("ktext").alias("descricao_os"), F.col("arbpl").alias("centro_trabalho_responsavel"),
         F.col("gstrp").alias("data_inicio_programada"), F.col("gltrp").alias("data_fim_programada"),

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from fleetyard.operators.joins import anti_restrict, semi_restrict
 from fleetyard.operators.keyed import latest_by, latest_then, priority_dedupe, rank_when, text_lookup
-from fleetyard.operators.status import system_status, user_status
+from fleetyard.operators.status import (active_system_statuses, active_user_statuses, user_status,
+                                        with_statuses)
 from fleetyard.plans.parts import parts_agg
 from fleetyard.plans.reservations import lot_positions
 from fleetyard.sources.delivery import batch_frame, number_rows, to_batches, to_json_rows
@@ -76,8 +77,11 @@ def test_status_rollups(spark):
     assert rows(got) == [("1", "AB AB ZZ", "E0001 E0002 E0004")]   # sorted, duplicates kept
     sys_texts = spark.createDataFrame([("I0001", "P", "LIB"), ("I0002", "P", "CONF")],
                                       "istat string, spras string, txt04 string")
-    got = system_status(objs.select("objnr"), "objnr", jest, sys_texts, out="s")
-    assert rows(got) == [("OR1  ", "LIB"), ("OR2", "CONF")]
+    more = objs.union(spark.createDataFrame([("3", None), ("4", "OR9")], "aufnr string, objnr string"))
+    got = with_statuses(more, ["aufnr"], "objnr", active_system_statuses(jest, sys_texts), "s")
+    assert rows(got) == [("1", "LIB"), ("2", "CONF"), ("3", None), ("4", None)]
+    got = with_statuses(more, ["aufnr"], "objnr", active_user_statuses(jsto, jest, texts), "s")
+    assert rows(got) == [("1", "AB AB ZZ"), ("2", None), ("3", None), ("4", None)]
 
 
 def test_lot_positions(spark):

@@ -69,7 +69,7 @@ def test_column_pruning(landed):
 @pytest.mark.parametrize("name,table,most", [
     ("reservation_picking", "resb", 1), ("reservation_picking", "afih", 1), ("purchasing_tracker", "eban", 1),
     ("purchasing_tracker", "ekpo", 1), ("order_supplies", "eban", 2), ("order_supplies", "ekpo", 1), ("order_supplies", "resb", 1),
-    ("parts_history", "resb", 1), ("work_orders_latest", "aufk", 1), ("work_orders_latest", "afih", 1), ("dq_diff", "ekko", 2)])
+    ("parts_history", "resb", 1), ("work_orders_latest", "aufk", 1), ("work_orders_latest", "afih", 1), ("work_order_operations", "aufk", 1), ("work_order_operations", "afvc", 1), ("dq_diff", "ekko", 2)])
 def test_big_tables_are_scanned_once(spark, landed, name, table, most):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
