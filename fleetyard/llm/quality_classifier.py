@@ -32,7 +32,7 @@ from fleetyard.llm.quality_rules import _sums, _tokens, base_counts, gram_bucket
 from fleetyard.llm.words import Chunk, chunks
 
 BUCKETS = 1 << 14
-TRAIN_EACH = 2500
+TRAIN_EACH = 2000
 KEEP_AT = 0.5
 # Evidence of one document is at most this (log odds), so that no text outweighs any site.
 MOST = 12.0
@@ -89,21 +89,18 @@ def _features(column_: pa.Array):
         yield c, feature, text, value
 
 
-def fit(rows: list[tuple[bytes, int]], epochs: int = 400, rate: float = 1.5, decay: float = 3e-4) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[bytes, int]], epochs: int = 250, rate: float = 1.5, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights by feature and offset of the evidence; zeros without both classes."""
     y = np.array([v for _, v in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         return np.zeros(SIZE), 0.0
     bucket, owner, value = [], [], []
     for c, feature, text, x in _features(pa.array([r[0] for r in rows], pa.binary())):
-        bucket.append(feature)
-        owner.append(text + c.first)
-        value.append(x)
+        key, inverse = np.unique(text * SIZE + feature, return_inverse=True)
+        owner.append(key // SIZE + c.first)
+        bucket.append(key % SIZE)
+        value.append(np.bincount(inverse, weights=x))
     bucket, owner, value = np.concatenate(bucket), np.concatenate(owner), np.concatenate(value)
-    key = owner * SIZE + bucket
-    key, inverse = np.unique(key, return_inverse=True)
-    value = np.bincount(inverse, weights=value)
-    owner, bucket = key // SIZE, key % SIZE
     # both classes weigh the same: the logit is then a log likelihood ratio
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     # One step size for all weights: what many documents share moves most, so
