@@ -172,6 +172,11 @@ SELECT pedido, status_pagamento, if(more > 0, 'so_nova', 'so_antiga') AS lado
 FROM (SELECT *, unnest(range(abs(more))) AS nth FROM net) each_row"""
 
 
+def dq_orders_without_items() -> str:
+    return with_tables(["ekko", "ekpo"], """
+SELECT ebeln FROM ekko WHERE (SELECT count(*) FROM ekpo WHERE ekpo.ebeln = ekko.ebeln) = 0""")
+
+
 def dq_branch_distribution() -> str:
     return f"SELECT filial, count(*) AS qtd FROM ({work_orders_latest()}) j GROUP BY filial"
 
@@ -234,4 +239,4 @@ SQL = {f.__name__: f for f in (
     parts_consumption, window_filter, null_safe_filters, delivery_batches, dq_code_profile, dq_duplicate_keys,
     dq_language_profile, dq_null_impact, dq_row_counts, dq_diff, dq_branch_distribution, dq_fill_rate, yard_newest_500,
     yard_newest_500_current, po_payment_of_groups, po_payment_with_items, json_fields, yard_payload_fields,
-    work_orders_ordered)}
+    work_orders_ordered, dq_orders_without_items)}

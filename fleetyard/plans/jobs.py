@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.plans import (equipment, parts, purchasing, receipts, reservations, work_orders,
                              yard)
-from fleetyard.sources.delivery import BATCH_ROWS, deliver, run_log
+from fleetyard.sources.delivery import BATCH_ROWS, deliver, run_log, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -81,6 +81,19 @@ def build(name: str, src, as_of=None, **params) -> DataFrame:
     return job.report(src, **kw)
 
 
+def _run_folder(out_dir: str, started: str) -> str:
+    at = started.replace(":", "").replace("+0000", "Z")
+    return f"{out_dir.rstrip('/')}/run-{at}-{uuid.uuid4().hex[:8]}"
+
+
+def snapshot(name: str, src, out_dir: str, as_of=None, **params) -> str:
+    """Write the job's report as a table (Parquet, decimals kept) to a folder of
+    its own below ``out_dir``, the destination table of the job; returns it."""
+    folder = _run_folder(out_dir, _dt.datetime.now(_dt.timezone.utc).isoformat())
+    write_snapshot(build(name, src, as_of, **params).drop(*JOBS[name].internal), folder)
+    return folder
+
+
 def run(name: str, src, out_dir: str, as_of=None, size: int = BATCH_ROWS, **params) -> str:
     """Compute the job and write its delivery documents (JSON lines) to a run
     folder of its own below ``out_dir``; returns that folder.
@@ -90,7 +103,7 @@ def run(name: str, src, out_dir: str, as_of=None, size: int = BATCH_ROWS, **para
     """
     job = JOBS[name]
     started = _dt.datetime.now(_dt.timezone.utc).isoformat()
-    folder = f"{out_dir.rstrip('/')}/run-{started.replace(':', '').replace('+0000', 'Z')}-{uuid.uuid4().hex[:8]}"
+    folder = _run_folder(out_dir, started)
     try:
         if job.style == "yard":
             job.report(src, started, **{**job.defaults, **params}).write.text(folder)

@@ -234,6 +234,10 @@ def dq_diff(src) -> DataFrame:
     return quality.multiset_diff(*_payment_new_old(src))
 
 
+def dq_orders_without_items(src) -> DataFrame:
+    return quality.missing_items(src.table("ekko"), src.table("ekpo"), "ebeln")
+
+
 def dq_branch_distribution(src) -> DataFrame:
     return quality.distribution(work_orders.work_orders_latest(src), "filial")
 
@@ -272,6 +276,7 @@ QUERIES = {
     "dq_null_impact": dq_null_impact,
     "dq_row_counts": dq_row_counts,
     "dq_diff": dq_diff,
+    "dq_orders_without_items": dq_orders_without_items,
     "dq_branch_distribution": dq_branch_distribution,
     "dq_fill_rate": dq_fill_rate,
 }

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetyard.operators.joins import anti_restrict
 from fleetyard.sources.dictionaries import NON_STOCK_TEXT, PICKING_LOCATIONS
 
 
@@ -63,6 +64,11 @@ def multiset_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     return net.select(*new.columns, side.alias("lado"), each.alias("__nth")).drop("__nth")
 
 
+def missing_items(headers: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Headers that no item refers to (a NULL key has none)."""
+    return anti_restrict(headers, items.select(key), key).select(key)
+
+
 def distribution(df: DataFrame, col: str) -> DataFrame:
     """Row count per value (e.g. per branch)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("qtd"))

@@ -173,5 +173,6 @@ def run_log(spark, job: str, started_at: str, error: str | None = None) -> DataF
 
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the destination snapshot of a report."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Write a snapshot of a report to a folder of its own: a reader of the
+    last one is not disturbed, and a failed write leaves it in place."""
+    df.write.mode("errorifexists").format(fmt).save(path)

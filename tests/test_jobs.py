@@ -120,3 +120,12 @@ def test_front_end(spark, capsys):
     docs = read_run(spark, capsys.readouterr().out.strip())
     assert docs and docs[0]["job"] == "horimetros"
     assert main(["run", "no such job", "testdata:x", out]) == 2
+
+
+def test_snapshot_keeps_decimals(spark, small_src):
+    out = os.path.join(tempfile.mkdtemp(prefix="snap-"), "horimetros")
+    first, second = (jobs.snapshot("horimetros", small_src, out) for _ in range(2))
+    assert first != second
+    got = spark.read.parquet(first)
+    assert dict(got.dtypes)["horimetro_sistema"].startswith("decimal")
+    assert got.count() == jobs.build("horimetros", small_src).count()
