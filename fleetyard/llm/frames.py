@@ -40,6 +40,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
                     yield out
                 else:
                     yield from out
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

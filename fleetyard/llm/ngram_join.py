@@ -40,7 +40,6 @@ from pyspark.sql import functions as F
 from fleetyard.llm.components import components
 from fleetyard.llm.frames import column, free_names, remove, texts, written
 from fleetyard.llm.substring_dedup import _runs
-from fleetyard.llm.word_memo import ragged
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
 
 K, PERCENT = 4, 85

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, texts
+from fleetyard.llm.frames import column, texts
 from fleetyard.llm.word_memo import HashTable, ragged
 from fleetyard.llm.words import U64, Chunk, chunks, mix, split_pieces
 

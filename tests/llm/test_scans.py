@@ -2,7 +2,6 @@
 import random
 
 import numpy as np
-import pytest
 
 from fleetyard.llm import decontamination, pii, quality_rules, secret_scan
 from tests.llm import brute
