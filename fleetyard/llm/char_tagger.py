@@ -3,7 +3,8 @@
 Training and decoding work on fixed windows of WINDOW code points. A text is
 cut into tiles of TILE code points; the window of a tile has the tile in its
 second third, so that neighbouring windows overlap by two thirds. A span
-belongs to the tile it starts in, and only that tile's window reports it.
+belongs to the tile it starts in, and only that tile's window reports it; what
+is beyond the window's end is read from later windows.
 """
 from __future__ import annotations
 
@@ -28,9 +29,14 @@ def char_ids(points: np.ndarray) -> np.ndarray:
 
 def windows(points: np.ndarray, tiles: np.ndarray) -> np.ndarray:
     """Input symbols of the windows of some tiles of a text."""
+    return windows_from(points, tiles * TILE - TILE)
+
+
+def windows_from(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Input symbols of the windows that start at some places of a text, -WINDOW or later."""
     ids = np.zeros(len(points) + 2 * WINDOW, dtype=np.int64)
     ids[WINDOW:WINDOW + len(points)] = char_ids(points)
-    return ids[(tiles * TILE - TILE + WINDOW)[:, None] + np.arange(WINDOW)]
+    return ids[(starts + WINDOW)[:, None] + np.arange(WINDOW)]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

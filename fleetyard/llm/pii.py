@@ -4,12 +4,15 @@ The tagger (``char_tagger``) learns email, IP, card and phone spans from
 labelled windows: spans the patterns find in a bounded sample of documents
 (TRAIN_DOCS, chosen by a hash of the text), each also rewritten in formats the
 patterns do not know (national phone numbers, other separators, bracketed
-``at``), and as many windows without one. A span of these kinds holds a
-digit or an ``@``, so only windows around those are decoded: a tile with
-neither, and none in the next tile, cannot start one. Decoded spans are
-reconciled over the whole text: each belongs to the tile it starts in, must
-pass its kind's check (digits, checksum, parts) and must not overlap a
-pattern's span or an earlier decoded one.
+``at``), and as many windows without one. Only tiles that can start a span
+passing its kind's check are decoded. A number's span starts in the tile of its
+first digit or the one before; an email holds an ``@`` or a bracketed ``at``
+and no line feed, so all tiles from the line's start up to one of these are
+decoded, but for the ``@`` of an email that the patterns found. Decoded spans
+are reconciled over the whole text: each belongs to the tile it starts in, one
+that its window's end cuts goes on in later windows, and each must pass its
+kind's check (digits, checksum, parts) and must not overlap a pattern's span or
+an earlier decoded one.
 
 Null and empty texts have no spans; repeated rows each have their own row; a
 null id stays null. An empty table still fits a model, from the built-in
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.char_tagger import PAD, TILE, WINDOW, Tagger, char_ids, windows
+from fleetyard.llm.char_tagger import PAD, TILE, WINDOW, Tagger, char_ids, windows, windows_from
 from fleetyard.llm.frames import column, map_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
@@ -41,7 +44,6 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
 
 
 def luhn(digits: str) -> bool:
@@ -117,8 +119,13 @@ _CONTEXT = "the value of this and that was in one of the notes for them to read.
 def _variants(kind: str, s: str, r: np.random.Generator) -> list[str]:
     """The same datum in formats outside the patterns."""
     if kind == "email":
-        name, _, domain = s.partition("@")
-        return [f"{name}[at]{domain}", f"{name}(at){domain}"]
+        forms = []
+        for at in ("[at]", "(at)"):
+            name, _, domain = s.partition("@")
+            if r.random() < 0.5:        # not every address has digits
+                name, domain = _DIGIT.sub("", name).strip("._%+-") or "info", _DIGIT.sub("", domain)
+            forms.append(name + at + domain)
+        return forms
     d = _digits(s)
     if kind == "phone":
         d = (d + "".join(map(str, r.integers(0, 10, 11))))[:11]
@@ -215,48 +222,89 @@ def fit_tagger(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Tagger:
 
 # --- scanning --------------------------------------------------------------
 
+def _run_end(tags: np.ndarray, k: int, end: int) -> int:
+    """Where the inside tags of kind k that go on at ``end`` stop."""
+    while end < WINDOW and tags[end] == 2 * k + 2:
+        end += 1
+    return end
+
+
 def _decoded(tags: np.ndarray) -> list[tuple[int, int, int]]:
-    """(kind, start, end) of the spans in a window's tags that start in its middle tile."""
+    """(kind, start, end) of the spans in a window's tags that start in its middle
+    tile; one with end WINDOW may go on."""
     out, t = [], TILE
     while t < 2 * TILE:
         tag = int(tags[t])
         if tag % 2 == 1:
-            k, end = tag // 2, t + 1
-            while end < WINDOW and tags[end] == tag + 1:
-                end += 1
-            if end < WINDOW:
-                out.append((k, t, end))
+            k = tag // 2
+            end = _run_end(tags, k, t + 1)
+            out.append((k, t, end))
             t = end
         else:
             t += 1
     return out
 
 
+def _tiles(text: str, base: list[tuple[str, int, int]]) -> np.ndarray:
+    """The tiles where a span that ``plausible`` accepts can start, clear of the patterns' spans ``base``."""
+    at = np.fromiter((m.start() for m in _DIGIT.finditer(text)), dtype=np.int64) // TILE
+    tiles = [at, np.maximum(0, at - 1)]
+    if "@" in text or "[" in text or "(" in text:
+        emails = {text.index("@", a): b for kind, a, b in base if kind == "email"}
+        line = 0
+        for m in _AT.finditer(text):
+            if m.start() in emails:
+                line = emails[m.start()]
+            else:
+                line = max(line, text.rfind("\n", line, m.start()) + 1)
+                tiles.append(np.arange(line // TILE, m.start() // TILE + 1))
+                line = m.start()
+    return np.unique(np.concatenate(tiles))
+
+
+def _tags_of(ids: list[np.ndarray], tagger: Tagger) -> tuple[np.ndarray, list[int]]:
+    """Tags of the distinct windows, and each window's row in them: copies are decoded once."""
+    keys, inverse = np.unique(np.concatenate(ids), axis=0, return_inverse=True)
+    tags = np.concatenate([tagger.decode(keys[a:a + 1024]) for a in range(0, len(keys), 1024)])
+    return tags, inverse.reshape(-1).tolist()
+
+
 def scan_batch(batch: list[str], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
     """All spans of each text, by kind as listed, then start."""
-    base = [pattern_spans(t) for t in batch]
+    out = [pattern_spans(t) for t in batch]
+    points = lambda n: np.frombuffer(batch[n].encode("utf-32-le", "surrogatepass"), dtype="<u4")
     ids, where = [], []
     for n, text in enumerate(batch):
-        at = np.fromiter((m.start() for m in _TRIGGER.finditer(text)), dtype=np.int64)
-        if len(at):
-            tiles = np.unique(np.concatenate([at // TILE, np.maximum(0, at // TILE - 1)]))
-            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-            ids.append(windows(points, tiles))
+        tiles = _tiles(text, out[n])
+        if len(tiles):
+            ids.append(windows(points(n), tiles))
             where += [(n, int(t)) for t in tiles]
-    out = [list(s) for s in base]
+    spans, cut = [], []
     if ids:
-        flat = np.concatenate(ids)
-        keys, inverse = np.unique(flat, axis=0, return_inverse=True)   # copies are decoded once
-        inverse = inverse.reshape(-1)
-        tags = np.concatenate([tagger.decode(keys[a:a + 1024]) for a in range(0, len(keys), 1024)])
+        tags, rows = _tags_of(ids, tagger)
         found = [_decoded(row) if row.any() else [] for row in tags]
-        for (n, tile), row in zip(where, inverse.tolist()):
+        for (n, tile), row in zip(where, rows):
+            first = (tile - 1) * TILE
             for k, a, b in found[row]:
-                a, b = a + (tile - 1) * TILE, b + (tile - 1) * TILE
-                text = batch[n]
-                b = min(b, len(text))
-                if a < b and plausible(KINDS[k], text[a:b]) and not any(x < b and a < y for _, x, y in out[n]):
-                    out[n].append((KINDS[k], a, b))
+                if b < WINDOW or first + b >= len(batch[n]):
+                    spans.append((n, first + a, first + b, k))
+                else:       # seen again with its start where the middle tile starts
+                    cut.append((n, first + a, first + b, k, first + a - TILE))
+    while cut:
+        tags, rows = _tags_of([windows_from(points(n), np.array([first])) for n, _, _, _, first in cut], tagger)
+        more = []
+        for (n, a, b, k, first), row in zip(cut, rows):
+            end = first + _run_end(tags[row], k, b - first)
+            if end < first + WINDOW or end >= len(batch[n]):
+                spans.append((n, a, end, k))
+            else:
+                more.append((n, a, end, k, first + TILE))
+        cut = more
+    for n, a, b, k in sorted(spans):
+        text = batch[n]
+        b = min(b, len(text))
+        if a < b and plausible(KINDS[k], text[a:b]) and not any(x < b and a < y for _, x, y in out[n]):
+            out[n].append((KINDS[k], a, b))
     return [sorted(s, key=lambda x: (KINDS.index(x[0]), x[1])) for s in out]
 
 

@@ -76,6 +76,52 @@ def test_tagger_learns_held_out_formats(spark):
         assert [s for s in brute.pii_spans(text)] == [s for s in spans if s in pii.pattern_spans(text)]
 
 
+def test_emails_without_digit_or_at_sign_are_masked(spark):
+    rows = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+            .filter("text rlike '[0-9@]' and length(text) < 3000").orderBy("doc_id").limit(400).collect()]
+    tagger = pii.Tagger.new(9)
+    tagger.fit(*pii.training_windows(rows))
+    text = "the notes of this meeting are for all to read and more of them will come soon to the list of people "
+    found = total = 0
+    for address in ("jane.doe[at]mail.example.com", "theman.is[at]mail.example.com", "peter.other(at)mail.example.com"):
+        for lead in range(0, 96, 5):        # its start at many places of a tile
+            t = text[-lead:] * (lead > 0) + "write to " + address + " " + text
+            assert not any(c.isdigit() or c == "@" for c in t)
+            spans = pii.scan_batch([t], tagger)[0]
+            total += 1
+            found += ("email", t.index(address), t.index(address) + len(address)) in spans and address not in pii.mask(t, spans)
+    assert found >= 0.7 * total
+
+
+class Fixed:
+    """Tags every place of given texts by a rule on the symbols: an email is a run without spaces holding a bracket."""
+
+    def decode(self, ids):
+        tags = np.zeros(ids.shape, dtype=np.int8)
+        for row, out in zip(ids, tags):
+            t = 0
+            while t < len(row):
+                end = t
+                while end < len(row) and row[end] > 1:
+                    end += 1
+                if end - t > 8:
+                    out[t:end] = 2
+                    out[t] = 1
+                t = max(end, t + 1)
+        return tags
+
+
+def test_long_spans_go_on_in_later_windows():
+    for n in (5, 30, 34, 63, 65, 90):
+        for lead in range(0, 70, 3):
+            address = "a" * n + "[at]" + "b" * n + ".example.com"
+            t = "x " * (lead // 2) + " " * (lead % 2) + address + " y"
+            a = t.index(address)
+            assert pii.scan_batch([t], Fixed()) == [[("email", a, a + len(address))]], (n, lead)
+    t = "a" * 40 + "(at)" + "b" * 12 + ".example.org"      # at the text's end
+    assert pii.scan_batch([t, "", "no address"], Fixed()) == [[("email", 0, len(t))], [], []]
+
+
 def test_pii_query_and_mask(docs, rows, empty):
     got = multiset(pii.pii_spans(docs), "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
     want = []
