@@ -29,6 +29,7 @@ members and of the whole set.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 
@@ -43,6 +44,8 @@ from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
 
 K, PERCENT = 4, 85
+# Stands for a null id where rows are told apart by id and checksum of the text.
+LAST_ID = (1 << 63) - 1
 # An n-gram is frequent when task segments report it more often than this.
 FREQUENT, FREQUENT_MAX = 32, 1 << 19
 PAIR_LIMIT = 128
@@ -384,7 +387,7 @@ def block_links(cls: np.ndarray, copies: np.ndarray, part: np.ndarray, sets: lis
 
 
 def block_plan(members: DataFrame, percent: int) -> DataFrame:
-    """(block, part, cls, copies, doc): the members of clusters dealt into blocks.
+    """(block, part, cls, copies, one): the members of clusters dealt into blocks.
 
     A cluster is cut by size into bins a ratio of percent apart, so that links
     are within a bin or between neighbours, and a bin by hash into parts of
@@ -413,25 +416,54 @@ def block_plan(members: DataFrame, percent: int) -> DataFrame:
             key(b, F.least(p, q), b, F.greatest(p, q)), F.when(p == q, F.lit(2)).when(p < q, F.lit(0)).otherwise(F.lit(1)))),
         F.transform(span(F.coalesce("above", F.lit(0))), lambda q: one(key(b, p, b + 1, q), F.lit(0))),
         F.transform(span(F.coalesce("below", F.lit(0))), lambda q: one(key(b - 1, q, b, p), F.lit(1))))
-    return m.select("cls", "copies", "doc", F.explode(places).alias("at")).select(
-        F.xxhash64("at.block").alias("block"), "at.part", "cls", "copies", "doc")
+    return m.select("cls", "copies", "one", F.explode(places).alias("at")).select(
+        F.xxhash64("at.block").alias("block"), "at.part", "cls", "copies", "one")
+
+
+def one_a_task(t: DataFrame) -> DataFrame:
+    """Rows of ``texts``, with equal texts once for each segment of a task."""
+
+    def run(batches):
+        seen: set[bytes] = set()
+        for b in batches:
+            fresh = []
+            for x in column(b, "text"):
+                h = hashlib.blake2b(x.as_buffer() if x.is_valid else b"", digest_size=16).digest()
+                fresh.append(h not in seen)
+                seen.add(h)
+            if len(seen) > 200_000:
+                seen = set()
+            yield b.filter(pa.array(fresh, pa.bool_()))
+
+    return t.mapInArrow(run, "doc_id long, text binary")
 
 
 def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
     """(cls, root, n_links) from every block that has links."""
 
     def sets_of(batches):
+        seen: set[int] = set()
         for b in batches:
-            out = []
+            wanted, cls, out = column(b, "cls").to_pylist(), [], []
             for c in chunks(column(b, "text"), lower=True):
                 g, bounds = gram_sets(c, k)
-                out += [g[x:y].tobytes() for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([column(b, "cls"), pa.array(out, pa.binary())], names=["cls", "members"])
+                for i, x in enumerate(set_hashes(g, bounds).view(np.int64).tolist()):
+                    if x == wanted[c.first + i] and x not in seen:
+                        seen.add(x)
+                        cls.append(x)
+                        out.append(g[bounds[i]:bounds[i + 1]].tobytes())
+            if len(seen) > 200_000:
+                seen = set()
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(out, pa.binary())], names=["cls", "members"])
 
     t = texts(docs)
-    wanted = plan.select("doc", F.col("cls")).distinct()
-    # a document id can come in several rows: the one whose set has the class's hash counts
-    members = (t.join(wanted, t["doc_id"] == wanted["doc"]).select("cls", "text").mapInArrow(sets_of, "cls long, members binary"))
+    # a null id is as good as any: rows are told apart by id and checksum, and
+    # of those with equal ones the row whose set has the class's hash counts
+    t = t.filter("doc_id is not null").union(one_a_task(t.filter("doc_id is null"))).select(
+        F.coalesce("doc_id", F.lit(LAST_ID)).alias("t_id"), F.coalesce(F.crc32("text"), F.lit(0)).alias("t_mark"), "text")
+    wanted = plan.select("cls", "one.id", "one.mark").distinct()
+    members = (t.join(wanted, (F.col("t_id") == F.col("id")) & (F.col("t_mark") == F.col("mark")))
+               .select("cls", "text").mapInArrow(sets_of, "cls long, members binary"))
 
     def run(batches):
         held, key = [], None
@@ -475,13 +507,14 @@ def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = sets.filter("gram is null").select("doc_id", "mark", "cls", "n")
     classes = written(sets.filter("gram is null and n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "mark")).alias("one"),
         F.first("bitmap").alias("bitmap")), "classes")
     index = index_rows(docs, frequent_grams(sets), k, percent)
     kept: list[str] = []
     pairs = written(candidate_pairs(index, percent), "pairs", kept)
     clusters = components(likely_pairs(pairs, classes, percent))
     members = clusters.join(classes, clusters["node"] == classes["cls"]).select(
-        "cls", F.col("component").alias("cluster"), "n", "copies", "doc")
+        "cls", F.col("component").alias("cluster"), "n", "copies", "one")
     plan = written(block_plan(members, percent), "blocks", kept)
     linked = written(links(docs, plan, k, percent), "links")
     remove(docs.sparkSession, kept)
@@ -515,15 +548,14 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     that links connect the one with the smallest id stays (a null id comes last;
     among equal ids the smallest checksum of the text; among equal rows any one).
     Rows with an empty set all stay."""
-    last = (1 << 63) - 1
-    rows = linked_rows(docs, k, percent).select(F.coalesce("doc_id", F.lit(last)).alias("id"), "mark", "n", "tree")
+    rows = linked_rows(docs, k, percent).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "mark", "n", "tree")
     rows = written(rows, "linked")
     keep = rows.filter("tree is not null").groupBy("tree").agg(F.min(F.struct("id", "mark")).alias("first")).select("first.*")
     keep = keep.withColumn("once", F.lit(True)).union(
         rows.filter("tree is null").select("id", "mark").distinct().withColumn("once", F.lit(False)))
     d_id, d_mark, once, k_id, k_mark, nth = free_names(docs, "id", "mark", "once", "keep_id", "keep_mark", "nth")
     keep = keep.toDF(k_id, k_mark, once)
-    marked = docs.withColumns({d_id: F.coalesce(docs["doc_id"].cast("long"), F.lit(last)),
+    marked = docs.withColumns({d_id: F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)),
                                d_mark: F.coalesce(F.crc32(F.encode(docs["text"], "UTF-8")), F.lit(0))})
     kept = marked.join(keep, (F.col(d_id) == F.col(k_id)) & (F.col(d_mark) == F.col(k_mark)))
     same = Window.partitionBy(d_id, d_mark).orderBy(F.lit(0))

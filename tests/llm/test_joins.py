@@ -29,6 +29,22 @@ def test_jaccard_join_other_parameters(spark, k, percent):
     assert got == expected_join(rows, k, percent)
 
 
+def test_null_ids_are_linked_like_others(spark):
+    r = random.Random(9)
+    v = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    line = lambda n: " ".join(r.choice(v) for _ in range(n))
+    base, other = line(150), line(150)
+    rows = [(7, base), (None, base + " end"), (None, other), (None, other + " end"), (None, other + " end"), (None, line(90))]
+    rows += [(None if i % 3 == 0 else d, t) for i, (d, t) in enumerate(make_rows(5))]
+    docs = frame(spark, rows)
+    got = multiset(ngram_join.jaccard_join(docs, 4, 85), "doc_id", "n_shingles", "component_id", "n_links")
+    assert got == expected_join(rows, 4, 85) and (None, 148, 7, 1) in got
+    _, group = brute.jaccard_components(rows, 5, 80)
+    left = [(x["doc_id"], x["text"]) for x in ngram_join.one_of_each(docs, 5, 80).collect()]
+    assert len(left) == len(set(group)) and (None, base + " end") not in left
+    assert sum((None, other + x) in left for x in ("", " end")) == 1
+
+
 def test_jaccard_join_empty(empty):
     df = ngram_join.jaccard_join(empty)
     assert df.columns == ["doc_id", "n_shingles", "component_id", "n_links"] and df.count() == 0
