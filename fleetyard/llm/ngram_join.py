@@ -49,6 +49,8 @@ LAST_ID = (1 << 63) - 1
 # An n-gram is frequent when task segments report it more often than this.
 FREQUENT, FREQUENT_MAX = 32, 1 << 19
 PAIR_LIMIT = 128
+# Index rows that a task holds before it pairs them, and rows of one n-gram before it cuts them.
+HELD_ROWS, CUT_ROWS = 50_000, 400_000
 SEGMENT_WORDS = 1 << 20
 BLOCK_ROWS, BLOCK_MEMBERS = 512, 1 << 21
 COLUMNS = 4096
@@ -207,8 +209,9 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
 
 # --- 2. candidates ---------------------------------------------------------
 
-def _pairs_of(gram, cls, n, place, percent):
-    """Candidates among rows sorted by gram, then cls; whole groups."""
+def _pairs_of(gram, cls, n, place, percent, cut=None):
+    """Candidates among rows sorted by gram, then cls; whole groups. The n-gram ``cut``
+    has more rows than these: its group counts as large whatever its size."""
     keep = _runs(gram, cls)
     gram, cls, n, place = gram[keep], cls[keep], n[keep].astype(np.int64), place[keep].astype(np.int64)
     head = np.flatnonzero(_runs(gram))
@@ -216,6 +219,8 @@ def _pairs_of(gram, cls, n, place, percent):
     of = np.repeat(np.arange(len(head)), size)
     out_a, out_b, out_star = [], [], []
     big = size[of] > PAIR_LIMIT
+    if cut is not None:
+        big |= gram == cut
     if big.any():
         rows = np.flatnonzero(big)
         hub = cls[head[of[rows]]]
@@ -253,41 +258,47 @@ def _pairs_of(gram, cls, n, place, percent):
                                       names=["a", "b", "star"])
 
 
-def candidate_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """(a, b, star) with a < b: pairs to be tried; star: stands for a large group."""
-
-    def run(batches):
-        held = []                # batches that may end in an unfinished group
-        rows = 0
+def group_pairs(batches, percent: int):
+    """Batches of candidates from batches of index rows sorted by gram, then cls."""
+    held = []                # batches that may end in an unfinished group
+    rows, cut_gram = 0, None
 
-        def columns(t):
-            return [t[x].to_numpy() for x in ("gram", "cls", "n", "place")]
+    def columns(t):
+        return [t[x].to_numpy() for x in ("gram", "cls", "n", "place")]
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(b)
-            rows += b.num_rows
-            if rows < 50_000:
-                continue
-            t = pa.Table.from_batches(held)
-            gram = t["gram"].to_numpy()
-            cut = int(np.flatnonzero(_runs(gram))[-1])
-            if cut:
-                out = _pairs_of(*columns(t.slice(0, cut)), percent)
-                if out is not None:
-                    yield out
-                held = t.slice(cut).to_batches()
-            elif rows > 400_000:   # one n-gram: link all so far with its first class, go on with that
-                out = _pairs_of(*columns(t), percent)
-                if out is not None:
-                    yield out
-                held = t.slice(0, PAIR_LIMIT + 1).to_batches()
-            rows = sum(x.num_rows for x in held)
-        if held:
-            out = _pairs_of(*columns(pa.Table.from_batches(held)), percent)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        rows += b.num_rows
+        if rows < HELD_ROWS:
+            continue
+        t = pa.Table.from_batches(held)
+        gram = t["gram"].to_numpy()
+        cut = int(np.flatnonzero(_runs(gram))[-1])
+        if cut:
+            out = _pairs_of(*columns(t.slice(0, cut)), percent, cut_gram)
+            if out is not None:
+                yield out
+            held = t.slice(cut).to_batches()
+        elif rows > CUT_ROWS:   # one n-gram: link all so far with its first class, and with that one all to come
+            cut_gram = int(gram[0])
+            out = _pairs_of(*columns(t), percent, cut_gram)
             if out is not None:
                 yield out
+            held = t.slice(0, 1).to_batches()
+        rows = sum(x.num_rows for x in held)
+    if held:
+        out = _pairs_of(*columns(pa.Table.from_batches(held)), percent, cut_gram)
+        if out is not None:
+            yield out
+
+
+def candidate_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """(a, b, star) with a < b: pairs to be tried; star: stands for a large group."""
+
+    def run(batches):
+        return group_pairs(batches, percent)
 
     return (index.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(run, "a long, b long, star boolean")
             .groupBy("a", "b").agg(F.max("star").alias("star")))

@@ -65,6 +65,32 @@ def test_one_of_each(docs, rows):
     assert sum(1 for _, t in left if not brute.words(t)) == sum(1 for _, t in rows if not brute.words(t))
 
 
+@pytest.mark.parametrize("tail", [0, 1, 3, 60, 400])
+def test_a_cut_group_stays_one_cluster(monkeypatch, tail):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "HELD_ROWS", 100)
+    monkeypatch.setattr(ngram_join, "CUT_ROWS", 500)
+    # the first class comes from many tasks and has another size than the others
+    cls = [1] * 300 + list(range(2, 302 + tail))
+    rows = [(5, 900, 50, 0)] + [(7, c, 10 if c == 1 else 100, 0) for c in cls] + [(8, 900, 50, 0), (8, 901, 50, 0)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i:i + 37])], names=["gram", "cls", "n", "place"])
+               for i in range(0, len(rows), 37)]
+    pairs = [p for out in ngram_join.group_pairs(iter(batches), 85) for p in out.to_pylist()]
+    root = {c: c for c in [*cls, 900, 901]}
+
+    def find(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    for p in pairs:
+        a, b = sorted((find(p["a"]), find(p["b"])))
+        root[b] = a
+    assert {find(c) for c in cls} == {1} and find(901) == 900
+    assert len(pairs) <= len(set(cls)) + 1
+
+
 def test_overlaps_drop_only_hopeless_pairs():
     import numpy as np
 
