@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetyard.llm import sql
 from fleetyard.llm.frames import read
 
 
@@ -84,6 +85,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans(read(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation folded from its event log, rendered and read back."""
+    from fleetyard.llm.chat_format import chat_digest, with_probe
+
+    return chat_digest(with_probe(read(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -95,5 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_chat_format": op11_chat_format,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op11_chat_format": sql.CHAT_FORMAT,
 }
-ORACLE_SQL: dict[str, str] = {}
