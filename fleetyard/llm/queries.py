@@ -92,6 +92,13 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(with_probe(read(spark, sf_dir, "conversations")))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged, and repaired at least cost."""
+    from fleetyard.llm.structure_repair import repair_digest
+
+    return repair_digest(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -104,7 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
     "op11_chat_format": op11_chat_format,
+    "op12_structure_repair": op12_structure_repair,
 }
 ORACLE_SQL: dict[str, str] = {
     "op11_chat_format": sql.CHAT_FORMAT,
+    "op12_structure_repair": sql.STRUCTURE_REPAIR,
 }
