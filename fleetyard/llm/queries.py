@@ -99,6 +99,13 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digest(read(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    from fleetyard.llm.collocations import collocations
+
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -112,8 +119,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_chat_format": op11_chat_format,
     "op12_structure_repair": op12_structure_repair,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op11_chat_format": sql.CHAT_FORMAT,
     "op12_structure_repair": sql.STRUCTURE_REPAIR,
+    "op13_collocations": sql.COLLOCATIONS,
 }

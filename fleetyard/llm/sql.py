@@ -109,3 +109,42 @@ def _added(statement: str) -> str:
 
 
 STRUCTURE_REPAIR = _added(STRUCTURE_REPAIR)
+
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text,
+         row_number() OVER () AS r
+  FROM documents
+), pieces AS (
+  SELECT lang, r, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, k, w[i + 1:i + k] AS p, count(*) AS f
+  FROM w, range(1, 5) AS a(k), unnest(range(0, len(w) - k + 1)) AS b(i) GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT * FROM phrases WHERE k > 1 AND f >= 30
+), covered AS (
+  SELECT DISTINCT lang, y[i + 1:i + m] AS p, f FROM (SELECT lang, p AS y, k, f FROM c), range(2, 4) AS a(m),
+         unnest(range(0, k - m + 1)) AS b(i) WHERE m < k
+), free AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM covered v WHERE v.lang = c.lang AND v.p = c.p AND 100 * CAST(v.f AS HUGEINT) >= 80 * CAST(c.f AS HUGEINT))
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, j, l.f AS l, r.f AS r,
+         CAST(2000000 * CAST(c.f AS HUGEINT) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM free) c
+  JOIN phrases l ON l.lang = c.lang AND l.p = c.p[1:c.j]
+  JOIN phrases r ON r.lang = c.lang AND r.p = c.p[c.j + 1:c.k]
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS o FROM cuts
+), ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM lowest WHERE o = 1
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN n USING (lang) WHERE rank <= 2000
+"""
