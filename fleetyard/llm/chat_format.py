@@ -10,10 +10,11 @@ and body.
 * ``regenerate``: the text is dropped and streamed anew; later messages go likewise.
 
 So an event counts unless a later ``edit`` or ``regenerate`` falls on its own
-or an earlier message. ``fold`` finds, for every message, the last such event
-on it or before it (a running maximum over narrow rows, by blocks of
-messages), and joins what follows it in order. Texts move once, by message: a
-long conversation is no group of its own. ``render`` writes the messages in
+or an earlier message. Logs are dealt out by conversation and block of
+messages; ``fold`` finds, for every message, the last such event on it or before
+it (a running maximum in the block, and one over the conversation's blocks),
+and joins what follows it in order. A long conversation is no group of its own,
+and texts are dealt out once for log, fold and rendering. ``render`` writes the messages in
 parts of at most PART turns with a loss mask; ``parse`` reads parts back. All
 of it is DataFrame and SQL functions.
 
@@ -68,6 +69,12 @@ class Template:
         return F.concat(F.lit(self.head), self.escaped(role), F.lit(self.mid), self.escaped(text), F.lit(self.tail))
 
 
+def block_key(block: Column) -> Column:
+    """What rows are dealt out by: the conversation and a block of its messages. Carried
+    from the log to the rendered parts, so that texts are dealt out once."""
+    return F.struct("conv_id", block.alias("block"))
+
+
 def event_log(turns: DataFrame) -> DataFrame:
     """The log that streams the given turns (conv_id, turn, role, text).
 
@@ -75,11 +82,13 @@ def event_log(turns: DataFrame) -> DataFrame:
     checksum of its place, a quarter of the assistant turns is first drafted
     and regenerated, and a quarter of the others written short and edited.
     Turns with the same number are numbered by role and text (column copy).
-    Messages are named by (turn, copy), events ordered by (turn, copy, step).
+    Messages are named by (turn, copy), events ordered by (turn, copy, step);
+    ``p`` is the key of the message's block of BLOCK turns.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    t = t.withColumn("copy", F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")))
+    t = t.withColumn("p", block_key(F.floor(F.col("turn") / BLOCK))).drop("conv_id").repartition("p")
+    t = t.withColumn("copy", F.row_number().over(Window.partitionBy("p", "turn").orderBy("role", "text")))
 
     def event(kind: str, body: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), body.alias("body"))
@@ -89,67 +98,62 @@ def event_log(turns: DataFrame) -> DataFrame:
         return F.transform(pieces, lambda p: event("delta", p))
 
     whole, short = deltas(F.col("text")), F.expr("left(text, int(length(text) / 2))")
-    revised = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 4 == 0
+    revised = F.crc32(F.concat_ws(":", "p.conv_id", "turn").cast("binary")) % 4 == 0
     start = F.array(event("open", F.col("role")))
     log = (F.when(revised & (F.col("role") == "assistant"),
                   F.concat(start, deltas(F.concat(short, F.lit(" ..."))),
                            F.array(event("regenerate", F.lit(None).cast("string"))), whole))
            .when(revised, F.concat(start, deltas(short), F.array(event("edit", F.col("text")))))
            .otherwise(F.concat(start, whole)))
-    return (t.select("conv_id", "turn", "copy", F.posexplode(log).alias("step", "e"))
-            .select("conv_id", "turn", "copy", "step", "e.kind", "e.body"))
+    return (t.select("p", "turn", "copy", F.posexplode(log).alias("step", "e"))
+            .select("p", "turn", "copy", "step", "e.kind", "e.body"))
 
 
-def fold(events: DataFrame, message: Sequence[str] = ("message",), order: Sequence[str] = ("seq",),
-         block: Column | None = None) -> DataFrame:
-    """Final messages: conv_id, the ``message`` columns, role and text.
+def fold(events: DataFrame, message: Sequence[str] = ("message",), order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Final messages: ``p``, the ``message`` columns, role and text.
 
-    ``block`` never falls from one message of a conversation to the next and
-    bounds the rows that one task puts in order (default: the first message
-    column, which must be a number, over BLOCK).
+    ``events`` have conv_id, and in their first message column a number, of
+    which BLOCK make a block; or the key of a block, ``p``, which never falls
+    from one message of a conversation to the next.
     """
-    block = F.floor(F.col(message[0]) / BLOCK) if block is None else block
-    e = events.select("conv_id", F.struct("conv_id", *message).alias("m"), F.struct("conv_id", block.alias("b")).alias("p"),
-                      F.struct(*message).alias("place"), F.struct(*order).alias("at"), "kind", "body")
+    key = F.col("p") if "p" in events.columns else block_key(F.floor(F.col(message[0]) / BLOCK))
+    e = events.select(key.alias("p"), F.struct(*message).alias("place"), F.struct(*order).alias("at"), "kind", "body")
     resets = F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("at")))
-    # Narrow: the last reset on a message, in the block so far, and in the blocks before.
-    heads = e.groupBy("p", "m", "place").agg(resets.alias("reset"))
-    blocks = heads.groupBy("p").agg(F.max("reset").alias("reset"))
-    before = (Window.partitionBy("p.conv_id").orderBy("p.b").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select("p", F.max("reset").over(before).alias("earlier"))
-    so_far = Window.partitionBy("p").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    heads = (heads.withColumn("here", F.max("reset").over(so_far)).join(blocks, "p")
-             .select("m", F.greatest("here", "earlier").alias("cut")))
+    e = e.withColumn("latest", resets.over(Window.partitionBy("p")))
+    # Narrow: the last reset in the blocks before.
+    blocks = e.groupBy("p").agg(F.first("latest").alias("latest"))
+    before = Window.partitionBy("p.conv_id").orderBy("p.block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("p", F.max("latest").over(before).alias("earlier"))
     log = F.sort_array(F.collect_set(F.struct("at", "kind", "body")))
-    told = e.groupBy("m").agg(log.alias("log")).join(heads, "m")
-    live = told.withColumn("live", F.filter("log", lambda x: F.col("cut").isNull() | (x["at"] >= F.col("cut"))))
+    told = e.groupBy("p", "place").agg(log.alias("log"), resets.alias("reset"))
+    so_far = Window.partitionBy("p").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    told = told.withColumn("here", F.max("reset").over(so_far)).join(blocks, "p")
+    live = told.withColumn("cut", F.greatest("here", "earlier")).withColumn(
+        "live", F.filter("log", lambda x: F.col("cut").isNull() | (x["at"] >= F.col("cut"))))
     opened = F.filter("log", lambda x: x["kind"] == "open")
     body = F.transform(F.filter("live", lambda x: x["kind"].isin("delta", "edit")),
                        lambda x: F.coalesce(x["body"], F.lit("")))
     known = F.exists("live", lambda x: x["kind"].isin("open", "delta", "edit", "regenerate"))
     return live.filter(known).select(
-        "m.*", F.coalesce(F.try_element_at(opened, F.lit(-1))["body"], F.lit("")).alias("role"),
+        "p", "place.*", F.coalesce(F.try_element_at(opened, F.lit(-1))["body"], F.lit("")).alias("role"),
         F.array_join(body, "").alias("text"))
 
 
 def render(messages: DataFrame, message: Sequence[str] = ("message",), template: Template = Template(),
-           learn: str = "assistant", block: Column | None = None) -> DataFrame:
+           learn: str = "assistant") -> DataFrame:
     """conv_id, block, part, n_turns, formatted, mask: (block, part) order a conversation's
     parts; mask has (start, stop), in code points of ``formatted``, of each text of role ``learn``."""
-    block = F.floor(F.col(message[0]) / BLOCK) if block is None else block
-    m = messages.select("conv_id", block.alias("block"), F.struct(*message, "role", "text").alias("at"), "role",
+    m = messages.select("p", F.struct(*message, "role", "text").alias("at"), "role",
+                        F.length(template.escaped(F.col("text"))).alias("inside"),
                         template.turn(F.col("role"), F.col("text")).alias("piece"))
-    w = Window.partitionBy("conv_id", "block")
-    m = m.withColumn("part", F.floor((F.row_number().over(w.orderBy("at")) - 1) / PART))
-    upto = Window.partitionBy("conv_id", "block", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    m = m.withColumn("part", F.floor((F.row_number().over(Window.partitionBy("p").orderBy("at")) - 1) / PART))
+    upto = Window.partitionBy("p", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     m = m.withColumn("stop", F.sum(F.length("piece").cast("long")).over(upto) - len(template.tail))
-    within = F.length(template.escaped(F.col("at.text")))
-    m = m.withColumn("start", F.when(F.col("role") == learn, F.col("stop") - within))
-    g = m.groupBy("conv_id", "block", "part").agg(
-        F.sort_array(F.collect_list(F.struct("stop", "start", "piece"))).alias("t"))
+    m = m.withColumn("start", F.when(F.col("role") == learn, F.col("stop") - F.col("inside")))
+    g = m.groupBy("p", "part").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "piece"))).alias("t"))
     spans = F.transform(F.filter("t", lambda x: x["start"].isNotNull()),
                         lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))
-    return g.select("conv_id", "block", "part", F.size("t").cast("long").alias("n_turns"),
+    return g.select("p.conv_id", "p.block", "part", F.size("t").cast("long").alias("n_turns"),
                     F.array_join(F.transform("t", lambda x: x["piece"]), "").alias("formatted"), spans.alias("mask"))
 
 
@@ -176,9 +180,7 @@ def chat_digest(conversations: DataFrame, template: Template = Template()) -> Da
     one row here, already joined by part.
     """
     name = ("turn", "copy")
-    block = F.floor(F.col("turn") / BLOCK)
-    messages = fold(event_log(conversations), name, (*name, "step"), block)
-    p = parse(render(messages, name, template, block=block), template)
+    p = parse(render(fold(event_log(conversations), name, (*name, "step")), name, template), template)
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     p = p.select("conv_id", F.size("turns").cast("long").alias("n"), F.length("formatted").cast("long").alias("c"),
                  F.struct("block", "part", said.alias("said"), F.array_join("learnt", "").alias("learnt")).alias("x"))

@@ -45,7 +45,7 @@ def random_log(seed, n=1500):
 def test_fold_is_the_plain_replay(spark, seed):
     log = random_log(seed)
     df = spark.createDataFrame(log, "conv_id long, message long, seq long, kind string, body string").repartition(5)
-    got = {(x.conv_id, x.message): (x.role, x.text) for x in fold(df).collect()}
+    got = {(x.p.conv_id, x.message): (x.role, x.text) for x in fold(df).collect()}
     # the role of the last opening counts, also of one before a reset; replay in the same way
     assert got == plain_fold(log)
 
