@@ -87,14 +87,14 @@ FROM o""")
 _t("afvc", ["li"], f"""
 SELECT {z('l_orderkey', 10)} AS aufpl, {z('rspos', 8)} AS aplzl, {z('rspos * 10', 4)} AS vornr,
        'Operacao ' || l_returnflag || l_linestatus AS ltxa1,
-       CAST(100 + l_suppkey % 25 AS VARCHAR) AS arbid,
+       CASE WHEN l_partkey % 13 = 0 THEN '900' ELSE CAST(100 + l_suppkey % 25 AS VARCHAR) END AS arbid,
        CASE WHEN id % 37 <> 0 THEN 'OV' || {z('l_orderkey', 12)} || {z('rspos', 4)} END AS objnr
 FROM li""")
 
 _t("afvv", ["li"], f"""
 SELECT {z('l_orderkey', 10)} AS aufpl, {z('rspos', 8)} AS aplzl,
        CAST(l_quantity AS DECIMAL(18,3)) AS arbei
-FROM li WHERE l_returnflag <> 'A'""")
+FROM li, range(CASE WHEN l_orderkey % 7 = 0 THEN 2 ELSE 1 END) WHERE l_returnflag <> 'A'""")
 
 _t("crhd", [], """
 SELECT CAST(100 + n_nationkey AS VARCHAR) AS objid,
@@ -102,7 +102,8 @@ SELECT CAST(100 + n_nationkey AS VARCHAR) AS objid,
             ELSE 'V' END AS objty,
        CASE WHEN n_nationkey = 7 THEN '|MANU' WHEN n_nationkey % 6 = 0 THEN n_name
             ELSE n_name || '|MANU' END AS arbpl
-FROM nation""")
+FROM nation
+UNION ALL SELECT '900', CASE r_regionkey WHEN 0 THEN 'A' ELSE '' END, 'OFICINA|MANU' FROM region WHERE r_regionkey < 2""")
 
 _t("jsto", ["o"], f"""
 SELECT 'OR' || {z('k', 12)} AS objnr,

@@ -4,7 +4,7 @@ from __future__ import annotations
 from duck_oracle.adapters import with_tables
 from duck_oracle.blocks import (ACCOUNT_NAMES, PAID, STORES, bare, filled, flag, has, lowest, named, one_of, ranked)
 from duck_oracle.reports import (BRANCH, NOT_STOCKED, OPEN_RESERVATION, PHASE, RESERVATION_KEY, YARD, activity, back, centre,
-                                 destination, kind, kind_by_code, po_payment, po_payment_by_item, process_status, received,
+                                 destination, kind, kind_by_code, po_payment, po_payment_by_item, process_status, received, system_status,
                                  text, user_status, work_orders_latest, yard_history, yard_snapshot_events,
                                  yard_snapshot_rows)
 from fleetyard.plans.params import CUT_WINDOW, FULL_WINDOW, PAYMENT_GROUPS
@@ -59,6 +59,12 @@ listed AS (SELECT aufnr, {user_status("aufk.objnr", "tj30t.txt04")} AS status_us
 SELECT * FROM listed WHERE cod_status_usuario IS NOT NULL""")
 
 
+def operation_statuses() -> str:
+    return with_tables(["afvc", "afvv", "jest", "tj02t"], f"""
+SELECT aufpl, aplzl, vornr, arbei::DOUBLE AS arbei, {system_status("afvc.objnr")} AS status_operacao
+FROM afvc LEFT JOIN afvv USING (aufpl, aplzl)""")
+
+
 def semi_restrict() -> str:
     return with_tables(["aufk", "resb"], """
 SELECT rsnum, rspos, aufnr FROM resb SEMI JOIN (SELECT aufnr FROM aufk WHERE erdat >= '2024-01-01') recent USING (aufnr)""")
@@ -234,7 +240,7 @@ def work_orders_ordered() -> str:
 
 
 SQL = {f.__name__: f for f in (
-    latest_by_key, latest_then_filter, text_lookup, work_centre_branch, norm_ids, maintenance_type, order_phase, status_rollup,
+    latest_by_key, latest_then_filter, text_lookup, work_centre_branch, norm_ids, maintenance_type, order_phase, status_rollup, operation_statuses,
     semi_restrict, plant_scope, active_equipment, received_qty, purchase_status, account_assignment, invoice_flag,
     parts_consumption, window_filter, null_safe_filters, delivery_batches, dq_code_profile, dq_duplicate_keys,
     dq_language_profile, dq_null_impact, dq_row_counts, dq_diff, dq_branch_distribution, dq_fill_rate, yard_newest_500,

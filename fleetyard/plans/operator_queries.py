@@ -9,7 +9,7 @@ from fleetyard.functions import blank_to_null, norm_id, not_blank, strip_zeros,
 from fleetyard.functions import labels as L
 from fleetyard.operators.joins import semi_restrict
 from fleetyard.operators.keyed import latest_by, latest_then, text_lookup
-from fleetyard.operators.status import user_status
+from fleetyard.operators.status import active_system_statuses, user_status, with_statuses
 from fleetyard.plans import equipment, parts, purchasing, quality, reservations, work_orders
 from fleetyard.plans.common import ORDERS_SINCE, activity_texts, dbl, work_centres
 from fleetyard.plans.params import AS_OF, CUT_WINDOW, FULL_WINDOW
@@ -79,6 +79,15 @@ def status_rollup(src) -> DataFrame:
                        src.table("tj30t"), with_codes=True)
 
 
+def operation_statuses(src) -> DataFrame:
+    """Every operation with its hours and system statuses; repeated hours repeat the row."""
+    rows = (src.table("afvc").select("aufpl", "aplzl", "vornr", "objnr")
+            .join(src.table("afvv").select("aufpl", "aplzl", "arbei"), ["aufpl", "aplzl"], "left"))
+    active = active_system_statuses(src.table("jest"), src.table("tj02t"))
+    out = with_statuses(rows, ["aufpl", "aplzl", "vornr", "arbei"], "objnr", active, "status_operacao")
+    return out.select("aufpl", "aplzl", "vornr", dbl("arbei").alias("arbei"), "status_operacao")
+
+
 def semi_restrict_query(src) -> DataFrame:
     """Reservation items of orders created since the cut-off (semi join, no fan-out)."""
     orders = src.table("aufk").filter(F.col("erdat") >= ORDERS_SINCE).select("aufnr")
@@ -255,6 +264,7 @@ QUERIES = {
     "maintenance_type": maintenance_type,
     "order_phase": order_phase,
     "status_rollup": status_rollup,
+    "operation_statuses": operation_statuses,
     "semi_restrict": semi_restrict_query,
     "plant_scope": plant_scope,
     "active_equipment": active_equipment,

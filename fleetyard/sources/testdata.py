@@ -179,24 +179,32 @@ class TestdataTables:
             z("l_orderkey", 10).alias("aufpl"), z("rspos", 8).alias("aplzl"),
             z(F.col("rspos") * 10, 4).alias("vornr"),
             F.concat(F.lit("Operacao "), F.col("l_returnflag"), F.col("l_linestatus")).alias("ltxa1"),
-            (F.lit(100) + F.col("l_suppkey") % 25).cast("string").alias("arbid"),
+            F.when(F.col("l_partkey") % 13 == 0, "900")
+             .otherwise((F.lit(100) + F.col("l_suppkey") % 25).cast("string")).alias("arbid"),
             F.when(F.col("id") % 37 != 0,
                    F.concat(F.lit("OV"), z("l_orderkey", 12), z("rspos", 4))).alias("objnr"))
 
     def _t_afvv(self) -> DataFrame:
-        li = self._lines.filter(F.col("l_returnflag") != "A")
+        # every seventh order has its hours twice
+        li = self._lines.filter(F.col("l_returnflag") != "A").withColumn(
+            "copy", F.explode(F.sequence(F.lit(1), F.when(F.col("l_orderkey") % 7 == 0, 2).otherwise(1))))
         return li.select(z("l_orderkey", 10).alias("aufpl"), z("rspos", 8).alias("aplzl"),
                          dec3("l_quantity").alias("arbei"))
 
     def _t_crhd(self) -> DataFrame:
         n = self.raw("nation")
         nk = F.col("n_nationkey")
-        return n.select(
+        centres = n.select(
             (F.lit(100) + nk).cast("string").alias("objid"),
             cases(nk % 5, [(0, "A"), (1, " a"), (2, ""), (3, F.lit(None).cast("string"))],
                   "V").alias("objty"),
             F.when(nk == 7, F.lit("|MANU")).when(nk % 6 == 0, F.col("n_name"))
              .otherwise(F.concat(F.col("n_name"), F.lit("|MANU"))).alias("arbpl"))
+        # one centre of operations is listed under two object types
+        twice = self.raw("region").filter("r_regionkey < 2").select(
+            F.lit("900").alias("objid"), F.when(F.col("r_regionkey") == 0, "A").otherwise("").alias("objty"),
+            F.lit("OFICINA|MANU").alias("arbpl"))
+        return centres.unionByName(twice)
 
     def _t_jsto(self) -> DataFrame:
         o = self._orders
