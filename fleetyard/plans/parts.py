@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetyard.functions import day_slice_id, not_blank, strip_zeros, window_bounds
+from fleetyard.operators.hot_keys import HotKeys, dealt_join, measure
 from fleetyard.operators.keyed import text_lookup
 from fleetyard.plans.common import dbl, sort_report
 
@@ -37,17 +38,28 @@ def parts_agg(cons: DataFrame, extra_keys: list = ()) -> DataFrame:
         F.max("d").alias("ultima_data"), F.max(F.struct("d", "aufnr")).alias("__last"))
 
 
+def hot_parts(src) -> HotKeys:
+    """Popular parts of the reservations, measured in one pass over the key."""
+    return measure(src.table("resb").filter(not_blank("matnr")), strip_zeros("matnr"))
+
+
 def parts_history(src, as_of=None, ini: int = 365, fim: int = 0, slice_days: int | None = None,
-                  ordered: bool = False) -> DataFrame:
+                  ordered: bool = False, hot: HotKeys | None = None) -> DataFrame:
     """J15. ``slice_days`` reproduces the delivery cut into day slices: the
-    slice id joins the group key, so counts and sums are per slice."""
+    slice id joins the group key, so counts and sums are per slice. ``hot``: parts
+    that a large share of the assets use (``hot_parts``)."""
     cons = consumption(src, as_of, ini, fim)
     extra = []
     if slice_days:
         cons = cons.withColumn("fatia", day_slice_id("erdat", as_of, ini, fim, slice_days))
         extra = ["fatia"]
-    agg = parts_agg(cons, extra).withColumn("__eq", strip_zeros("equnr")) \
-        .withColumn("__mat", strip_zeros("matnr"))
+    out = described(src, parts_agg(cons, extra), extra, hot)
+    return sort_report(out, [F.col("ativo"), F.col("cod_sap")], ordered)
+
+
+def described(src, agg: DataFrame, extra: list = (), hot: HotKeys | None = None) -> DataFrame:
+    """Report rows of :func:`parts_agg` rows: ids without zeros, texts, material group."""
+    agg = agg.withColumn("__eq", strip_zeros("equnr")).withColumn("__mat", strip_zeros("matnr"))
     eq_txt = text_lookup(src.table("eqkt"), strip_zeros("equnr"), "eqktx", lang="spras",
                          langs=["p", "pt"], lang_ci=True, order=[F.col("spras").asc_nulls_last()],
                          key_name="__eq")
@@ -57,11 +69,15 @@ def parts_history(src, as_of=None, ini: int = 365, fim: int = 0, slice_days: int
     mara = src.table("mara").select(strip_zeros("matnr").alias("__mat"), "matkl")
     # material text and group come in one join (a material may have several group rows)
     materials = mara.join(mat_txt, "__mat", "full_outer")
-    j = agg.join(eq_txt, "__eq", "left").join(materials, "__mat", "left")
-    out = j.select(
+    j = agg.join(eq_txt, "__eq", "left")
+    if hot is None:
+        j = j.join(materials, "__mat", "left")
+    else:
+        salt = F.concat_ws("/", "equnr", *[F.col(c).cast("string") for c in extra])
+        j = dealt_join(j, materials.withColumnRenamed("__mat", "__of"), F.col("__mat"), "__of", hot, salt)
+    return j.select(
         F.col("__eq").alias("ativo"), F.col("eqktx").alias("descricao_ativo"),
         F.col("__mat").alias("cod_sap"), F.col("maktx").alias("descricao_componente"),
         F.col("matkl").alias("grupo_mercadoria"), "qtd_ocorrencias",
         dbl("qtd_total").alias("qtd_total"),
         strip_zeros(F.col("__last.aufnr")).alias("ultima_ordem"), "ultima_data", *extra)
-    return sort_report(out, [F.col("ativo"), F.col("cod_sap")], ordered)

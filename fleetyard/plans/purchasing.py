@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.functions import blank_to_null, days_back, strip_zeros, window_bounds
 from fleetyard.functions import labels as L
+from fleetyard.operators.hot_keys import HotKeys, dealt_join, measure
 from fleetyard.operators.joins import code_table, semi_restrict, spread_key
 from fleetyard.operators.keyed import latest_by, text_lookup
 from fleetyard.plans.common import dbl, sort_report
@@ -56,9 +57,15 @@ def order_item_facts(src, since: str) -> DataFrame:
                                      F.min("eindt").alias("eindt"))
 
 
+def hot_requested(src, as_of, ini: int = 30, fim: int = 0, lgorts=PICKING_LOCATIONS) -> HotKeys:
+    """Popular materials of the requisitions in the window, measured in one pass."""
+    return measure(requisitions_in_window(src, as_of, ini, fim, lgorts), F.col("matnr"))
+
+
 def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
-                       lgorts=PICKING_LOCATIONS, ordered: bool = False) -> DataFrame:
+                       lgorts=PICKING_LOCATIONS, ordered: bool = False, hot: HotKeys | None = None) -> DataFrame:
     """One row per requisition item x order item in the window.
+    ``hot``: materials that hold a large share of the requisitions (``hot_requested``).
 
     Requisitions and order items are scanned once. What is known of an order
     item (cost centre, receipts, schedule) comes from one aggregate over the
@@ -75,14 +82,14 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
         F.col("ebeln").alias("__po"), F.col("ekgrp").alias("k_ekgrp"),
         F.col("ernam").alias("k_ernam"), "lifnr", "bedat", "frgrl")
     rc_id = F.concat_ws("/", "banfn", "bnfpo")
-    # requisitions without an order are common: spread their missing order key
-    base = rc.join(ekpo, RC_KEY, "left").withColumn("__po", spread_key(F.col("ebeln"), rc_id))
-    base = base.join(ekko, "__po", "left")
-
     # account row of the requisition: greatest order number, then greatest cost centre
     acc = (src.table("ebkn").groupBy(*RC_KEY)
            .agg(F.max(F.struct("aufnr", "kostl")).alias("a"))
            .select(*RC_KEY, F.col("a.aufnr").alias("acc_aufnr"), F.col("a.kostl").alias("acc_kostl")))
+    # requisitions without an order are common: spread their missing order key
+    base = rc.join(acc, RC_KEY, "left").join(ekpo, RC_KEY, "left").withColumn("__po", spread_key(F.col("ebeln"), rc_id))
+    base = base.join(ekko, "__po", "left")
+
     facts = order_item_facts(src, lo).withColumnRenamed("ebeln", "__po")
     by_po = ["__po", "ebelp"]
     mtext = text_lookup(src.table("makt"), "matnr", "maktx", lang="spras", langs=["p", "pt"],
@@ -90,12 +97,15 @@ def purchasing_tracker(src, as_of=None, ini: int = 30, fim: int = 0,
     afih = src.table("afih").select(F.col("aufnr").alias("__ord"), "equnr")
     lfa1 = src.table("lfa1").select(F.col("lifnr").alias("__vendor"), "name1")
 
-    b = (base.join(acc, RC_KEY, "left").join(facts, by_po, "left")
+    b = (base.join(facts, by_po, "left")
          .withColumn("__ord", spread_key(F.col("acc_aufnr"), rc_id))
          .join(afih, "__ord", "left")
          .withColumn("__vendor", spread_key(F.col("lifnr"), rc_id))
-         .join(lfa1, "__vendor", "left")
-         .join(mtext, "matnr", "left"))
+         .join(lfa1, "__vendor", "left"))
+    if hot is None:
+        b = b.join(mtext, "matnr", "left")
+    else:
+        b = dealt_join(b, mtext.withColumnRenamed("matnr", "__mat"), F.col("matnr"), "__mat", hot, rc_id)
 
     kn = F.coalesce("p_knttp", "knttp")
     out = b.select(
