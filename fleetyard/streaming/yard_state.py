@@ -11,12 +11,15 @@ event becomes an exit correctly leaves the yard.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetyard.operators.keyed import latest_by
 from fleetyard.plans.yard import ENTRY
+from fleetyard.sources import shared_files as files
 
 PAYLOAD = ["tipo_relatorio", "tipo_equipamento", "marca", "modelo", "cliente", "situacao",
            "horimetro", "filial"]
@@ -56,8 +59,48 @@ def start(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoin
     return w.start()
 
 
+def _log(spark: SparkSession, sink_dir: str) -> tuple[DataFrame, int | None]:
+    """The change log: the compacted state, if there is one, and the batches after it;
+    and the last batch. Batches are told by their folder's name."""
+    home = sink_dir.rstrip("/")
+    base = [n for n in files.names(spark, f"{home}/_base") if n.endswith(".json") and not n.startswith("_")]
+    record = files.read_record(spark, f"{home}/_base/{base[-1]}") if base else {"upto": -1, "folder": None}
+    batches = sorted(int(n.partition("=")[2]) for n in files.names(spark, home) if n.startswith("batch_id="))
+    later = [b for b in batches if b > record["upto"]]
+    parts = [spark.read.parquet(record["folder"])] if record["folder"] else []
+    parts += [spark.read.parquet(*[f"{home}/batch_id={b}" for b in later])] if later else []
+    if not parts:
+        raise FileNotFoundError(f"no change log in {sink_dir}")
+    parts = [p.withColumn("batch_id", F.lit(-1)) if "batch_id" not in p.columns else p for p in parts]
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return log, (later or [record["upto"]])[-1]
+
+
+def compact(spark: SparkSession, sink_dir: str) -> int:
+    """Replace the batches so far by the newest row of each asset; the last of them.
+
+    The log's size then follows the number of assets. Later batches may be
+    written meanwhile. The state is entered by record before batches go, and
+    batches that it covers are not read any more.
+    """
+    home = sink_dir.rstrip("/")
+    log, upto = _log(spark, sink_dir)
+    folder = f"{home}/_state/{upto:010d}-{uuid.uuid4().hex}"
+    latest_by(log, "n_armac", [F.col("batch_id").desc()]).write.parquet(folder)
+    older = files.names(spark, f"{home}/_state")
+    if not files.write_record(spark, f"{home}/_base/{upto:010d}.json", {"upto": upto, "folder": folder}):
+        files.remove(spark, folder)           # compacted up to here already
+        return upto
+    for name in files.names(spark, home):
+        if name.startswith("batch_id=") and int(name.partition("=")[2]) <= upto:
+            files.remove(spark, f"{home}/{name}")
+    for name in older:
+        if f"{home}/_state/{name}" != folder:
+            files.remove(spark, f"{home}/_state/{name}")
+    return upto
+
+
 def current_yard(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Resolve the change log: newest state row per asset, then keep entries."""
-    log = spark.read.parquet(sink_dir)
-    state = latest_by(log, "n_armac", [F.col("batch_id").desc()])
+    state = latest_by(_log(spark, sink_dir)[0], "n_armac", [F.col("batch_id").desc()])
     return in_yard(state)
