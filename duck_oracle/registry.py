@@ -31,9 +31,10 @@ SQL = {
 
 
 def _register_operator_sql():
-    from duck_oracle.operators import SQL as OPS
-    for name, fn in OPS.items():
-        SQL.setdefault(name, fn)
+    from duck_oracle import deliveries, operators
+    for module in (operators, deliveries):
+        for name, fn in module.SQL.items():
+            SQL.setdefault(name, fn)
 
 
 _register_operator_sql()

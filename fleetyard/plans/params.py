@@ -9,6 +9,10 @@ test data. ``AS_OF`` is fixed so results are repeatable.
 AS_OF = "2030-01-01"
 FULL_WINDOW = 3650
 SLICE_DAYS = 45
+# Slices of the checked run by slices: each is a job of its own.
+WIDE_SLICE_DAYS = 900
+# The earlier day of the query that keeps winners up to date.
+EARLIER_DAY = "2025-06-01"
 
 # Defaults of the scheduled jobs (rolling, incremental windows).
 JOB_DEFAULTS = {

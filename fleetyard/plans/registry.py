@@ -63,9 +63,10 @@ REPORTS: dict[str, Report] = {
 
 
 def _register_operator_queries():
-    from fleetyard.plans.operator_queries import QUERIES
-    for name, fn in QUERIES.items():
-        REPORTS.setdefault(name, fn)
+    from fleetyard.plans import delivery_queries, operator_queries
+    for module in (operator_queries, delivery_queries):
+        for name, fn in module.QUERIES.items():
+            REPORTS.setdefault(name, fn)
 
 
 _register_operator_queries()
