@@ -28,8 +28,6 @@ from fleetyard.llm.frames import column, map_batches, texts
 
 KINDS = ("assign", "access", "hex", "literal")
 MIN_SCORE = 0.5
-# An operand longer than this is not read as a name.
-NAME_CHARS = 128
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
@@ -38,7 +36,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _OPERATOR = re.compile(r"=>|:=|[=:]")
-_LEFT = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]*)["']?[\x20\t]*\Z""")
+# The name left of an operator, read from the operator back: each character is seen once.
+_LEFT = re.compile(r"""[\x20\t]*["']?([A-Za-z0-9_.\-]*[A-Za-z_])""")
 _TERM = re.compile(r"""[\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"',;#(){}\[\]<>+]+))""")
 _PLUS = re.compile(r"[\x20\t]*\+")
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*\Z")
@@ -85,10 +84,11 @@ def lex_assignments(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
     """(name, spans of the literals assigned to it), in text order, constants propagated."""
     bound: dict[str, list[tuple[int, int]]] = {}
     out = []
+    back = text[::-1]
     for op in _OPERATOR.finditer(text):
         if text.startswith("//", op.end()) or text.startswith("==", op.start()) or text.startswith("::", op.start()):
             continue
-        left = _LEFT.search(text, max(0, op.start() - NAME_CHARS), op.start())
+        left = _LEFT.match(back, len(text) - op.start())
         if left is None:
             continue
         at, values = op.end(), []
@@ -97,7 +97,7 @@ def lex_assignments(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
             if term is None:
                 break
             group = term.lastindex
-            if group == 3 and len(term.group(3)) <= NAME_CHARS and _IDENT.match(term.group(3)) and term.group(3) in bound:
+            if group == 3 and _IDENT.match(term.group(3)) and term.group(3) in bound:
                 values += bound[term.group(3)]
             else:
                 values.append(term.span(group))
@@ -108,8 +108,9 @@ def lex_assignments(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
             at = plus.end()
         if values:
             values = list(dict.fromkeys(values))
-            bound[left.group(1)] = values
-            out.append((left.group(1), values))
+            name = left.group(1)[::-1]
+            bound[name] = values
+            out.append((name, values))
     return out
 
 
