@@ -10,8 +10,8 @@ Jaccard similarity of the shingle multisets, at least MIN_SIMILARITY.
 
 Windows that hold none of an item's shingles have similarity 0 and are not
 fingerprinted: one lookup of each document shingle finds where windows are
-needed. Items of fewer than K words have their whole word sequence as only
-shingle and are compared with whole documents alone.
+needed. An item of fewer than K words has its whole word sequence as only
+shingle: its windows are as long, and are found by that shingle alone.
 
 The items go to the executors in blocks of at most ITEM_BYTES of text (a pass
 over the documents for each block), so what is broadcast is bounded however
@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, texts
-from fleetyard.llm.words import U64, chunks, ngrams, within
+from fleetyard.llm.frames import column, give_back, map_batches, texts
+from fleetyard.llm.words import U64, Chunk, chunks, ngrams, within
 
 K, MIN_SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 20, 8
@@ -104,7 +104,14 @@ class ItemIndex:
                     self.grams.append(shingles(c.hashes[a:b], k))
                     self.n_words.append(int(b - a))
         self.n_words = np.array(self.n_words, dtype=np.int64)
-        pairs = [(int(g), n) for n, gs in enumerate(self.grams) for g in set(gs.tolist())]
+        # items of one shingle by its length: shingles in order, and their items
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in sorted(set(self.n_words[self.n_words < k].tolist())):
+            own = np.flatnonzero(self.n_words == size)
+            grams = np.array([self.grams[n][0] for n in own.tolist()], dtype=np.uint64)
+            order = np.argsort(grams, kind="stable")
+            self.short[size] = grams[order], own[order]
+        pairs = [(int(g), n) for n, gs in enumerate(self.grams) if self.n_words[n] >= k for g in set(gs.tolist())]
         pairs.sort()
         self.gram = np.array([g for g, _ in pairs], dtype=np.uint64)
         self.gram_item = np.array([n for _, n in pairs], dtype=np.int64)
@@ -112,7 +119,7 @@ class ItemIndex:
         self.known[(self.gram >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
         self.by_length: dict[int, LengthIndex] = {}
         prints = np.array([fingerprints(g, np.array([0]), len(g))[0] for g in self.grams], dtype=np.uint64)
-        for size in np.unique(self.n_words).tolist():
+        for size in np.unique(self.n_words[self.n_words >= k]).tolist():
             own = np.flatnonzero(self.n_words == size)
             self.by_length[size] = LengthIndex.of(own, prints[own], radius, BLOCKS)
 
@@ -136,9 +143,7 @@ class ItemIndex:
                 needed.setdefault(size, []).append(place)
         found: dict[int, tuple[float, int]] = {}
         for size, at in needed.items():
-            if size < self.k or n <= size:
-                if size < self.k and n != size:
-                    continue
+            if n <= size:
                 starts, m = np.array([0]), len(grams)
             else:
                 m = size - self.k + 1
@@ -162,25 +167,36 @@ class ItemIndex:
 
     def scan(self, texts_: pa.Array):
         """(row, item number, similarity, first word) of all matches in a column of texts."""
-        if not len(self.gram):
+        if not len(self.n_words):
             return
         for c in chunks(texts_, lower=True):
-            n = np.diff(c.word_bounds)
-            places: dict[int, list[np.ndarray]] = {}
+            found: dict[tuple[int, int], tuple[float, int]] = {}
             if len(c.hashes) >= self.k:
                 at = self.hits(ngrams(c.hashes, self.k))
                 at = at[within(c.word_bounds, self.k)[at]]
                 text = np.searchsorted(c.word_bounds, at, side="right") - 1
                 for t in np.unique(text).tolist():
-                    places[t] = at[text == t] - c.word_bounds[t]
-            for t in np.flatnonzero((n > 0) & (n < self.k)).tolist():
-                g = shingles(c.hashes[c.word_bounds[t]:c.word_bounds[t + 1]], self.k)
-                if len(self.hits(g)):
-                    places[t] = np.array([0])
-            for t, at in sorted(places.items()):
-                own = c.hashes[c.word_bounds[t]:c.word_bounds[t + 1]]
-                for item, (sim, start) in sorted(self.matches(own, at).items()):
-                    yield c.first + t, item, sim, start
+                    own = c.hashes[c.word_bounds[t]:c.word_bounds[t + 1]]
+                    found |= {(t, item): m for item, m in self.matches(own, at[text == t] - c.word_bounds[t]).items()}
+            for size in self.short:
+                found |= self.short_matches(c, size)
+            for (t, item), (sim, start) in sorted(found.items()):
+                yield c.first + t, item, sim, start
+
+    def short_matches(self, c: Chunk, size: int) -> dict[tuple[int, int], tuple[float, int]]:
+        """Items of ``size`` words, fewer than K, in a chunk: {(text, item): (1, first word)}."""
+        grams, items = self.short[size]
+        own = ngrams(c.hashes, size)
+        if not len(own):
+            return {}
+        a, b = (np.searchsorted(grams, own, side=s) for s in ("left", "right"))
+        at = np.flatnonzero((b > a) & within(c.word_bounds, size))
+        text = np.searchsorted(c.word_bounds, at, side="right") - 1
+        out: dict[tuple[int, int], tuple[float, int]] = {}
+        for place, t in zip(at.tolist(), text.tolist()):
+            for item in items[a[place]:b[place]].tolist():
+                out.setdefault((t, item), (1.0, place - int(c.word_bounds[t])))
+        return out
 
 
 def item_blocks(benchmark: DataFrame, most: int = ITEM_BYTES):
@@ -224,6 +240,7 @@ def leaks_any(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
     def condition(shared) -> Column:
         @F.arrow_udf("boolean")
         def leaks(text: pa.Array) -> pa.Array:
+            give_back()
             out = np.zeros(len(text), dtype=bool)
             for row, _, _, _ in shared.value.scan(text):
                 out[row] = True
