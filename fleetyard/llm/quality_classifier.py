@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, texts, written
+from fleetyard.llm.frames import column, map_stream, texts, written
 from fleetyard.llm.quality_rules import _sums, _tokens, base_counts, gram_buckets
 from fleetyard.llm.words import Chunk, chunks
 
 BUCKETS = 1 << 14
-TRAIN_EACH = 2000
+TRAIN_EACH = 2500
 KEEP_AT = 0.5
 # Evidence of one document is at most this (log odds), so that no text outweighs any site.
 MOST = 12.0
@@ -46,9 +46,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, each: int) -> list[tuple[b
     t, rows = texts(docs), []
     for value in (0, 1):
         ids = known.filter(F.col("quality") == value).orderBy(F.xxhash64("label_id"), "label_id").limit(each).select("label_id")
-        # at most `each` ids
+        # at most `each` ids, and of repeated rows of an id the first text: at most `each` rows
         rows += [(bytes(r["text"] or b""), value) for r in
-                 t.join(F.broadcast(ids), t["doc_id"] == ids["label_id"]).select("text").collect()]
+                 t.join(F.broadcast(ids), t["doc_id"] == ids["label_id"]).groupBy("label_id").agg(F.min("text").alias("text"))
+                 .select("text").collect()]
     return sorted(r for r in rows if r[0])
 
 
@@ -89,7 +90,7 @@ def _features(column_: pa.Array):
         yield c, feature, text, value
 
 
-def fit(rows: list[tuple[bytes, int]], epochs: int = 250, rate: float = 1.5, decay: float = 3e-4) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[bytes, int]], epochs: int = 400, rate: float = 1.5, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights by feature and offset of the evidence; zeros without both classes."""
     y = np.array([v for _, v in rows], dtype=float)
     if not len(y) or y.min() == y.max():
@@ -135,7 +136,7 @@ def evidence(docs: DataFrame, weights: np.ndarray, offset: float, host: Column,
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.encode(docs["text"], "UTF-8").alias("text"),
                        F.coalesce(host.cast("string"), F.lit("")).alias("host"),
                        F.coalesce(path.cast("string"), F.lit("")).alias("path"))
-    return rows.mapInArrow(run, "doc_id long, host string, path string, evidence double")
+    return rows.transform(map_stream, run, "doc_id long, host string, path string, evidence double")
 
 
 def strength(groups: DataFrame, parent: Column) -> float:
