@@ -40,18 +40,19 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, remove, written
+from fleetyard.llm.frames import column, map_batches, map_stream, remove, written
 from fleetyard.llm.word_memo import ragged
-from fleetyard.llm.words import U64, byte_column, hash_words, mix
+from fleetyard.llm.words import CHUNK_BYTES, U64, byte_column, hash_words, mix
 
 DEPTH = 4
 # Words that a task combines before sending, and texts' bytes handled at a time.
-SEGMENT, CHUNK = 1 << 20, 1 << 22
+SEGMENT, CHUNK = 1 << 20, CHUNK_BYTES
 # Suffixes in a prefix group: at least this many, and at most about GROUPS groups.
 GROUP_ROWS, GROUPS = 1 << 16, 1 << 18
 # Bits in a bit table: 16 for each frequent item, within these bounds (4 KB to 16 MB).
 BITS = (1 << 15, 1 << 27)
 SCALE = 2_000_000
+SHARES = 16
 
 _KIND = np.ones(256, dtype=np.uint8)              # 0 space, 1 word, 2 end of a piece
 _KIND[[0x20, 0x09]] = 0
@@ -115,11 +116,10 @@ def _segments(docs: DataFrame, pick: Callable[[Words], tuple], combine: Callable
                     if words >= SEGMENT:
                         yield combine(held)
                         held, words = [], 0
-            pa.default_memory_pool().release_unused()
         if held:
             yield combine(held)
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_stream, run, schema)
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -247,7 +247,7 @@ def prefix_groups(keyed: DataFrame, total: int) -> np.ndarray:
                 yield _batch(prefix=prefix[new])
 
     ordered = keyed.repartitionByRange("prefix").sortWithinPartitions("prefix")
-    return np.array(sorted({r.prefix for r in ordered.mapInArrow(cuts, "prefix long").collect()}), dtype=np.int64)
+    return np.array(sorted({r.prefix for r in ordered.transform(map_stream, cuts, "prefix long").collect()}), dtype=np.int64)
 
 
 # ---- subtrees
@@ -336,7 +336,7 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
             yield _batch(**dict(zip(PATH, nodes)), n=totals)
 
     ordered = suffixes.repartition("grp").sortWithinPartitions(*PATH)
-    return ordered.select(*PATH, "n").mapInArrow(run, ", ".join(f"{p} long" for p in PATH) + ", n long")
+    return ordered.select(*PATH, "n").transform(map_stream, run, ", ".join(f"{p} long" for p in PATH) + ", n long")
 
 
 # ---- phrases
@@ -407,9 +407,13 @@ def collocations(docs: DataFrame, group_col: str = "lang", text_col: str = "text
         often.select("w1", zero, zero, zero, "n"))
     scored = _scored(phrases.join(_covered(phrases, percent), PATH, "left_anti"), counts)
     scored = scored.join(often.select("w1", "g"), "w1")
-    if top is not None:                       # ties are kept: their order needs the texts
-        place = F.rank().over(Window.partitionBy("g").orderBy(F.desc("score"), F.desc("a")))
-        scored = scored.withColumn("place", place).filter(F.col("place") <= top).drop("place")
+    if top is not None:
+        # ties are kept: their order needs the texts. First within SHARES shares of a
+        # group, so that a group's last ranking reads about SHARES * top rows at any size
+        share = F.pmod(F.xxhash64(*PATH), F.lit(SHARES))
+        for keys in (["g", share], ["g"]):
+            place = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a")))
+            scored = scored.withColumn("place", place).filter(F.col("place") <= top).drop("place")
     scored = written(scored, "scored", kept)
     text = often.select(F.col("w1").alias("w"), "word")
     spelt = (scored.select(*PATH, F.posexplode(F.array(*PATH)).alias("at", "w")).filter("w != 0").join(text, "w")

@@ -1,6 +1,7 @@
 """Small helpers shared by the operators: reading, batches, scratch tables."""
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,17 +12,41 @@ from pyspark.sql import functions as F
 
 from fleetyard.session import checkpoint_dir, discard
 
-# A batch crossing to Python holds at most about this many bytes of text for
-# texts of usual length; a longer text comes in a batch of few others.
+# A batch that crosses to Python holds at most about this many bytes, or one longer row.
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 2000
+_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to BATCH_BYTES, unless it has a limit of its own."""
+    given = spark.conf.get(_BYTES_KEY, None)
+    if given is None or given.lstrip("-").isdigit() and not 0 < int(given) < 1 << 31:
+        spark.conf.set(_BYTES_KEY, str(BATCH_BYTES))
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):          # another C library
+    def _trim(pad: int) -> int:
+        return 0
+
+
+def give_back() -> None:
+    """Return memory that Arrow and numpy have freed to the system: a worker is reused
+    by later stages, and a freed heap would otherwise stay with it."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and the whole text (UTF-8 bytes) of every row, whatever else the frame has."""
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.encode(docs[text_col], "UTF-8").alias("text"))
 
@@ -40,22 +65,28 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
                     yield out
                 else:
                     yield from out
-            pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return map_stream(df, run, schema)
 
 
-def ids_of(batch: pa.RecordBatch, name: str = "doc_id") -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
+def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow over bounded batches; freed memory is given back before each."""
+    bounded_batches(df.sparkSession)
 
+    def run(batches):
+        def given():
+            for batch in batches:
+                yield batch
+                give_back()
 
-def column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
+        yield from fn(given())
+        give_back()
 
+    return df.mapInArrow(run, schema)
 
-def binary_rows(parts: list[np.ndarray]) -> pa.Array:
-    """One binary value for each array."""
-    return pa.array([p.tobytes() for p in parts], type=pa.binary())
+
+def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

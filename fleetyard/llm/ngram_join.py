@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetyard.llm.components import components
-from fleetyard.llm.frames import column, free_names, remove, texts, written
+from fleetyard.llm.frames import column, free_names, map_stream, remove, texts, written
 from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
 
@@ -164,7 +164,7 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
         if held:
             yield counts()
 
-    return texts(docs).mapInArrow(run, "doc_id long, mark long, cls long, n int, bitmap binary, gram long, count long")
+    return texts(docs).transform(map_stream, run, "doc_id long, mark long, cls long, n int, bitmap binary, gram long, count long")
 
 
 def frequent_grams(sets: DataFrame) -> np.ndarray:
@@ -204,7 +204,7 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
                  pa.array(n[of[go]].astype(np.int32)), pa.array(place[go].astype(np.int32))],
                 names=["gram", "cls", "n", "place"])
 
-    return texts(docs).mapInArrow(run, "gram long, cls long, n int, place int")
+    return texts(docs).transform(map_stream, run, "gram long, cls long, n int, place int")
 
 
 # --- 2. candidates ---------------------------------------------------------
@@ -300,7 +300,7 @@ def candidate_pairs(index: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         return group_pairs(batches, percent)
 
-    return (index.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(run, "a long, b long, star boolean")
+    return (index.repartition("gram").sortWithinPartitions("gram", "cls").transform(map_stream, run, "a long, b long, star boolean")
             .groupBy("a", "b").agg(F.max("star").alias("star")))
 
 
@@ -317,7 +317,7 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
                   zip(column(t, "bits_a").to_pylist(), column(t, "bits_b").to_pylist(), most.tolist())]
             yield pa.RecordBatch.from_arrays([column(t, "a"), column(t, "b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return rows.mapInArrow(run, "a long, b long").union(pairs.filter("star").select("a", "b"))
+    return rows.transform(map_stream, run, "a long, b long").union(pairs.filter("star").select("a", "b"))
 
 
 # --- 3. blocked products ---------------------------------------------------
@@ -446,7 +446,7 @@ def one_a_task(t: DataFrame) -> DataFrame:
                 seen = set()
             yield b.filter(pa.array(fresh, pa.bool_()))
 
-    return t.mapInArrow(run, "doc_id long, text binary")
+    return t.transform(map_stream, run, "doc_id long, text binary")
 
 
 def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
@@ -474,7 +474,7 @@ def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
         F.coalesce("doc_id", F.lit(LAST_ID)).alias("t_id"), F.coalesce(F.crc32("text"), F.lit(0)).alias("t_mark"), "text")
     wanted = plan.select("cls", "one.id", "one.mark").distinct()
     members = (t.join(wanted, (F.col("t_id") == F.col("id")) & (F.col("t_mark") == F.col("mark")))
-               .select("cls", "text").mapInArrow(sets_of, "cls long, members binary"))
+               .select("cls", "text").transform(map_stream, sets_of, "cls long, members binary"))
 
     def run(batches):
         held, key = [], None
@@ -506,7 +506,7 @@ def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
 
     return (plan.join(members, "cls").select("block", "cls", "part", "copies", "members")
             .repartition("block").sortWithinPartitions("block")
-            .mapInArrow(run, "cls long, root long, n_links long"))
+            .transform(map_stream, run, "cls long, root long, n_links long"))
 
 
 # --- 4. the join -----------------------------------------------------------

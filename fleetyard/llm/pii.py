@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetyard.llm.char_tagger import PAD, TILE, WINDOW, Tagger, char_ids, windows, windows_from
-from fleetyard.llm.frames import column, map_batches, texts
+from fleetyard.llm.frames import column, give_back, map_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 # Documents that training windows are taken from, at most.
@@ -352,6 +352,7 @@ def masked_text(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> Column:
 
     @F.arrow_udf("string")
     def masked(text: pa.Array) -> pa.Array:
+        give_back()
         given = text.to_pylist()
         clean = [t or "" for t in given]
         return pa.array([None if g is None else mask(t, s) for g, t, s in zip(given, clean, scan_batch(clean, tagger))],

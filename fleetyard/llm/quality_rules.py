@@ -16,13 +16,12 @@ often as they occur, and each has its own result.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, texts
-from fleetyard.llm.words import U64, Chunk, chunks, hash_words, mix, ngrams, split_tokens, within
+from fleetyard.llm.frames import column, give_back, map_batches, map_stream, texts
+from fleetyard.llm.words import U64, Chunk, chunks, factorize, hash_words, mix, ngrams, split_tokens, within
 
 BUCKETS = 1 << 14
 # Mean log ratio a kept document needs (nats per n-gram).
@@ -50,7 +49,7 @@ def repeated_words(c: Chunk, k: int = 3) -> np.ndarray:
     if len(grams):
         ok = np.flatnonzero(within(c.word_bounds, k))
         key = mix(grams[ok] + U64(0x9E3779B97F4A7C15) * c.text_of_word()[ok].astype(np.uint64))
-        codes, _ = pd.factorize(key)
+        codes, _ = factorize(key)
         often = ok[np.bincount(codes)[codes] > 1] if len(codes) else ok
         for j in range(k):
             covered[often + j] = 1
@@ -112,7 +111,7 @@ def count_grams(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> t
 
     def counts(rows: DataFrame) -> np.ndarray:
         out = np.zeros(buckets)
-        for r in (rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket")
+        for r in (rows.select("text").transform(map_stream, count, "bucket long, n long").groupBy("bucket")
                   .agg(F.sum("n").alias("n")).collect()):
             out[r["bucket"]] = r["n"]
         return out
@@ -172,6 +171,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def passes(text: pa.Array) -> pa.Array:
+        give_back()
         out = []
         for c in chunks(text):
             n = base_counts(c)

@@ -40,6 +40,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetyard.llm.frames import map_stream
+
 # Costs of edits; a truncated row that stays adds TRUNCATED.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 # Bits of a row's code: its initial, then its first fault.
@@ -290,7 +292,7 @@ def repair(turns: DataFrame, conversations: DataFrame | None = None) -> DataFram
                                      F.lit(False), none.cast("string"), none.cast("int")))
     rows = (rows.repartition("conv_id").sortWithinPartitions("conv_id", "phase", "turn", "role", "digest", "again")
             .select("conv_id", "turn", "role", "text", "code"))
-    return rows.mapInArrow(_stream, ROWS)
+    return rows.transform(map_stream, _stream, ROWS)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
@@ -332,4 +334,4 @@ def _digests(batches):
 
 def repair_digest(conversations: DataFrame) -> DataFrame:
     """One row per conversation: the report, letters and digest of its damaged rows' repair."""
-    return repair(damaged(conversations), conversations).mapInArrow(_digests, DIGEST)
+    return repair(damaged(conversations), conversations).transform(map_stream, _digests, DIGEST)

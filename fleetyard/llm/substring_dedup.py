@@ -30,14 +30,13 @@ import hashlib
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, texts
+from fleetyard.llm.frames import column, map_batches, map_stream, texts
 from fleetyard.llm.word_memo import ragged
-from fleetyard.llm.words import U64, byte_column, chunks, mix, split_words, window_hashes, within
+from fleetyard.llm.words import U64, byte_column, chunks, factorize, mix, split_words, window_hashes, within
 
 WINDOW, PREFIX = 20, 8
 # Words that a task combines before sending.
@@ -102,7 +101,7 @@ class Segment:
         else:
             self.key = self.window = np.zeros(0, np.uint64)
             self.offset = self.own = at
-        codes, _ = pd.factorize(self.window)
+        codes, _ = factorize(self.window)
         often = np.flatnonzero(np.bincount(codes)[codes] > 1) if len(codes) else at
         self.repeat = np.zeros(len(at), dtype=bool)
         self.repeat[often] = repeats((codes[often],), self.doc[often], self.start[often])
@@ -248,7 +247,7 @@ def long_prefixes(docs: DataFrame) -> np.ndarray:
         for s in segments(batches):
             go = ~s.repeat
             heads = np.flatnonzero(_runs(s.own[go], s.doc[go]))
-            codes, keys = pd.factorize(s.key[go][heads])
+            codes, keys = factorize(s.key[go][heads])
             n = np.bincount(codes, minlength=len(keys)) if len(codes) else np.zeros(0, np.int64)
             often = np.flatnonzero(n > 1)
             yield pa.RecordBatch.from_arrays(
@@ -256,7 +255,7 @@ def long_prefixes(docs: DataFrame) -> np.ndarray:
                  pa.array(np.append(np.zeros(len(often), bool), True))], names=["key", "n", "all"])
 
     spark = docs.sparkSession
-    counts = (texts(docs).mapInArrow(count, "key long, n long, all boolean")
+    counts = (texts(docs).transform(map_stream, count, "key long, n long, all boolean")
               .groupBy("all", "key").agg(F.sum("n").alias("n")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     top = counts.orderBy(F.desc("all"), F.desc("n")).limit(int(parts / FAIR_SHARE) + 1).collect()
@@ -306,8 +305,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         while passed:
             yield passed.pop().select(pick)
 
-    return (texts(docs).mapInArrow(send, ROW_SQL).repartition("route").sortWithinPartitions("route")
-            .mapInArrow(judge, "doc long, mark long, start int, n int"))
+    return (texts(docs).transform(map_stream, send, ROW_SQL).repartition("route").sortWithinPartitions("route")
+            .transform(map_stream, judge, "doc long, mark long, start int, n int"))
 
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, map_batches, remove, scratch, texts
+from fleetyard.llm.frames import column, map_batches, map_stream, remove, scratch, texts
 from fleetyard.llm.word_memo import WordMemo
 from fleetyard.llm.words import chunks, split_pieces, split_words
 
@@ -132,7 +132,7 @@ def id_ranks(tokens: DataFrame, kind: str = "<u4") -> np.ndarray:
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    rows = (tokens.select("ids").mapInArrow(count, "id long, n long")
+    rows = (tokens.select("ids").transform(map_stream, count, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect())
     return np.array([r["id"] for r in rows], dtype=np.int64)
 
@@ -181,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
             yield flush()
 
     (tokens.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids")
-     .mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks"))
+     .transform(map_stream, blocks, BLOCK_SCHEMA).write.parquet(f"{folder}/blocks"))
     remove(spark, [raw])
 
 
@@ -210,7 +210,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     "ids": pa.array([flat[e - c:e].tobytes() for e, c in zip(ends.tolist(), counts.tolist())], pa.binary())})
 
     return (spark.read.schema(BLOCK_SCHEMA).parquet(f"{folder}/blocks")
-            .mapInArrow(decode, "shard int, block int, place int, first long, doc_id long, ids binary"))
+            .transform(map_stream, decode, "shard int, block int, place int, first long, doc_id long, ids binary"))
 
 
 def document_starts(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,19 +21,18 @@ Without both classes among the labels every score is 0.5 or below.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetyard.llm.frames import column, texts
+from fleetyard.llm.frames import column, map_stream, texts
 from fleetyard.llm.word_memo import HashTable, ragged
-from fleetyard.llm.words import U64, Chunk, chunks, mix, split_pieces
+from fleetyard.llm.words import U64, Chunk, chunks, factorize, mix, split_pieces
 
 MIN_GRAM, MAX_GRAM = 3, 6
 ROWS, DIM = 1 << 17, 8
 WINDOW, TOP_WINDOWS = 4, 2
-TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2000
+TRAIN_TOXIC, TRAIN_CLEAN = 1500, 3000
 TOXIC_AT = 0.7
 
 _GRAM = [int(x) for x in np.random.default_rng(99).integers(1, 1 << 62, size=MAX_GRAM + 1) * 2 + 1]
@@ -124,6 +123,7 @@ def top_windows(z: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def fit(documents: list[list[str]], toxic: np.ndarray, **settings) -> ToxicModel:
     """Train on documents given as lists of lower-case words."""
+    import pandas as pd                      # on the driver; workers do without it
     codes, words = pd.factorize(np.array([w for d in documents for w in d], dtype=object))
     return fit_coded(list(words), codes, np.array([len(d) for d in documents], dtype=np.int64), toxic, **settings)
 
@@ -200,9 +200,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int,
     for value, limit in ((1, max_toxic), (0, max_clean)):
         ids = (known.filter(F.col("toxic") == value)
                .orderBy(F.xxhash64("label_id"), "label_id").limit(limit).select("label_id"))
-        # at most max_toxic + max_clean ids
+        # at most `limit` ids, and of repeated rows of an id the first text: at most `limit` rows
         rows += [(bytes(r["text"] or b""), value) for r in
-                 t.join(F.broadcast(ids), t["doc_id"] == ids["label_id"]).select("text").collect()]
+                 t.join(F.broadcast(ids), t["doc_id"] == ids["label_id"]).groupBy("label_id").agg(F.min("text").alias("text"))
+                 .select("text").collect()]
     rows.sort()
     keys, lengths, known_words = [], [], {}
     for c in chunks(pa.array([r[0] for r in rows], type=pa.binary()), lower=True, split=split_pieces):
@@ -214,6 +215,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_toxic: int,
                 known_words[k] = _lower(c, i)
         keys.append(own)
         lengths.append(np.diff(bounds))
+    import pandas as pd                      # on the driver; workers do without it
     codes, distinct = pd.factorize(np.concatenate(keys)) if keys else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
     return ([known_words[k] for k in distinct.tolist()], codes,
             np.concatenate(lengths) if lengths else np.zeros(0, np.int64), np.array([r[1] for r in rows]))
@@ -227,7 +229,7 @@ class _Logits:
         self.table, self.z = HashTable(max_words), np.zeros(0)
 
     def of(self, c: Chunk, keep: np.ndarray) -> np.ndarray:
-        codes, keys = pd.factorize(c.hashes[keep])
+        codes, keys = factorize(c.hashes[keep])
         at = self.table.find(keys)
         new = np.flatnonzero(at < 0)
         if self.table.n + len(new) > self.max_words:
@@ -262,7 +264,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
                     [doc.slice(c.first, c.n_texts), pa.array(1 / (1 + np.exp(-np.clip(best + c0, -50, 50))))],
                     names=["doc_id", "score"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    return texts(docs).transform(map_stream, run, "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = TRAIN_TOXIC,

@@ -11,9 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 
-from fleetyard.llm.words import U64, Chunk
+from fleetyard.llm.words import U64, Chunk, factorize
 
 # Words handed to the tokenizer at once.
 ENCODE_WORDS = 2000
@@ -71,9 +70,9 @@ class WordMemo:
         self._reset()
 
     def _reset(self) -> None:
-        self.table = HashTable(self.max_words)
-        self.first = np.zeros(self.max_words, dtype=np.int32)
-        self.count = np.zeros(self.max_words, dtype=np.int32)
+        self.table = HashTable(1 << 12)               # all grow with the words that come
+        self.first = np.zeros(1 << 12, dtype=np.int32)
+        self.count = np.zeros(1 << 12, dtype=np.int32)
         self.ids = np.zeros(1 << 14, dtype=np.int32)
         self.n_ids = 0
 
@@ -84,14 +83,14 @@ class WordMemo:
         total, n = int(counts.sum()), self.table.n
         if self.n_ids + total > len(self.ids):
             self.ids = np.concatenate([self.ids[:self.n_ids], np.zeros(self.n_ids + 2 * total, np.int32)])
-        if n + len(keys) > len(self.first):          # one chunk of very many new words
-            extra = np.zeros(n + len(keys) - len(self.first), np.int32)
+        if n + len(keys) > len(self.first):
+            extra = np.zeros(n + 2 * len(keys), np.int32)
             self.first, self.count = np.concatenate([self.first, extra]), np.concatenate([self.count, extra])
         self.ids[self.n_ids:self.n_ids + total] = [i for ids in found for i in ids]
         self.first[n:n + len(keys)] = self.n_ids + np.cumsum(counts) - counts
         self.count[n:n + len(keys)] = counts
-        if n + len(keys) > 0.9 * len(self.table.keys):
-            bigger = HashTable(n + len(keys))
+        if 2 * (n + len(keys)) > len(self.table.keys):
+            bigger = HashTable(2 * (n + len(keys)))
             held = np.flatnonzero(self.table.keys)
             bigger.add(self.table.keys[held][np.argsort(self.table.rows[held])])
             self.table = bigger
@@ -102,7 +101,7 @@ class WordMemo:
         """Ids of all words of the chunk, and the n_texts + 1 offsets of its texts."""
         if self.table.n > 0.9 * self.max_words or self.n_ids > self.max_ids:
             self._reset()
-        codes, keys = pd.factorize(chunk.hashes)
+        codes, keys = factorize(chunk.hashes)
         at = self.table.find(keys)
         new = np.flatnonzero(at < 0)
         if len(new):

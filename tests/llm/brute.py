@@ -83,12 +83,11 @@ def leaks(rows, items, k=5, least=0.8):
         w = words(low(t))
         for i, (_, it) in enumerate(items):
             iw = words(low(it))
-            if not iw or not w or (len(iw) < k and len(iw) != len(w)):
+            if not iw or not w:
                 continue
             c, best = Counter(shingles(iw)), 0.0
-            s = shingles(w)
             for at in range(max(1, len(w) - len(iw) + 1)):
-                x = Counter(s[at:at + max(1, len(iw) - k + 1)])
+                x = Counter(shingles(w[at:at + len(iw)]))
                 both = sum((x & c).values())
                 best = max(best, both / (sum(x.values()) + sum(c.values()) - both))
             if best >= least:

@@ -263,3 +263,21 @@ def test_keep_good_keeps_columns(docs, labels):
     assert kept.columns == docs.columns
     judged = quality_rules.quality_rules(docs, labels).filter("kept").count()
     assert kept.count() == judged
+
+
+def test_secret_names_of_any_length():
+    name = "db_passphrase_" + "a" * 130
+    t = f'{name} = "Zx9Qm2Lp7Vt4Kk1Ww"\n' + "x" * 5000 + "=1\n" + f"secret_copy = {name}"
+    assert [n for n, _ in secret_scan.lex_assignments(t)] == [name, "x" * 5000, "secret_copy"]
+    assert [t[a:b] for k, a, b in secret_scan.scan(t) if k == "literal"] == ["Zx9Qm2Lp7Vt4Kk1Ww"]
+
+
+def test_short_items_inside_long_documents(spark):
+    rows = [(1, "some words then the secret phrase again and the secret phrase once more " * 3), (2, "the secret phrases"),
+            (3, "phrase"), (4, "one"), (5, None), (6, "the secret"), (7, "Secret PHRASE")]
+    items = [(10, "The secret phrase"), (11, "phrase"), (12, "secret phrase"), (13, "the secret phrase again and"), (14, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.similarity, x.start) for x in decontamination.find_leaks(frame(spark, rows), bench).collect()}
+    want = {(rows[r][0], items[i][0]): s for (r, i), s in brute.leaks(rows, items).items()}
+    assert {k: s for k, (s, _) in got.items()} == want
+    assert got[1, 10] == (1.0, 3) and got[1, 11][1] == 5 and (7, 12) in got and (2, 10) not in got
