@@ -3,8 +3,8 @@ from __future__ import annotations
 
 from duck_oracle.adapters import with_tables
 from duck_oracle.blocks import bare, has
-from duck_oracle.reports import (day_slices, parts_history, po_payment, po_payment_by_item, purchasing_tracker, reservation_picking,
-                                 yard_current)
+from duck_oracle.reports import (day_slices, equipment_register, parts_history, po_payment, po_payment_by_item, purchasing_tracker,
+                                 receipts_status, reservation_picking, work_order_operations, yard_current)
 from fleetyard.plans.params import PAYMENT_GROUPS, WIDE_SLICE_DAYS
 
 
@@ -72,6 +72,24 @@ SELECT what, (SELECT count(*) FROM seen WHERE op = what) AS n FROM (VALUES ('ins
 UNION ALL SELECT 'column status_pagamento', (SELECT count(*) FROM seen WHERE op = 'update')"""
 
 
+def _placed(rows: str, order: str, shown: str) -> str:
+    return f"SELECT row_number() OVER (ORDER BY {order}) - 1 AS place, {shown} FROM ({rows}) r"
+
+
+def receipts_ordered() -> str:
+    return _placed(receipts_status(), "status_migo, data_do_recebimento_fisico DESC NULLS LAST, pedido NULLS LAST, requisicao NULLS LAST",
+                   "status_migo, data_do_recebimento_fisico, pedido, requisicao")
+
+
+def equipment_ordered() -> str:
+    return _placed(equipment_register(), "ativo NULLS LAST, descricao NULLS LAST, chassi NULLS LAST", "ativo, descricao, chassi")
+
+
+def operations_ordered() -> str:
+    shown = "filial, ativo, ordem, num_operacao, centro_trabalho_operacao, status_operacao"
+    return _placed(work_order_operations(), ", ".join(f"{c} NULLS LAST" for c in shown.split(", ")), shown)
+
+
 def latest_orders_maintained() -> str:
     return with_tables(["aufk", "afih"], f"""
 there AS (SELECT {bare("equnr")} AS ativo, aufnr, erdat FROM aufk JOIN afih USING (aufnr)
@@ -97,5 +115,5 @@ SQL = {
     "parts_history_merged": parts_history, "yard_polled": yard_current,
     "reservation_picking_dealt": reservation_picking, "parts_history_dealt": parts_history,
     "purchasing_tracker_dealt": purchasing_tracker,
-    **{f.__name__: f for f in (latest_orders_maintained, dq_profile, dq_profile_sketched, key_range_depths, sliced_run, outbox_batches, payment_versions, payment_changes,
+    **{f.__name__: f for f in (receipts_ordered, equipment_ordered, operations_ordered, latest_orders_maintained, dq_profile, dq_profile_sketched, key_range_depths, sliced_run, outbox_batches, payment_versions, payment_changes,
                                dq_payment_changes, dq_payment_change_counts)}}

@@ -18,13 +18,14 @@ from fleetyard.operators.keyed_diff import SAME, change_counts, keyed_diff
 from fleetyard.operators.maintained import refreshed_latest
 from fleetyard.operators.profiles import LG_HLL, exact_profile, report, sketches
 from fleetyard.operators.profiles import merged as sketches_merged
-from fleetyard.plans import parts, purchasing, reservations
+from fleetyard.plans import equipment, parts, purchasing, receipts, reservations, work_orders
 from fleetyard.plans.params import AS_OF, EARLIER_DAY, FULL_WINDOW, PAYMENT_GROUPS, WIDE_SLICE_DAYS
 from fleetyard.plans.parts_state import PartsState
 from fleetyard.plans.slices import SliceRun
 from fleetyard.plans.yard import YARD
 from fleetyard.session import checkpoint_dir, discard, materialize
 from fleetyard.sources import outbox
+from fleetyard.sources.delivery import number_rows
 from fleetyard.sources.key_ranges import depths, equal_depth_bounds
 from fleetyard.sources.tables import RoutedTables
 from fleetyard.sources.versions import VersionedTable
@@ -145,6 +146,31 @@ def dq_payment_change_counts(src) -> DataFrame:
     return change_counts(_payment_diff(src), ["status_pagamento"])
 
 
+# ------------------------------------------------------------------ delivery order
+def _placed(df: DataFrame, shown: list[str], *order) -> DataFrame:
+    """Rows with their place in the delivery order (0-based)."""
+    return number_rows(df.select(*shown), list(order), col="place")[0].select("place", *shown)
+
+
+def receipts_ordered(src) -> DataFrame:
+    """J14 in delivery order: finished receipts first, newest date first."""
+    shown = ["status_migo", "data_do_recebimento_fisico", "pedido", "requisicao"]
+    return _placed(receipts.receipts_status(src), shown, F.col(shown[0]), F.col(shown[1]).desc_nulls_last(),
+                   *[F.col(c).asc_nulls_last() for c in shown[2:]])
+
+
+def equipment_ordered(src) -> DataFrame:
+    """J03 in delivery order: by asset, those without a number last."""
+    shown = ["ativo", "descricao", "chassi"]
+    return _placed(equipment.equipment_register(src), shown, *[F.col(c).asc_nulls_last() for c in shown])
+
+
+def operations_ordered(src) -> DataFrame:
+    """J02 in delivery order: branch, asset, order, operation."""
+    shown = ["filial", "ativo", "ordem", "num_operacao", "centro_trabalho_operacao", "status_operacao"]
+    return _placed(work_orders.work_order_operations(src), shown, *[F.col(c).asc_nulls_last() for c in shown])
+
+
 # ------------------------------------------------------------------ kept state
 def latest_orders_maintained(src) -> DataFrame:
     """Latest order per asset, from winners of an earlier day and the changes since:
@@ -214,6 +240,6 @@ def dq_profile_sketched(src) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    latest_orders_maintained, parts_history_merged, yard_polled, dq_profile, dq_profile_sketched,
+    receipts_ordered, equipment_ordered, operations_ordered, latest_orders_maintained, parts_history_merged, yard_polled, dq_profile, dq_profile_sketched,
     key_range_depths, reservation_picking_dealt, parts_history_dealt, purchasing_tracker_dealt, sliced_run, outbox_batches,
     payment_versions, payment_changes, dq_payment_changes, dq_payment_change_counts)}

@@ -14,7 +14,8 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
 # totals / per-partition offsets of delivery numbering
 SINGLE_PARTITION_OK = {"yard_snapshot_topn", "yard_snapshot_events", "yard_payload", "yard_newest_500",
                        "yard_newest_500_current", "delivery_batches",
-                       "yard_payload_fields", "work_orders_ordered"}
+                       "yard_payload_fields", "work_orders_ordered", "receipts_ordered", "equipment_ordered",
+                       "operations_ordered"}
 
 
 def plan_of(df):
