@@ -111,9 +111,13 @@ class TestdataTables:
     def _lines(self) -> DataFrame:
         """Line items numbered 1..n inside their order (``rspos``); the pair
         (order, line number) is not unique in the data, so every column takes
-        part in the numbering order."""
-        li = self.raw("lineitem")
-        w = Window.partitionBy("l_orderkey").orderBy(
+        part in the numbering order.
+
+        The numbering goes by a copy of the order key: filters that a report
+        puts on the key stay above it, so that all tables made of line items
+        share one shuffle of them."""
+        li = self.raw("lineitem").withColumn("__order", F.col("l_orderkey"))
+        w = Window.partitionBy("__order").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
         li = li.withColumn("rspos", F.row_number().over(w))
@@ -127,6 +131,12 @@ class TestdataTables:
         """Line items that got a purchase order (all but returned-flag R)."""
         return self._lines.filter(F.col("l_returnflag") != "R")
 
+    @staticmethod
+    def _rows(li: DataFrame, key: list[Column], rows: Column) -> DataFrame:
+        """Rows made of each line item: ``key`` and the fields of every struct in
+        ``rows`` (none where it is NULL), in one pass over the line items."""
+        return li.select(*key, F.inline(rows))
+
     # ------------------------------------------------------ maintenance orders
     def _t_aufk(self) -> DataFrame:
         o = self._orders
@@ -318,12 +328,10 @@ class TestdataTables:
     def _t_ebkn(self) -> DataFrame:
         li = self._lines
         i = F.col("id")
-        r1 = li.select(z("l_orderkey", 10).alias("banfn"), z("rspos", 5).alias("bnfpo"),
-                       z("l_orderkey", 12).alias("aufnr"), z("l_suppkey", 10).alias("kostl"))
-        r2 = li.select(z("l_orderkey", 10).alias("banfn"), z("rspos", 5).alias("bnfpo"),
-                       F.when(i % 6 == 0, z(F.col("l_orderkey") + 1, 12)).alias("aufnr"),
-                       z(F.col("l_suppkey") + 1, 10).alias("kostl"))
-        return r1.unionByName(r2)
+        r1 = F.struct(z("l_orderkey", 12).alias("aufnr"), z("l_suppkey", 10).alias("kostl"))
+        r2 = F.struct(F.when(i % 6 == 0, z(F.col("l_orderkey") + 1, 12)).alias("aufnr"),
+                      z(F.col("l_suppkey") + 1, 10).alias("kostl"))
+        return self._rows(li, [z("l_orderkey", 10).alias("banfn"), z("rspos", 5).alias("bnfpo")], F.array(r1, r2))
 
     def _t_ekpo(self) -> DataFrame:
         li = self._po_lines()
@@ -356,10 +364,9 @@ class TestdataTables:
     def _t_ekkn(self) -> DataFrame:
         li = self._po_lines()
         i = F.col("id")
-        r1 = li.select(*self._po_keys(li), z("l_suppkey", 10).alias("kostl"))
-        r2 = li.select(*self._po_keys(li),
-                       F.when(i % 5 != 0, z(F.col("l_suppkey") + 7, 10)).alias("kostl"))
-        return r1.unionByName(r2)
+        r1 = F.struct(z("l_suppkey", 10).alias("kostl"))
+        r2 = F.struct(F.when(i % 5 != 0, z(F.col("l_suppkey") + 7, 10)).alias("kostl"))
+        return self._rows(li, self._po_keys(li), F.array(r1, r2))
 
     def _t_ekbe(self) -> DataFrame:
         li = self._po_lines()
@@ -377,9 +384,9 @@ class TestdataTables:
 
     def _t_eket(self) -> DataFrame:
         li = self._po_lines()
-        r1 = li.select(*self._po_keys(li), F.col("sd").alias("eindt"))
-        r2 = li.select(*self._po_keys(li), shifted("l_shipdate", YEAR_SHIFT + 1).alias("eindt"))
-        return r1.unionByName(r2)
+        r1 = F.struct(F.col("sd").alias("eindt"))
+        r2 = F.struct(shifted("l_shipdate", YEAR_SHIFT + 1).alias("eindt"))
+        return self._rows(li, self._po_keys(li), F.array(r1, r2))
 
     def _t_lfa1(self) -> DataFrame:
         s = self.raw("supplier")
@@ -431,23 +438,19 @@ class TestdataTables:
 
     def _t_rsadd(self) -> DataFrame:
         li = self._lines
-        r1 = li.filter(F.col("l_returnflag") != "N").select(
-            z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos"),
-            F.col("sd").alias("creadat"))
-        r2 = li.filter(F.col("l_returnflag") == "A").select(
-            z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos"),
-            shifted("l_shipdate", YEAR_SHIFT + 1).alias("creadat"))
-        return r1.unionByName(r2)
+        r1 = F.struct(F.col("sd").alias("creadat"))
+        r2 = F.struct(shifted("l_shipdate", YEAR_SHIFT + 1).alias("creadat"))
+        flag = F.col("l_returnflag")
+        return self._rows(li, [z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos")],
+                          F.when(flag == "A", F.array(r1, r2)).when(flag != "N", F.array(r1)))
 
     def _t_lips(self) -> DataFrame:
         li = self._lines
-        r1 = li.filter(F.col("l_returnflag") != "R").select(
-            z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos"),
-            (F.lit(DELIVERY_BASE) + F.col("id")).cast("string").alias("vbeln"))
-        r2 = li.filter(F.col("l_returnflag") == "A").select(
-            z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos"),
-            (F.lit(DELIVERY_BASE_2) + F.col("id")).cast("string").alias("vbeln"))
-        return r1.unionByName(r2)
+        r1 = F.struct((F.lit(DELIVERY_BASE) + F.col("id")).cast("string").alias("vbeln"))
+        r2 = F.struct((F.lit(DELIVERY_BASE_2) + F.col("id")).cast("string").alias("vbeln"))
+        flag = F.col("l_returnflag")
+        return self._rows(li, [z("l_orderkey", 10).alias("rsnum"), z("rspos", 4).alias("rspos")],
+                          F.when(flag == "A", F.array(r1, r2)).when(flag != "R", F.array(r1)))
 
     def _t_makt(self) -> DataFrame:
         pa = self.raw("part")
@@ -495,13 +498,13 @@ class TestdataTables:
         li = self._lines
         i = F.col("id")
         key = F.concat(z("l_orderkey", 10), z("rspos", 4))
-        r1 = li.select(F.when(i % 2 == 0, F.concat(F.lit(" "), key)).otherwise(key).alias("chave"),
-                       F.when(i % 3 == 0, F.lit(" ")).otherwise(F.lit("APROVADO")).alias("acao"),
-                       F.col("sd").alias("data"), F.lit("08:00:00").alias("hora"))
-        r2 = li.select(key.alias("chave"), F.lit("REPROVADO").alias("acao"),
-                       F.when(i % 13 != 0, F.col("sd")).alias("data"),
-                       F.when(i % 4 != 0, F.lit("17:30:00")).alias("hora"))
-        return r1.unionByName(r2)
+        r1 = F.struct(F.when(i % 2 == 0, F.concat(F.lit(" "), key)).otherwise(key).alias("chave"),
+                      F.when(i % 3 == 0, F.lit(" ")).otherwise(F.lit("APROVADO")).alias("acao"),
+                      F.col("sd").alias("data"), F.lit("08:00:00").alias("hora"))
+        r2 = F.struct(key.alias("chave"), F.lit("REPROVADO").alias("acao"),
+                      F.when(i % 13 != 0, F.col("sd")).alias("data"),
+                      F.when(i % 4 != 0, F.lit("17:30:00")).alias("hora"))
+        return self._rows(li, [], F.array(r1, r2))
 
     def _t_usr21(self) -> DataFrame:
         s = self.raw("supplier")
@@ -551,7 +554,12 @@ class TestdataTables:
 
     # ------------------------------------------------------------ dictionaries
     def _dict(self, rows, schema) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        """A code table. Its rows are literals of the plan, so that its size is known and
+        it can be broadcast (a frame of Python rows has no size: joins with it would
+        shuffle whole tables by a handful of codes)."""
+        names = [c.split()[0] for c in schema.split(",")]
+        table = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r, strict=True)]) for r in rows])
+        return self.spark.range(1).select(F.inline(table))
 
     def _t_t353i_t(self):
         return self._dict(D.ACTIVITY_TEXTS, "ilart string, spras string, ilatx string")
