@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.functions import day_slice_id, not_blank, strip_zeros, window_bounds
 from fleetyard.operators.hot_keys import HotKeys, dealt_join, measure
+from fleetyard.operators.joins import dealt_by_size
 from fleetyard.operators.keyed import text_lookup
 from fleetyard.plans.common import dbl, sort_report
 
@@ -17,6 +18,8 @@ def consumption(src, as_of, ini: int, fim: int) -> DataFrame:
         .select("aufnr", "erdat")
     h = src.table("afih").filter(not_blank("equnr")).select("aufnr", "equnr")
     r = src.table("resb").filter(not_blank("matnr")).select("aufnr", "matnr", "bdmng")
+    # the join, both hash tables and the sort of ``parts_agg`` share a stage
+    a, h, r = dealt_by_size("aufnr", a, h, r)
     return a.join(h, "aufnr").join(r, "aufnr")
 
 
