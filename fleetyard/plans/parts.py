@@ -23,6 +23,17 @@ def consumption(src, as_of, ini: int, fim: int) -> DataFrame:
     return a.join(h, "aufnr").join(r, "aufnr")
 
 
+def sliced_consumption(src, as_of, cuts: dict[str, dict]) -> DataFrame:
+    """Consumption of several slices of days (name -> ini, fim; no day in two) in one
+    pass over the source; column __slice names the slice."""
+    rows = consumption(src, as_of, max(c["ini"] for c in cuts.values()), min(c["fim"] for c in cuts.values()))
+    names = []
+    for name, c in cuts.items():
+        lo, hi = window_bounds(as_of, c["ini"], c["fim"])
+        names.append(F.when((F.col("erdat") >= lo) & (F.col("erdat") <= hi), F.lit(name)))
+    return rows.withColumn("__slice", F.coalesce(*names)).filter(F.col("__slice").isNotNull())
+
+
 def parts_agg(cons: DataFrame, extra_keys: list = ()) -> DataFrame:
     """Per (equipment, material): distinct orders, total quantity, last date and
     the order of that date (newest date, then highest order number).
@@ -47,11 +58,12 @@ def hot_parts(src) -> HotKeys:
 
 
 def parts_history(src, as_of=None, ini: int = 365, fim: int = 0, slice_days: int | None = None,
-                  ordered: bool = False, hot: HotKeys | None = None) -> DataFrame:
+                  ordered: bool = False, hot: HotKeys | None = None, rows: DataFrame | None = None) -> DataFrame:
     """J15. ``slice_days`` reproduces the delivery cut into day slices: the
     slice id joins the group key, so counts and sums are per slice. ``hot``: parts
-    that a large share of the assets use (``hot_parts``)."""
-    cons = consumption(src, as_of, ini, fim)
+    that a large share of the assets use (``hot_parts``). ``rows``: the window's
+    consumption, where it is already read."""
+    cons = consumption(src, as_of, ini, fim) if rows is None else rows
     extra = []
     if slice_days:
         cons = cons.withColumn("fatia", day_slice_id("erdat", as_of, ini, fim, slice_days))

@@ -53,11 +53,15 @@ class SlicedJob:
     cut: Callable[[dict], list[Slice]]
     defaults: dict
     uses_as_of: bool = False
+    # (src, as_of, slices' parameters by name) -> source rows of all these slices, read
+    # in one pass, with column __slice; the report takes those of its slice as ``rows``
+    shared: Callable[..., DataFrame] | None = None
 
 
 SLICED: dict[str, SlicedJob] = {
     "reservas_separacao": SlicedJob(reservations.reservation_picking, by_location, {"lgorts": list(PICKING_LOCATIONS)}),
-    "pecas_historico": SlicedJob(parts.parts_history, by_days, {"ini": 365, "fim": 0, "slice_days": 45}, uses_as_of=True),
+    "pecas_historico": SlicedJob(parts.parts_history, by_days, {"ini": 365, "fim": 0, "slice_days": 45}, uses_as_of=True,
+                                shared=parts.sliced_consumption),
 }
 
 
@@ -105,19 +109,35 @@ class SliceRun:
         they are through.
         """
         todo = self.missing()
+        folder = f"{self.folder}/shared/{uuid.uuid4().hex}"
+        rows = self._shared(src, todo, folder)
         with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
-            task = inheritable_thread_target(self.spark)(lambda s: self._one(src, s))
+            task = inheritable_thread_target(self.spark)(lambda s: self._one(src, s, rows))
             results = [pool.submit(task, s) for s in todo]
+        if rows is not None:
+            files.remove(self.spark, folder)
         for r in results:
             r.result()
         return [name for name, _, _ in todo]
 
-    def _one(self, src, part: Slice) -> None:
+    def _shared(self, src, todo: list[Slice], folder: str) -> DataFrame | None:
+        """What several slices read of the source, read and joined once and kept by slice
+        while they run."""
+        shared = SLICED[self.job].shared
+        if shared is None or len(todo) < 2:
+            return None
+        df = shared(src, self.as_of, {name: cut for name, cut, _ in todo})
+        df.write.partitionBy("__slice").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def _one(self, src, part: Slice, rows: DataFrame | None = None) -> None:
         name, cut, adds = part
         spec = SLICED[self.job]
         kw = {k: v for k, v in self.params.items() if k != "slice_days"} | cut
         if spec.uses_as_of:
             kw["as_of"] = self.as_of
+        if rows is not None:
+            kw["rows"] = rows.filter(F.col("__slice") == name).drop("__slice")
         df = spec.report(src, **kw).withColumns({k: F.lit(v) for k, v in adds.items()})
         attempt = uuid.uuid4().hex
         folder = f"{self.folder}/data/{name}-{attempt}"
@@ -143,4 +163,5 @@ class SliceRun:
         gone = [n for n in files.names(self.spark, f"{self.folder}/data") if n not in kept]
         for n in gone:
             files.remove(self.spark, f"{self.folder}/data/{n}")
+        files.remove(self.spark, f"{self.folder}/shared")
         return len(gone)
