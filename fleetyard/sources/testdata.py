@@ -55,6 +55,12 @@ def cases(expr: Column, mapping: list[tuple[object, object]], default=None) -> C
     return out.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
+def pick(n: Column, values: list[str | None]) -> Column:
+    """The text number ``n`` (from 0) of ``values``: ``n`` is computed once, not for each
+    value as in :func:`cases`. Stages that make many columns stay small enough to be compiled."""
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), n.cast("int"))
+
+
 def dec3(x) -> Column:
     c = F.col(x) if isinstance(x, str) else x
     return c.cast("decimal(18,3)")
@@ -403,17 +409,16 @@ class TestdataTables:
             dec3("l_quantity").alias("bdmng"),
             F.when(i % 3 != 0, dec3(F.col("l_quantity") / 2)).alias("enmng"),
             F.concat(F.lit("C00"), (F.col("l_suppkey") % 9).cast("string")).alias("werks"),
-            cases(i % 7, [(0, "D005"), (1, "D090"), (2, "D007"), (3, "D002"), (4, "D123"),
-                          (5, "D071")], "D555").alias("lgort"),
-            cases(i % 5, [(0, "311"), (1, "201")], "261").alias("bwart"),
+            pick(i % 7, ["D005", "D090", "D007", "D002", "D123", "D071", "D555"]).alias("lgort"),
+            pick(i % 5, ["311", "201", "261", "261", "261"]).alias("bwart"),
             cases(i % 6, [(0, F.lit(None).cast("string")), (1, D.NON_STOCK_TEXT)],
                   F.concat(F.lit("Texto "), F.col("l_returnflag"))).alias("sgtxt"),
             F.concat(F.lit("REC"), (F.col("l_suppkey") % 10).cast("string")).alias("wempf"),
             F.concat(F.lit("Doca "), F.col("l_linenumber").cast("string")).alias("ablad"),
             F.concat(F.lit("OK"), z("l_orderkey", 10), z("rspos", 4)).alias("objnr"),
-            cases(i % 8, [(0, "X"), (3, F.lit(None).cast("string"))], "").alias("xloek"),
+            pick(i % 8, ["X", "", "", None, "", "", "", ""]).alias("xloek"),
             F.when(F.col("l_linestatus") == "F", F.lit("X")).otherwise(F.lit("")).alias("kzear"),
-            cases(i % 4, [(0, "L"), (1, "N"), (2, "")], F.lit(None).cast("string")).alias("postp"),
+            pick(i % 4, ["L", "N", "", None]).alias("postp"),
             F.when(i % 2 == 0, F.lit("X")).otherwise(F.lit("")).alias("xwaok"),
             F.when(i % 31 != 0, F.col("sd")).alias("bdter"),
             z("l_orderkey", 12).alias("aufnr"),

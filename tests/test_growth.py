@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetyard.operators.joins import estimated_bytes
-from fleetyard.plans import work_orders
+from fleetyard.operators.hot_keys import HotKeys
+from fleetyard.plans import reservations, work_orders
 
 
 def plan_of(df):
@@ -34,3 +35,40 @@ def test_key_filters_leave_the_shuffle_of_line_items_alone(small_src):
         return re.sub(r"#\d+L?|plan_id=\d+|[\s:+-]+", "", plan_of(df).split("Exchange hashpartitioning(__order", 1)[1])
 
     assert below(t) == below(t.filter(F.col("rsnum").isNotNull() & (F.col("rsnum") > "0000000100")))
+
+
+def test_the_code_of_reservation_stages_is_compiled(spark, small_src):
+    """The JVM interprets methods of more than 8,000 bytes: every row of such a stage takes a multiple of the time."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reservations.reservation_picking(small_src, hot=HotKeys((("1", 2),)))
+        code = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sizes and max(sizes) <= 8000, sorted(sizes)[-3:]
+
+
+def test_reservation_items_are_shuffled_once_for_all_item_lookups(spark, small_src):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(reservations.reservation_picking(small_src))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    keys = re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^\]]*)\]", p)
+    assert [re.sub(r"#\d+", "", k) for k in keys[:5]] == ["rsnum", "chave_reserva", "chave_reserva", "chave_reserva", "__salted"], keys
+
+
+def test_equal_keys_of_other_padding_are_other_items(spark):
+    base = spark.createDataFrame([("0000000001", "0001")], "rsnum string, rspos string").withColumn(
+        "chave_reserva", reservations.reservation_key("rsnum", "rspos"))
+    lookup = spark.createDataFrame([("1", "1", "no"), ("0000000001", "0001", "a"), ("0000000001", "0001", "b")],
+                                   "rsnum string, rspos string, x string")
+    got = base.join(reservations._of_item(lookup), reservations._same_item(), "left")
+    assert sorted(r["x"] for r in got.collect()) == ["a", "b"]
+    got = base.join(reservations._of_item(lookup.filter("x = 'no'")), reservations._same_item(), "left")
+    assert [r["x"] for r in got.collect()] == [None]
