@@ -85,3 +85,15 @@ def test_big_tables_are_scanned_once(spark, landed, name, table, most):
 def test_purchasing_tracker_joins(spark, landed):
     p = plan_of(REPORTS["purchasing_tracker"](landed))
     assert len(re.findall(r"\b(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)\b", p)) <= 8
+
+
+def test_purchasing_tracker_moves_rows_once_by_purchase_order(spark, landed):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(REPORTS["purchasing_tracker"](landed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    by_item = re.findall(r"Exchange hashpartitioning\(\w+#\d+, ebelp#\d+", p)
+    by_order = re.findall(r"Exchange hashpartitioning\(__po#\d+, \d+\)", p)
+    assert not by_item and len(by_order) == 2, (by_item, by_order)      # the rows with the histories, and the headers

@@ -95,3 +95,30 @@ def test_presentation_order_when_requested(small_src):
     key = [(r["filial"] is None, r["filial"] or "", r["ativo"] is None, r["ativo"] or "",
             r["tipo_manutencao"]) for r in out]
     assert key == sorted(key)          # branch NULLS LAST, then asset, then type
+
+
+class NoItems:
+    """The test data without the item numbers of a third of the orders."""
+
+    def __init__(self, src):
+        self.src, self.spark = src, src.spark
+
+    def table(self, name):
+        df = self.src.table(name)
+        if name not in ("ekpo", "ekkn", "ekbe", "eket"):
+            return df
+        return df.withColumn("ebelp", F.when(F.col("ebeln").cast("long") % 3 != 0, F.col("ebelp")))
+
+
+def test_orders_without_item_numbers_match_no_history(small_src):
+    key = ["num_rc", "item_rc"]
+    out = purchasing.purchasing_tracker(NoItems(small_src), AS_OF, FULL_WINDOW, 0)
+    full = purchasing.purchasing_tracker(small_src, AS_OF, FULL_WINDOW, 0)
+    assert out.count() == full.count()
+    without = F.col("pedido").cast("long") % 3 == 0
+    assert out.filter(without).count() > 0 and out.filter(without & F.col("data_remessa_pc").isNotNull()).count() == 0
+    assert out.filter(without & F.col("data_emissao_pc").isNull()).count() == 0
+    kept = F.col("pedido").isNull() | ~without
+    assert out.filter(kept).exceptAll(full.filter(kept)).count() == 0 and out.filter(kept).count() > 0
+    same = out.filter(without).select(*key, "pedido").exceptAll(full.filter(without).select(*key, "pedido"))
+    assert same.count() == 0
