@@ -7,7 +7,11 @@ nothing. Documents with equal sets form a class and only classes are compared.
 1. Index. In one global order of the n-grams (frequent ones last, else by
    hash) two sets that reach the similarity share an n-gram among the first
    n - ceil(t n) + 1 of each. Those columns of the incidence matrix are
-   shuffled by n-gram.
+   counted twice over one row of each class. N-grams that crowd under the
+   first order go last but for the frequent ones in the second, so that step 2
+   needs no stand-ins for them: these would chain unrelated classes, the more
+   the larger the corpus. N-grams of one class alone are left out then (by a
+   filter of bounded size), and the others are shuffled by n-gram.
 2. Candidates. The classes under one n-gram are paired where sizes and places
    in the order still allow the needed overlap; under an n-gram with more than
    PAIR_LIMIT classes each class is linked with one of them instead. Pairs
@@ -23,9 +27,10 @@ nothing. Documents with equal sets form a class and only classes are compared.
 4. A block reports a spanning forest of its links and the number of linked
    documents of each class; components of the forests are the answer.
 
-The list of frequent n-grams only orders the columns (any order is exact) and
-has at most FREQUENT_MAX entries. Sets are compared by 64-bit hashes of their
-members and of the whole set.
+The lists of frequent and crowded n-grams only order the columns (any order is
+exact) and have at most FREQUENT_MAX and CROWDED_MAX entries. Sets are compared
+by 64-bit hashes of their members and of the whole set; what is shuffled of a
+set is its text, compressed, of the classes that have candidates.
 """
 from __future__ import annotations
 
@@ -35,11 +40,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetyard.llm.components import components
-from fleetyard.llm.frames import column, free_names, map_stream, remove, texts, written
+from fleetyard.llm.frames import BATCH_BYTES, column, free_names, map_stream, release, remove, texts, written
+from fleetyard.llm.key_filter import key_filter, may_have
 from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
 
@@ -48,6 +54,8 @@ K, PERCENT = 4, 85
 LAST_ID = (1 << 63) - 1
 # An n-gram is frequent when task segments report it more often than this.
 FREQUENT, FREQUENT_MAX = 32, 1 << 19
+# An n-gram is crowded when more classes than this have it in their index.
+CROWDED, CROWDED_MAX = 32, 1 << 21
 PAIR_LIMIT = 128
 # Index rows that a task holds before it pairs them, and rows of one n-gram before it cuts them.
 HELD_ROWS, CUT_ROWS = 50_000, 400_000
@@ -119,6 +127,23 @@ def bitmap_difference(a: bytes, b: bytes) -> int:
 
 # --- 1. sets, classes, index -----------------------------------------------
 
+def row_key(row_id, mark) -> Column:
+    """Hash of a row's id (LAST_ID for a null) and checksum."""
+    return F.xxhash64(row_id, mark)
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, id, mark, at): ``texts`` with the id that stands for a null, the checksum and :func:`row_key`."""
+    t = texts(docs).withColumns({"id": F.coalesce("doc_id", F.lit(LAST_ID)), "mark": F.coalesce(F.crc32("text"), F.lit(0))})
+    return t.withColumn("at", row_key("id", "mark"))
+
+
+def kept_rows(batches, bits: np.ndarray):
+    """The rows whose key the filter has."""
+    for b in batches:
+        yield b.filter(pa.array(may_have(bits, column(b, "at").to_numpy()), pa.bool_()))
+
+
 def _set_chunks(batches, k: int):
     """(row ids, text checksums, sets, bounds, set hashes) of a task's texts."""
     for b in batches:
@@ -174,37 +199,91 @@ def frequent_grams(sets: DataFrame) -> np.ndarray:
     return np.sort(rows.toArrow().column("gram").to_numpy().astype(np.int64).view(np.uint64))
 
 
-def index_rows(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(gram, cls, n, place): the indexed columns of every set, once for each segment."""
-    last = docs.sparkSession.sparkContext.broadcast(frequent)       # at most FREQUENT_MAX
+def prefix_columns(g: np.ndarray, bounds: np.ndarray, percent: int, crowded: np.ndarray, frequent: np.ndarray):
+    """(positions in ``g``, places in the order) of the indexed columns of sorted sets: early
+    n-grams first, then those with a crowded fold, then frequent ones."""
+    n = np.diff(bounds)
+    of = np.repeat(np.arange(len(n)), n)
+
+    def among(values, x):
+        if not len(values):
+            return np.zeros(len(x), dtype=bool)
+        return values[np.minimum(np.searchsorted(values, x), len(values) - 1)] == x
+
+    late = np.where(among(frequent, g), 2, among(crowded, fold(g)).astype(np.int8))
+    order = np.lexsort((late, of))                 # stable: by hash where equally late
+    place = np.empty(len(g), dtype=np.int64)
+    place[order] = np.arange(len(g)) - bounds[of]
+    prefix = n - -(-(percent * n) // 100) + 1
+    return np.flatnonzero(place < prefix[of]), place, of
+
+
+def fold(g: np.ndarray) -> np.ndarray:
+    """The n-grams' upper 32 bits as int: what is counted. Two n-grams with one fold count as one."""
+    return (g >> U64(32)).astype(np.uint32).view(np.int32)
+
+
+def index_folds(docs: DataFrame, chosen, frequent, crowded, k: int, percent: int) -> DataFrame:
+    """(fold): of every indexed column of the chosen rows."""
 
     def run(batches):
         seen: set[int] = set()
-        late = last.value
-        for _, _, g, bounds, cls in _set_chunks(batches, k):
+        for _, _, g, bounds, cls in _set_chunks(kept_rows(batches, chosen.value), k):
+            go, _, of = prefix_columns(g, bounds, percent, crowded.value, frequent.value)
+            go = go[_fresh(cls, seen)[of[go]]]
+            yield pa.RecordBatch.from_arrays([pa.array(fold(g[go]))], names=["fold"])
+
+    return keyed_texts(docs).transform(map_stream, run, "fold int")
+
+
+def _fresh(cls: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Mask of the first set of each class in this segment; empty sets are none."""
+    fresh = np.zeros(len(cls), dtype=bool)
+    for i, x in enumerate(cls.tolist()):
+        if x and x not in seen:
+            fresh[i] = True
+            seen.add(x)
+    if len(seen) > 200_000:
+        seen.clear()
+    return fresh
+
+
+def crowded_folds(folds: DataFrame) -> np.ndarray:
+    """Sorted folds that more than CROWDED indexed columns have, the CROWDED_MAX most common ones."""
+    rows = (folds.groupBy("fold").agg(F.count("*").alias("count")).filter(F.col("count") > CROWDED)
+            .orderBy(F.desc("count"), "fold").limit(CROWDED_MAX).select("fold"))
+    return np.sort(rows.toArrow().column("fold").to_numpy().astype(np.int32))
+
+
+def index_rows(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
+    """(gram, cls, n, place): the indexed columns of every set that others may have too."""
+    spark, kept = docs.sparkSession, []
+    sc = spark.sparkContext
+    one = row_key("one.id", "one.mark")
+    chosen = sc.broadcast(key_filter(classes, one, classes.count()))
+    last = sc.broadcast(frequent)                                          # at most FREQUENT_MAX
+    crowded = crowded_folds(index_folds(docs, chosen, last, sc.broadcast(np.zeros(0, np.int32)), k, percent))
+    release(spark)
+    late = sc.broadcast(crowded)                                           # at most CROWDED_MAX
+    shared = index_folds(docs, chosen, last, late, k, percent).groupBy("fold").agg(F.count("*").alias("count"))
+    shared = written(shared.filter("count > 1").select("fold"), "shared", kept)
+    release(spark)
+    common = sc.broadcast(key_filter(shared, F.col("fold").cast("long"), shared.count()))
+    remove(spark, kept)
+
+    def run(batches):
+        seen: set[int] = set()
+        for _, _, g, bounds, cls in _set_chunks(kept_rows(batches, chosen.value), k):
             n = np.diff(bounds)
-            fresh = []
-            for x in cls.tolist():
-                fresh.append(x not in seen and x != 0)
-                seen.add(x)
-            if len(seen) > 200_000:
-                seen = set()
-            at = np.searchsorted(late, g)
-            is_late = late[np.minimum(at, len(late) - 1)] == g if len(late) else np.zeros(len(g), dtype=bool)
-            early = np.concatenate([[0], np.cumsum(~is_late)])
-            of = np.repeat(np.arange(len(n)), n)
-            place = np.arange(len(g)) - bounds[of]
-            before = early[:-1] - early[bounds[of]]                       # early ones before it in its set
-            total = (early[bounds[1:]] - early[bounds[:-1]])[of]
-            place = np.where(is_late, total + place - before, before)
-            prefix = (n - -(-(percent * n) // 100) + 1)
-            go = np.flatnonzero((place < prefix[of]) & np.array(fresh, dtype=bool)[of])
+            go, place, of = prefix_columns(g, bounds, percent, late.value, last.value)
+            go = go[_fresh(cls, seen)[of[go]]]
+            go = go[may_have(common.value, fold(g[go]))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(g[go].view(np.int64)), pa.array(cls[of[go]].view(np.int64)),
                  pa.array(n[of[go]].astype(np.int32)), pa.array(place[go].astype(np.int32))],
                 names=["gram", "cls", "n", "place"])
 
-    return texts(docs).transform(map_stream, run, "gram long, cls long, n int, place int")
+    return keyed_texts(docs).transform(map_stream, run, "gram long, cls long, n int, place int")
 
 
 # --- 2. candidates ---------------------------------------------------------
@@ -431,53 +510,78 @@ def block_plan(members: DataFrame, percent: int) -> DataFrame:
         F.xxhash64("at.block").alias("block"), "at.part", "cls", "copies", "one")
 
 
-def one_a_task(t: DataFrame) -> DataFrame:
-    """Rows of ``texts``, with equal texts once for each segment of a task."""
+def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, mark, body): the texts of the rows that ``wanted`` (id, mark) has, and a few others,
+    compressed; equal rows once for each segment of a task."""
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(wanted, row_key("id", "mark"), wanted.count()))
 
     def run(batches):
         seen: set[bytes] = set()
+        codec = pa.Codec("zstd")
+        for b in kept_rows(batches, bits.value):
+            fresh, body = [], []
+            for i, x in zip(column(b, "id").to_pylist(), column(b, "text")):
+                raw = x.as_buffer() if x.is_valid else b""
+                h = hashlib.blake2b(raw, digest_size=16, key=i.to_bytes(8, "little", signed=True)).digest()
+                fresh.append(h not in seen)
+                if h not in seen:
+                    seen.add(h)
+                    body.append(len(raw).to_bytes(4, "little") + codec.compress(raw, asbytes=True))
+            if len(seen) > 200_000:
+                seen = set()
+            b = b.filter(pa.array(fresh, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([column(b, "id"), column(b, "mark"), pa.array(body, pa.binary())],
+                                             names=["id", "mark", "body"])
+
+    return keyed_texts(docs).transform(map_stream, run, "id long, mark long, body binary")
+
+
+def unpacked_texts(bodies: list[bytes], codec: pa.Codec):
+    """The texts of ``bodies`` in order, in arrays of about BATCH_BYTES or one longer text."""
+    part, size = [], 0
+    for x in bodies:
+        n = int.from_bytes(x[:4], "little")
+        if part and size + n > BATCH_BYTES:
+            yield pa.array(part, pa.large_binary())
+            part, size = [], 0
+        part.append(codec.decompress(x[4:], n, asbytes=True))
+        size += n
+    if part:
+        yield pa.array(part, pa.large_binary())
+
+
+def once_a_task(rows: DataFrame) -> DataFrame:
+    """Rows of a block and class with the same text once for each segment of a task: rows with one
+    id may be repeated any number of times."""
+
+    def run(batches):
+        seen: set[tuple] = set()
         for b in batches:
             fresh = []
-            for x in column(b, "text"):
-                h = hashlib.blake2b(x.as_buffer() if x.is_valid else b"", digest_size=16).digest()
+            for block, cls, body in zip(column(b, "block").to_pylist(), column(b, "cls").to_pylist(), column(b, "body")):
+                h = (block, cls, hashlib.blake2b(body.as_buffer(), digest_size=8).digest())
                 fresh.append(h not in seen)
                 seen.add(h)
             if len(seen) > 200_000:
                 seen = set()
             yield b.filter(pa.array(fresh, pa.bool_()))
 
-    return t.transform(map_stream, run, "doc_id long, text binary")
+    return rows.transform(map_stream, run, rows.schema)
 
 
 def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
-    """(cls, root, n_links) from every block that has links."""
+    """(cls, root, n_links) from every block that has links.
 
-    def sets_of(batches):
-        seen: set[int] = set()
-        for b in batches:
-            wanted, cls, out = column(b, "cls").to_pylist(), [], []
-            for c in chunks(column(b, "text"), lower=True):
-                g, bounds = gram_sets(c, k)
-                for i, x in enumerate(set_hashes(g, bounds).view(np.int64).tolist()):
-                    if x == wanted[c.first + i] and x not in seen:
-                        seen.add(x)
-                        cls.append(x)
-                        out.append(g[bounds[i]:bounds[i + 1]].tobytes())
-            if len(seen) > 200_000:
-                seen = set()
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(out, pa.binary())], names=["cls", "members"])
-
-    t = texts(docs)
-    # a null id is as good as any: rows are told apart by id and checksum, and
-    # of those with equal ones the row whose set has the class's hash counts
-    t = t.filter("doc_id is not null").union(one_a_task(t.filter("doc_id is null"))).select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("t_id"), F.coalesce(F.crc32("text"), F.lit(0)).alias("t_mark"), "text")
-    wanted = plan.select("cls", "one.id", "one.mark").distinct()
-    members = (t.join(wanted, (F.col("t_id") == F.col("id")) & (F.col("t_mark") == F.col("mark")))
-               .select("cls", "text").transform(map_stream, sets_of, "cls long, members binary"))
+    A null id is as good as any: rows are told apart by id and checksum, and of
+    those with equal ones the row whose set has the class's hash counts.
+    """
+    plan = plan.select("block", "part", "cls", "copies", "one.id", "one.mark")
+    bodies = packed_texts(docs, plan.select("id", "mark").distinct())
+    placed = plan.join(bodies, ["id", "mark"]).select("block", "cls", "part", "copies", "body")
 
     def run(batches):
         held, key = [], None
+        codec = pa.Codec("zstd")
 
         def flush():
             cls = np.array([h[1] for h in held], dtype=np.int64)
@@ -487,25 +591,28 @@ def links(docs: DataFrame, plan: DataFrame, k: int, percent: int) -> DataFrame:
                     seen.add((h[1], h[2]))
                     keep.append(i)
             out = block_links(cls[keep], np.array([held[i][3] for i in keep], dtype=np.int64),
-                              np.array([held[i][2] for i in keep]),
-                              [np.frombuffer(held[i][4], dtype=np.uint64) for i in keep], percent) if len(keep) > 1 else None
+                              np.array([held[i][2] for i in keep]), [held[i][4] for i in keep], percent) if len(keep) > 1 else None
             return None if out is None else pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["cls", "root", "n_links"])
 
         for b in batches:
-            for row in zip(*(column(b, x).to_pylist() for x in ("block", "cls", "part", "copies", "members"))):
-                if row[0] != key and held:
-                    if (out := flush()) is not None:
-                        yield out
-                    held = []
-                key = row[0]
-                g = np.frombuffer(row[4], dtype=np.uint64)
-                if int(set_hashes(g, np.array([0, len(g)]))[0].view(np.int64)) == row[1]:
-                    held.append(row)
+            rows = list(zip(*(column(b, x).to_pylist() for x in ("block", "cls", "part", "copies", "body"))))
+            for part in unpacked_texts([r[4] for r in rows], codec):
+                for c in chunks(part, lower=True):
+                    g, bounds = gram_sets(c, k)
+                    for i, x in enumerate(set_hashes(g, bounds).view(np.int64).tolist()):
+                        row = rows[i]
+                        if row[0] != key and held:
+                            if (out := flush()) is not None:
+                                yield out
+                            held = []
+                        key = row[0]
+                        if x == row[1]:
+                            held.append((*row[:4], g[bounds[i]:bounds[i + 1]].copy()))
+                    rows = rows[c.n_texts:]
         if held and (out := flush()) is not None:
             yield out
 
-    return (plan.join(members, "cls").select("block", "cls", "part", "copies", "members")
-            .repartition("block").sortWithinPartitions("block")
+    return (once_a_task(placed).repartition("block").sortWithinPartitions("block")
             .transform(map_stream, run, "cls long, root long, n_links long"))
 
 
@@ -520,15 +627,17 @@ def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "mark")).alias("one"),
         F.first("bitmap").alias("bitmap")), "classes")
-    index = index_rows(docs, frequent_grams(sets), k, percent)
     kept: list[str] = []
-    pairs = written(candidate_pairs(index, percent), "pairs", kept)
+    frequent = frequent_grams(sets)
+    pairs = written(candidate_pairs(index_rows(docs, classes, frequent, k, percent), percent), "pairs", kept)
+    release(docs.sparkSession)
     clusters = components(likely_pairs(pairs, classes, percent))
     members = clusters.join(classes, clusters["node"] == classes["cls"]).select(
         "cls", F.col("component").alias("cluster"), "n", "copies", "one")
     plan = written(block_plan(members, percent), "blocks", kept)
     linked = written(links(docs, plan, k, percent), "links")
     remove(docs.sparkSession, kept)
+    release(docs.sparkSession)
     trees = components(linked.select("cls", "root"))
     found = classes.select("cls", "doc", "copies").join(trees, classes["cls"] == trees["node"], "left").select(
         "cls", "doc", "copies", F.coalesce("component", "cls").alias("tree"))

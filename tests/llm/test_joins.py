@@ -151,3 +151,38 @@ def test_owners():
     g = np.random.default_rng(1).integers(0, 9, 200).astype(np.uint64)
     got = substring_dedup.owners(g, 13)
     assert got.tolist() == [i + int(np.argmin(g[i:i + 13])) for i in range(len(g) - 12)]
+
+
+def test_phrases_that_no_task_sees_twice_go_last_in_the_index(spark):
+    """Under hash order alone a phrase of many documents would be an index column of most of them."""
+    import numpy as np
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(8))
+    phrase = " ".join(word() for _ in range(9))
+    docs = frame(spark, [(i, phrase + " " + " ".join(word() for _ in range(12))) for i in range(120)]).coalesce(4)
+    none = np.zeros(0, np.uint64)
+    classes = ngram_join.document_sets(docs, 2).filter("gram is null").selectExpr(
+        "cls", "struct(doc_id as id, mark) as one").cache()
+    every = spark.sparkContext.broadcast(np.full(4096, 255, np.uint8))
+    empty = spark.sparkContext.broadcast(none)
+    folds = ngram_join.index_folds(docs, every, empty, spark.sparkContext.broadcast(np.zeros(0, np.int32)), 2, 60)
+    assert len(ngram_join.crowded_folds(folds)) >= 4
+    sizes = [x["count"] for x in ngram_join.index_rows(docs, classes, none, 2, 60).groupBy("gram").count().collect()]
+    assert max(sizes, default=0) <= ngram_join.CROWDED
+
+
+def test_rows_that_a_filter_is_made_of_pass_it(spark):
+    import numpy as np
+
+    from fleetyard.llm import key_filter as kf
+
+    keys = spark.range(5000).selectExpr("xxhash64(id) as k")
+    bits = kf.key_filter(keys, keys["k"], 5000)
+    has = np.array([r["k"] for r in keys.collect()])
+    other = np.array([r["k"] for r in spark.range(5000, 25000).selectExpr("xxhash64(id) as k").collect()])
+    assert kf.may_have(bits, has).all() and kf.may_have(bits, other).mean() < 0.1
+    n = kf.filter_bits(5000)
+    both = spark.range(25000).selectExpr("id", "xxhash64(id) as k")
+    got = kf.with_bit(both, kf.bit_maps(keys, keys["k"], n), both["k"], n, "has").collect()
+    assert [r["has"] for r in sorted(got)] == kf.may_have(bits, np.concatenate([has, other])).tolist()
