@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from fleetyard.llm.components import components
 from fleetyard.llm.frames import BATCH_BYTES, column, free_names, map_stream, release, remove, texts, written
-from fleetyard.llm.key_filter import key_filter, may_have
+from fleetyard.llm.key_filter import bit_maps, filter_bits, key_filter, may_have, with_bit
 from fleetyard.llm.substring_dedup import _runs
 from fleetyard.llm.words import U64, Chunk, chunks, mix, ngrams, within
 
@@ -670,13 +670,27 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     Rows with an empty set all stay."""
     rows = linked_rows(docs, k, percent).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "mark", "n", "tree")
     rows = written(rows, "linked")
+    release(docs.sparkSession)
     keep = rows.filter("tree is not null").groupBy("tree").agg(F.min(F.struct("id", "mark")).alias("first")).select("first.*")
     keep = keep.withColumn("once", F.lit(True)).union(
         rows.filter("tree is null").select("id", "mark").distinct().withColumn("once", F.lit(False)))
-    d_id, d_mark, once, k_id, k_mark, nth = free_names(docs, "id", "mark", "once", "keep_id", "keep_mark", "nth")
+    keep = written(keep, "keep")
+    # keys of rows that go, and of equal rows of which one stays
+    several = (rows.groupBy("id", "mark").agg(F.count("*").alias("rows"))
+               .join(keep.groupBy("id", "mark").agg(F.max("once").alias("once")), ["id", "mark"], "left")
+               .filter(F.col("once").isNull() | (F.col("once") & (F.col("rows") > 1))).select("id", "mark"))
+    # The filters say of most rows what becomes of them; the few that both may have are joined by key.
+    bits = filter_bits(rows.count())
+    stays, goes = (bit_maps(x, row_key("id", "mark"), bits) for x in (keep, several))
+    d_id, d_mark, once, k_id, k_mark, nth, key, may_stay, may_go = free_names(
+        docs, "id", "mark", "once", "keep_id", "keep_mark", "nth", "key", "may_stay", "may_go")
     keep = keep.toDF(k_id, k_mark, once)
     marked = docs.withColumns({d_id: F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)),
                                d_mark: F.coalesce(F.crc32(F.encode(docs["text"], "UTF-8")), F.lit(0))})
-    kept = marked.join(keep, (F.col(d_id) == F.col(k_id)) & (F.col(d_mark) == F.col(k_mark)))
+    marked = marked.withColumn(key, row_key(d_id, d_mark))
+    marked = with_bit(with_bit(marked, stays, F.col(key), bits, may_stay), goes, F.col(key), bits, may_go).filter(F.col(may_stay))
+    surely = marked.filter(~F.col(may_go))
+    kept = marked.filter(F.col(may_go)).join(keep, (F.col(d_id) == F.col(k_id)) & (F.col(d_mark) == F.col(k_mark)))
     same = Window.partitionBy(d_id, d_mark).orderBy(F.lit(0))
-    return kept.withColumn(nth, F.row_number().over(same)).filter(~F.col(once) | (F.col(nth) == 1)).select(*docs.columns)
+    kept = kept.withColumn(nth, F.row_number().over(same)).filter(~F.col(once) | (F.col(nth) == 1))
+    return surely.select(*docs.columns).union(kept.select(*docs.columns))
