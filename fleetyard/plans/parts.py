@@ -47,9 +47,11 @@ def parts_agg(cons: DataFrame, extra_keys: list = ()) -> DataFrame:
     # this level then only sums decimals and runs as a hash aggregate
     per_order = cons.groupBy(*keys, "aufnr", F.col("erdat").alias("d")).agg(
         F.sum("bdmng").alias("q"))
+    # the last date is part of the last order: the shuffle carries it once
     return per_order.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("qtd_ocorrencias"), F.sum("q").alias("qtd_total"),
-        F.max("d").alias("ultima_data"), F.max(F.struct("d", "aufnr")).alias("__last"))
+        F.max(F.struct("d", "aufnr")).alias("__last")).select(
+        *keys, "qtd_ocorrencias", "qtd_total", F.col("__last.d").alias("ultima_data"), "__last")
 
 
 def hot_parts(src) -> HotKeys:

@@ -33,7 +33,8 @@ def merged(states: DataFrame) -> DataFrame:
     """States of slices as one: the columns of ``parts_agg``."""
     return states.groupBy("equnr", "matnr").agg(
         F.sum("qtd_ocorrencias").alias("qtd_ocorrencias"), F.sum("qtd_total").alias("qtd_total"),
-        F.max("ultima_data").alias("ultima_data"), F.max("__last").alias("__last"))
+        F.max("__last").alias("__last")).select(
+        "equnr", "matnr", "qtd_ocorrencias", "qtd_total", F.col("__last.d").alias("ultima_data"), "__last")
 
 
 @dataclass(frozen=True)
@@ -67,35 +68,56 @@ class PartsState:
         if not todo:
             return []
         day = as_date(as_of)
-        rows = consumption(src, as_of, (day - self._days(todo[0])[0]).days, (day - self._days(todo[-1])[1]).days)
-        number = F.floor(F.datediff(F.to_date("erdat"), F.lit(EPOCH)) / self.days).cast("int")
-        rows = rows.withColumn("slice", number).filter(F.col("slice").isin(todo))
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        parts_agg(rows, ["slice"]).write.partitionBy("slice").parquet(folder)
-        schema = parts_agg(rows, ["slice"]).drop("slice").schema.json()
-        for n in todo:
-            files.write_record(self.spark, self._file(n), {"folder": f"{folder}/slice={n}", "schema": schema})
+        self._write(src, as_of, (day - self._days(todo[0])[0]).days, (day - self._days(todo[-1])[1]).days, todo)
         return todo
 
-    def states(self, as_of, ini: int, fim: int) -> list[DataFrame]:
-        """Kept states of the window's whole slices; a slice without rows has no folder."""
+    def _write(self, src, as_of, ini: int, fim: int, todo: list[int], ends: range | None = None) -> list[str]:
+        """Aggregate the window by slices in one pass, enter the slices ``todo`` in the ledger
+        and return the folders of the others: of slices outside ``ends``, where it is given."""
+        n = F.col("slice")
+        rows = consumption(src, as_of, ini, fim).withColumn("slice", self._number(F.to_date("erdat")))
+        rows = rows.filter(n.isin(todo) | ((n < ends.start) | (n >= ends.stop) if ends else F.lit(False)))
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        parts = parts_agg(rows, ["slice"])
+        parts.write.partitionBy("slice").parquet(folder)
+        schema = parts.drop("slice").schema.json()
+        for i in todo:
+            files.write_record(self.spark, self._file(i), {"folder": f"{folder}/slice={i}", "schema": schema})
+        if not ends:
+            return []
+        day = as_date(as_of)
+        first, last = (((day - _dt.timedelta(days=d)) - EPOCH).days // self.days for d in (ini, fim))
+        return [f"{folder}/slice={i}" for i in [*range(first, ends.start), *range(ends.stop, last + 1)]]
+
+    def _number(self, date):
+        return F.floor(F.datediff(date, F.lit(EPOCH)) / self.days).cast("int")
+
+    def states(self, as_of, ini: int, fim: int, others: list[str] = ()) -> list[DataFrame]:
+        """Kept states of the window's whole slices, and those in the folders ``others``; a
+        slice without rows has no folder."""
         out = []
         records = [files.read_record(self.spark, self._file(n)) for n in self.whole(as_of, ini, fim)]
-        paths = [r["folder"] for r in records if files.exists(self.spark, r["folder"])]
+        paths = [p for p in (*[r["folder"] for r in records], *others) if files.exists(self.spark, p)]
         if paths:
             out.append(self.spark.read.schema(StructType.fromJson(json.loads(records[0]["schema"]))).parquet(*paths))
         return out
 
     def aggregate(self, src, as_of, ini: int, fim: int) -> DataFrame:
-        """``parts_agg`` of the window: kept slices merged with what the source has at its ends."""
-        self.fill(src, as_of, ini, fim)
+        """``parts_agg`` of the window: kept slices merged with what the source has at its ends.
+
+        Where slices are missing, they and the ends are computed in one pass over the
+        source; the ends are written beside the slices and are not in the ledger.
+        """
         day, whole = as_date(as_of), self.whole(as_of, ini, fim)
         if not whole:
             return parts_agg(consumption(src, as_of, ini, fim))
-        first, last = (day - self._days(whole[0])[0]).days, (day - self._days(whole[-1])[1]).days
-        parts = self.states(as_of, ini, fim)
-        parts += [parts_agg(consumption(src, as_of, ini, first + 1))] if ini > first else []
-        parts += [parts_agg(consumption(src, as_of, last - 1, fim))] if last > fim else []
+        if todo := self.missing(as_of, ini, fim):
+            parts = self.states(as_of, ini, fim, self._write(src, as_of, ini, fim, todo, whole))
+        else:
+            first, last = (day - self._days(whole[0])[0]).days, (day - self._days(whole[-1])[1]).days
+            parts = self.states(as_of, ini, fim)
+            parts += [parts_agg(consumption(src, as_of, ini, first + 1))] if ini > first else []
+            parts += [parts_agg(consumption(src, as_of, last - 1, fim))] if last > fim else []
         out = parts[0] if parts else parts_agg(consumption(src, as_of, ini, fim)).limit(0)
         for p in parts[1:]:
             out = out.unionByName(p)

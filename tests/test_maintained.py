@@ -78,6 +78,22 @@ def test_slices_are_computed_once(spark, small_src, monkeypatch):
     assert last <= dt.date(2025, 6, 30) - dt.timedelta(days=60)
 
 
+def test_missing_slices_and_ends_take_one_pass(spark, small_src, monkeypatch):
+    from fleetyard.plans import parts_state
+    asked = []
+    plain = parts_state.consumption
+    monkeypatch.setattr(parts_state, "consumption", lambda *a: asked.append(a[2:]) or plain(*a))
+    for settled in (0, 100):
+        state = PartsState(spark, tempfile.mkdtemp(prefix="parts-"), days=45, settled=settled)
+        want = rows_of(parts_history(small_src, "2025-06-30", 365, 3))
+        asked.clear()
+        for again in (False, True):             # the second time from kept slices
+            got = state.history(small_src, "2025-06-30", 365, 3)
+            if not again:
+                assert len(asked) == 1
+            assert rows_of(got.select(*parts_history(small_src, "2025-06-30", 365, 3).columns)) == want
+
+
 # ------------------------------------------------------------------ profiles
 def skewed(spark, n=40000):
     return spark.range(n).select(
