@@ -72,3 +72,17 @@ def test_equal_keys_of_other_padding_are_other_items(spark):
     assert sorted(r["x"] for r in got.collect()) == ["a", "b"]
     got = base.join(reservations._of_item(lookup.filter("x = 'no'")), reservations._same_item(), "left")
     assert [r["x"] for r in got.collect()] == [None]
+
+
+def test_wide_columns_of_reservations_are_moved_as_one_text(spark, small_src):
+    """Columns that the joins by item and by reservation only carry are not shuffled one by one."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = reservations.reservation_picking(small_src)._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert "__item" in text and "__header" in text
+    for line in re.findall(r"hashpartitioning\((?:rsnum|chave_reserva)#.*\n.*", text):
+        assert not re.search(r"\b(ktext|sgtxt|nome_criador_reserva)#", line.split("array_join(")[0]), line
